@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe_codec, packing, token_counts
+from tessera.llm import bpe_codec, packing, repeats, token_counts
 from tessera.llm.common import table
 
 
@@ -23,10 +23,15 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 1024)
 
 
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeat_digests(table(spark, sf_dir, "documents"), 400)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op4_bpe_codec": op4_bpe_codec,
     "op9_token_counts": op9_token_counts,
+    "op10_repeats": op10_repeats,
 }
 
 ORACLE_SQL: dict[str, str] = {}
