@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe_codec, packing, repeats, token_counts
+from tessera.llm import bpe_codec, packing, repeats, simhash, token_counts
 from tessera.llm.common import table
 
 
@@ -27,9 +27,14 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeat_digests(table(spark, sf_dir, "documents"), 400)
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.groups_within_two(table(spark, sf_dir, "documents"), 3)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op4_bpe_codec": op4_bpe_codec,
+    "op7_simhash": op7_simhash,
     "op9_token_counts": op9_token_counts,
     "op10_repeats": op10_repeats,
 }
