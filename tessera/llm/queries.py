@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe_codec, licenses, packing, quality, repeats, simhash, token_counts, warc
+from tessera.llm import bpe_codec, extraction, fingerprints, licenses, packing, quality, repeats, simhash, token_counts, warc
 from tessera.llm.common import table
 
 
@@ -27,6 +27,10 @@ def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.round_trip_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
+def op8_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(table(spark, sf_dir, "pages"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 1024)
 
@@ -35,6 +39,10 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.repeat_digests(table(spark, sf_dir, "documents"), 400)
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_likeness(table(spark, sf_dir, "documents"))
+
+
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
@@ -48,8 +56,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op3_warc": op3_warc,
     "op4_bpe_codec": op4_bpe_codec,
+    "op5_fingerprints": op5_fingerprints,
     "op6_licenses": op6_licenses,
     "op7_simhash": op7_simhash,
+    "op8_extraction": op8_extraction,
     "op9_token_counts": op9_token_counts,
     "op10_repeats": op10_repeats,
 }
