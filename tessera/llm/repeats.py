@@ -7,15 +7,18 @@ else; matches never cross texts. Only suffixes to that depth matter:
    shift below v puts both on residues in D. Positions on such residues are ranked
    by their first length - v + 1 bytes. Two equal strings hold, at one shift, two
    sample positions of equal rank; so a suffix that has no tied sample position
-   within the next v bytes repeats nowhere and needs no sorting.
-2. Blockwise sort. The remaining suffixes are dealt by content into blocks; one
-   block at a time is sorted, to the full depth, and neighbours that tie repeat.
-
-Both steps are the same distributed job (``tied``). A slice of texts sends each
-different string once, as packed arrays; strings that repeat inside a slice tie
-there already. So no block gathers the copies of a hot string, and memory is bounded
-by the slice and the block. Equality is that of 64-bit hashes besides an independent
-block number. Places in the cover step are only candidates; there 32 bits do.
+   within the next v bytes repeats nowhere and needs no sorting. A slice of texts
+   sends each different string once, as packed arrays of 32-bit ranks (places are
+   only candidates here); strings that repeat inside a slice tie there already.
+2. Blockwise sort. Each remaining suffix belongs to the block of the smallest hash
+   among the ``KEY``-byte strings of its first length bytes, so neighbouring suffixes
+   mostly share a block and are sent as one piece of text. One block at a time is
+   sorted, to the full depth, and neighbours that tie repeat. Of pieces that are equal
+   inside a slice one is sent. Blocks that hold more than their share (at most
+   ``HOT_SHARE`` of them a partition can exist) are dealt on by the hash of the whole
+   string, each different string once a batch, so no task gathers a hot string's texts.
+
+Memory is bounded by the slice and the block. Equality is that of 64-bit hashes.
 
 Null texts are empty; texts below ``length`` bytes lose nothing; repeated rows are
 documents of their own, so each loses what the other holds; an empty table gives no
@@ -35,10 +38,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import through_table
-from tessera.llm.ragged import BYTE_CODE, U64, mix, prefix_hash, slices, span_hash, spread
+from tessera.llm.ragged import U64, prefix_hash, slices, span_hash, spread
 
 #: Distinct values at most of the broadcast that tells which texts can be concerned.
 SLOTS = 1 << 20
+#: Bytes of the strings whose smallest hash names a suffix's block.
+KEY = 32
+#: Blocks of more than 1 / HOT_SHARE of a partition's pieces, and of HOT_LEAST, are dealt on.
+HOT_SHARE = 20
+HOT_LEAST = 2_000
 _SLICE = 4 << 20
 
 
@@ -97,7 +105,21 @@ def reach_positions(length: int, v: int) -> Callable:
     return select
 
 
-def tied(texts: DataFrame, length: int, select: Callable, blocks: int, wide: bool) -> DataFrame:
+def gather(group: pa.Table) -> pa.Table:
+    """Positions of one slice, text by text; the slice's header row has its texts."""
+    head = next(i for i, x in enumerate(group.column("cut")) if x.is_valid)
+    k1, k2 = (np.frombuffer(group.column(c)[head].as_buffer(), "<i8") for c in ("k1s", "k2s"))
+    cut = np.frombuffer(group.column("cut")[head].as_buffer(), "<u4").astype(np.int64)
+    mark = np.zeros(cut[-1] + 1, bool)
+    for x in group.column("at"):
+        mark[np.frombuffer(x.as_buffer(), "<u4")] = True
+    at = np.flatnonzero(mark)
+    first = np.searchsorted(at, cut)
+    docs = np.flatnonzero(np.diff(first))
+    return pa.table([pa.array(k1[docs]), pa.array(k2[docs]), pa.array([(at[first[d] : first[d + 1]] - cut[d]).astype("<u4").tobytes() for d in docs.tolist()], pa.binary())], names=["k1", "k2", "at"])
+
+
+def tied(texts: DataFrame, length: int, select: Callable, blocks: int) -> DataFrame:
     """(k1, k2, at): the selected positions of each text (little-endian uint32) whose string of ``length`` bytes stands elsewhere too.
 
     texts: k1, k2, text, and what ``select`` reads; in an order that a retried task
@@ -110,28 +132,21 @@ def tied(texts: DataFrame, length: int, select: Callable, blocks: int, wide: boo
             pos = select(rows, off)
             if not len(pos):
                 continue
-            prefix = prefix_hash(data)
-            h = span_hash(prefix, pos, pos + length)
-            if wide:  # a second, independent hash: of the bytes read with other codes
-                own = np.zeros(len(data) + 1, U64)
-                np.cumsum(mix(BYTE_CODE)[data] * (prefix[1:] - prefix[:-1]), out=own[1:])
-                deal = mix(span_second(own, pos, length))
-            else:
-                deal = h
+            h = span_hash(prefix_hash(data), pos, pos + length)
             order = np.argsort(h)
             first = np.ones(len(h), bool)
             first[1:] = h[order[1:]] != h[order[:-1]]
             alone = first & np.append(first[1:], True)
             here = np.sort(pos[order[~alone]])
             reps = np.sort(order[first])
-            to = (((deal[reps] >> U64(32)) * U64(blocks)) >> U64(32)).astype(np.int64)
+            to = (((h[reps] >> U64(32)) * U64(blocks)) >> U64(32)).astype(np.int64)
             by = np.argsort(to, kind="stable")
             reps, cut = reps[by], spread(np.bincount(to, minlength=blocks))
             at, code = pos[reps], h[reps]
             step = np.diff(at, prepend=0)
             full = np.flatnonzero(np.diff(cut))
             step[cut[full]] = at[cut[full]]
-            code = code.astype("<u8") if wide else (code & U64(0xFFFFFFFF)).astype("<u4")
+            code = (code & U64(0xFFFFFFFF)).astype("<u4")
             block = (part << 32) | seq
             seq += 1
             key = lambda c: rows.column(rows.schema.get_field_index(c)).to_numpy(zero_copy_only=False).astype("<i8").tobytes()
@@ -148,8 +163,7 @@ def tied(texts: DataFrame, length: int, select: Callable, blocks: int, wide: boo
     def sort_block(group: pa.Table) -> pa.Table:
         if not group.num_rows or group.column("bucket")[0].as_py() < 0:
             return group.select(["block", "k1s", "k2s", "cut", "at"])
-        width = 8 if wide else 4
-        codes = [np.frombuffer(x.as_buffer(), f"<u{width}") for x in group.column("code")]
+        codes = [np.frombuffer(x.as_buffer(), "<u4") for x in group.column("code")]
         size = np.array([len(c) for c in codes])
         every = np.concatenate(codes)
         order = np.argsort(every)
@@ -168,27 +182,131 @@ def tied(texts: DataFrame, length: int, select: Callable, blocks: int, wide: boo
         none = pa.nulls(len(keep), pa.binary())
         return pa.table([group.column("block").take(pa.array(keep, pa.int64())), none, none, none, pa.array(found, pa.binary())], names=["block", "k1s", "k2s", "cut", "at"])
 
-    def gather(group: pa.Table) -> pa.Table:
-        head = next(i for i, x in enumerate(group.column("cut")) if x.is_valid)
-        k1, k2 = (np.frombuffer(group.column(c)[head].as_buffer(), "<i8") for c in ("k1s", "k2s"))
-        cut = np.frombuffer(group.column("cut")[head].as_buffer(), "<u4").astype(np.int64)
-        mark = np.zeros(cut[-1] + 1, bool)
-        for x in group.column("at"):
-            mark[np.frombuffer(x.as_buffer(), "<u4")] = True
-        at = np.flatnonzero(mark)
-        first = np.searchsorted(at, cut)
-        docs = np.flatnonzero(np.diff(first))
-        return pa.table([pa.array(k1[docs]), pa.array(k2[docs]), pa.array([(at[first[d] : first[d + 1]] - cut[d]).astype("<u4").tobytes() for d in docs.tolist()], pa.binary())], names=["k1", "k2", "at"])
-
     sent = texts.mapInArrow(emit, "bucket int, block bigint, k1s binary, k2s binary, cut binary, at binary, code binary")
     met = sent.groupBy("bucket").applyInArrow(sort_block, "block bigint, k1s binary, k2s binary, cut binary, at binary")
     return met.groupBy("block").applyInArrow(gather, "k1 bigint, k2 bigint, at binary").dropDuplicates(["k1", "k2"])
 
 
-def span_second(prefix: np.ndarray, pos: np.ndarray, length: int) -> np.ndarray:
-    from tessera.llm.ragged import powers
+def smallest_in_window(h: np.ndarray, width: int) -> np.ndarray:
+    """The minimum of h[i : i + width] for every i with a whole window."""
+    n = len(h) - width + 1
+    if n <= 0:
+        return h[:0]
+    padded = np.full(-(-len(h) // width) * width, np.iinfo(np.uint64).max, U64)
+    padded[: len(h)] = h
+    rows = padded.reshape(-1, width)
+    ahead = np.minimum.accumulate(rows, axis=1).ravel()
+    behind = np.minimum.accumulate(rows[:, ::-1], axis=1)[:, ::-1].ravel()
+    return np.minimum(behind[:n], ahead[width - 1 : width - 1 + n])
+
+
+def tied_in_blocks(texts: DataFrame, length: int, select: Callable, partitions: int) -> DataFrame:
+    """As ``tied``, for positions that mostly follow each other: their texts are sent, in pieces."""
+    key = min(KEY, length)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, seq = TaskContext.get().partitionId(), 0
+        for rows, data, off in slices(batches, "text", _SLICE):
+            pos = select(rows, off)
+            if not len(pos):
+                continue
+            prefix = prefix_hash(data)
+            every = np.arange(len(data) - key + 1)
+            block_of = smallest_in_window(span_hash(prefix, every, every + key), length - key + 1)[pos]
+            head = np.flatnonzero(np.concatenate([[True], (np.diff(pos) != 1) | (block_of[1:] != block_of[:-1])]))
+            n = np.diff(np.append(head, len(pos)))
+            begin, end = pos[head], pos[head] + n - 1 + length
+            _, first, inverse, count = np.unique(span_hash(prefix, begin, end), return_index=True, return_inverse=True, return_counts=True)
+            again = count[inverse] > 1
+            here = np.concatenate([np.arange(a, a + k) for a, k in zip(begin[again].tolist(), n[again].tolist())]) if again.any() else begin[:0]
+            block = (part << 32) | seq
+            seq += 1
+            first = np.sort(first)
+            raw, size = data.tobytes(), len(first) + 1
+            column = lambda c: rows.column(rows.schema.get_field_index(c)).to_numpy(zero_copy_only=False).astype("<i8").tobytes()
+            none = [None] * (size - 1)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([None, *block_of[head[first]].view(np.int64).tolist()], pa.int64()),
+                    pa.array(np.full(size, block, np.int64)),
+                    pa.array([0, *begin[first].tolist()], pa.int32()),
+                    pa.array([None, *[raw[a:b] for a, b in zip(begin[first].tolist(), end[first].tolist())]], pa.binary()),
+                    *[pa.array([x, *none], pa.binary()) for x in (column("k1"), column("k2"), off.astype("<u4").tobytes(), here.astype("<u4").tobytes())],
+                ],
+                names=["m", "block", "pos", "piece", "k1s", "k2s", "cut", "at"],
+            )
+
+    def strings(pieces: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(hash, piece, place in the piece) of all strings of the pieces."""
+        raw = [x.as_buffer() for x in pieces]
+        off = spread(np.array([len(x) for x in raw], np.int64))
+        n = np.diff(off) - length + 1
+        owner = np.repeat(np.arange(len(raw)), n)
+        place = np.arange(n.sum()) - np.repeat(spread(n)[:-1], n)
+        start = off[:-1][owner] + place
+        return span_hash(prefix_hash(np.frombuffer(b"".join(raw), np.uint8)), start, start + length), owner, place
 
-    return (prefix[pos + length] - prefix[pos]) * powers(len(prefix))[1][pos]
+    def sort_block(group: pa.Table) -> pa.Table:
+        h, owner, place = strings(group.column("piece"))
+        found = np.flatnonzero(equal_to_another(h))
+        at = group.column("pos").to_numpy()[owner[found]] + place[found]
+        return _by_block(group.column("block").to_numpy()[owner[found]], at)
+
+    def deal_on(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            for lo in range(0, rows.num_rows, 2048):
+                part = rows.slice(lo, 2048)
+                h, owner, place = strings(part.column(2))
+                block, at = part.column(0).to_numpy(zero_copy_only=False)[owner], part.column(1).to_numpy(zero_copy_only=False)[owner] + place
+                _, first, inverse, count = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
+                again = count[inverse] > 1
+                to = (((h[first] >> U64(32)) * U64(2 * partitions)) >> U64(32)).astype(np.int64)
+                by = first[np.argsort(to, kind="stable")]
+                edge = spread(np.bincount(to, minlength=2 * partitions))
+                full = np.flatnonzero(np.diff(edge))
+                sent = [by[edge[b] : edge[b + 1]] for b in full.tolist()]
+                lists = [np.flatnonzero(again), *sent]
+                yield pa.RecordBatch.from_arrays([pa.array([-1 - lo % (2 * partitions), *full.tolist()], pa.int32()), *[pa.array([x[i].astype(kind).tobytes() for i in lists], pa.binary()) for x, kind in ((block, "<i8"), (at, "<u4"), (h, "<u8"))]], names=["bucket", "blocks", "ats", "codes"])
+
+    def sort_dealt(group: pa.Table) -> pa.Table:
+        block, at, h = (np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in group.column(c)]) for c, kind in (("blocks", "<i8"), ("ats", "<u4"), ("codes", "<u8")))
+        if group.column("bucket")[0].as_py() >= 0:
+            found = equal_to_another(h)
+            block, at = block[found], at[found]
+        return _by_block(block, at)
+
+    pieces = through_table(texts.mapInArrow(cut, "m bigint, block bigint, pos int, piece binary, k1s binary, k2s binary, cut binary, at binary"), "pieces")
+    sent = pieces.filter("m is not null")
+    share = max(HOT_LEAST, sent.count() // (HOT_SHARE * partitions))
+    hot = [r[0] for r in sent.groupBy("m").count().filter(F.col("count") > share).select("m").collect()]
+    is_hot = F.col("m").isin(hot) if hot else F.lit(False)
+    bucket = F.pmod(F.xxhash64("m"), F.lit(4 * partitions)).cast("int").alias("bucket")
+    outcome = "block bigint, at binary"
+    met = sent.filter(~is_hot).select(bucket, "block", "pos", "piece").groupBy("bucket").applyInArrow(sort_block, outcome)
+    if hot:
+        dealt = sent.filter(is_hot).select("block", "pos", "piece").mapInArrow(deal_on, "bucket int, blocks binary, ats binary, codes binary")
+        met = met.union(dealt.groupBy("bucket").applyInArrow(sort_dealt, outcome))
+    none = F.lit(None).cast("binary")
+    every = met.select("block", none.alias("k1s"), none.alias("k2s"), none.alias("cut"), "at").union(pieces.filter("m is null").select("block", "k1s", "k2s", "cut", "at"))
+    return every.groupBy("block").applyInArrow(gather, "k1 bigint, k2 bigint, at binary").dropDuplicates(["k1", "k2"])
+
+
+def equal_to_another(h: np.ndarray) -> np.ndarray:
+    """Which hashes are there twice or more."""
+    order = np.argsort(h)
+    same = h[order[1:]] == h[order[:-1]]
+    out = np.zeros(len(h), bool)
+    out[order[1:][same]] = True
+    out[order[:-1][same]] = True
+    return out
+
+
+def _by_block(block: np.ndarray, at: np.ndarray) -> pa.Table:
+    order = np.argsort(block, kind="stable")
+    block, at = block[order], at[order]
+    head = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]])) if len(block) else np.zeros(0, np.int64)
+    edge = np.append(head, len(block)).tolist()
+    return pa.table([pa.array(block[head]), pa.array([at[a:b].astype("<u4").tobytes() for a, b in zip(edge[:-1], edge[1:])], pa.binary())], names=["block", "at"])
 
 
 def spans_of(at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -206,11 +324,11 @@ def repeated_starts(docs: DataFrame, length: int, id_col: str, text_col: str) ->
     src = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     keyed = src.select("id", "text", F.xxhash64("id", "text").alias("k1"), F.xxhash64("text", "id", F.lit(7)).alias("k2"))
     spark = docs.sparkSession
-    blocks = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     v, cover = difference_set(max(1, length * 46 // 100))
-    sample = through_table(tied(keyed.select("k1", "k2", "text"), length - v + 1, cover_positions(length, v, cover), blocks, wide=False), "cover")
+    sample = through_table(tied(keyed.select("k1", "k2", "text"), length - v + 1, cover_positions(length, v, cover), 2 * partitions), "cover")
     within = concerned(keyed, sample).select("k1", "k2", "text").join(sample, ["k1", "k2"]).sortWithinPartitions("k1", "k2")
-    starts = through_table(tied(within, length, reach_positions(length, v), blocks, wide=True), "starts")
+    starts = through_table(tied_in_blocks(within, length, reach_positions(length, v), partitions), "starts")
     return keyed, starts
 
 
