@@ -319,10 +319,10 @@ def spans_of(at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     return at[head], at[np.append(head[1:] - 1, len(at) - 1)] + length
 
 
-def repeated_starts(docs: DataFrame, length: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """(texts with their keys; keys and starts of repeated strings)."""
-    src = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    keyed = src.select("id", "text", F.xxhash64("id", "text").alias("k1"), F.xxhash64("text", "id", F.lit(7)).alias("k2"))
+def repeated_starts(docs: DataFrame, length: int, id_col: str, text_col: str, carry: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """(texts with their keys and what they carry; keys and starts of repeated strings)."""
+    src = docs.select(F.struct(F.col(id_col), *[F.col(c) for c in carry]).alias("row"), F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    keyed = src.select("row", "text", F.xxhash64("id", "text").alias("k1"), F.xxhash64("text", "id", F.lit(7)).alias("k2"))
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     v, cover = difference_set(max(1, length * 46 // 100))
@@ -342,22 +342,22 @@ def concerned(keyed: DataFrame, found: DataFrame, how: str = "left_semi") -> Dat
     return keyed.withColumn("slot", slot()).join(F.broadcast(slots), "slot", how).drop("slot")
 
 
-def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text", whole_characters: bool = False) -> DataFrame:
-    """(id, n_bytes, n_removed, n_spans, kept binary) of every text.
+def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text", whole_characters: bool = False, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(id, carried columns, n_bytes, n_removed, n_spans, kept binary) of every text.
 
     whole_characters: a character whose bytes go only in part stays.
     """
-    return _removed(docs, length, id_col, text_col, False, whole_characters)
+    return _removed(docs, length, id_col, text_col, False, whole_characters, carry)
 
 
 def repeat_digests(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept_sha256) of every text."""
-    return _removed(docs, length, id_col, text_col, True, False)
+    return _removed(docs, length, id_col, text_col, True, False, ())
 
 
-def _removed(docs: DataFrame, length: int, id_col: str, text_col: str, digest: bool, whole: bool) -> DataFrame:
-    keyed, starts = repeated_starts(docs, length, id_col, text_col)
-    kind = docs.schema[id_col].dataType.simpleString()
+def _removed(docs: DataFrame, length: int, id_col: str, text_col: str, digest: bool, whole: bool, carry: tuple[str, ...]) -> DataFrame:
+    keyed, starts = repeated_starts(docs, length, id_col, text_col, carry)
+    kind = keyed.schema["row"].dataType.simpleString()
     last = "kept_sha256 string" if digest else "kept binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -376,10 +376,10 @@ def _removed(docs: DataFrame, length: int, id_col: str, text_col: str, digest: b
                 n_removed.append(len(own) - len(out))
                 n_spans.append(len(a))
                 kept.append(hashlib.sha256(out).hexdigest() if digest else out)
-            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(np.diff(off)), pa.array(n_removed, pa.int64()), pa.array(n_spans, pa.int64()), pa.array(kept, pa.string() if digest else pa.binary())], names=[id_col, "n_bytes", "n_removed", "n_spans", last.split()[0]])
+            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(np.diff(off)), pa.array(n_removed, pa.int64()), pa.array(n_spans, pa.int64()), pa.array(kept, pa.string() if digest else pa.binary())], names=["row", "n_bytes", "n_removed", "n_spans", last.split()[0]])
 
-    cut = concerned(keyed, starts).join(starts, ["k1", "k2"], "left").select(F.col("id").alias(id_col), "text", "at").mapInArrow(run, f"`{id_col}` {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, {last}")
+    cut = concerned(keyed, starts).join(starts, ["k1", "k2"], "left").select("row", "text", "at").mapInArrow(run, f"row {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, {last}")
     raw = F.encode("text", "UTF-8")
     whole_text = (F.sha2(raw, 256) if digest else raw).alias(last.split()[0])
-    rest = concerned(keyed, starts, "left_anti").select(F.col("id").alias(id_col), F.octet_length("text").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), whole_text)
-    return cut.unionByName(rest)
+    rest = concerned(keyed, starts, "left_anti").select("row", F.octet_length("text").cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), whole_text)
+    return cut.unionByName(rest).select("row.*", "n_bytes", "n_removed", "n_spans", last.split()[0])

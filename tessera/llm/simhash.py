@@ -103,7 +103,7 @@ def fingerprints(docs: DataFrame, size: int = 3, words: int = 1, id_col: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, off in slices(batches, text_col):
             h, first, _ = shingle_hashes(data, off, size)
-            codes = [majority(h if not k else mix(h + U64(k) * U64(0x9E3779B97F4A7C15)), first) for k in range(words)]
+            codes = [majority(h if not k else mix(h + U64(k * 0x9E3779B97F4A7C15 % 2**64)), first) for k in range(words)]
             yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(np.diff(first)), *[pa.array(c.view(np.int64)) for c in codes]], names=[id_col, "n", *[f"f{k}" for k in range(words)]])
 
     return src.mapInArrow(run, f"`{id_col}` {src.schema[id_col].dataType.simpleString()}, n bigint, " + ", ".join(f"f{k} bigint" for k in range(words)))
@@ -163,6 +163,8 @@ def groups_within_two(docs: DataFrame, size: int = 3, id_col: str = "doc_id", te
 def near_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, words: int = 8, bucket: int = BUCKET, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, component_id) by long fingerprints, for links far beyond two bits.
 
+    Texts without a word are groups of their own kind: all have the fingerprint zero.
+
     Jaccard similarity s of shingle sets is a cosine of 2s / (1 + s), and so an
     expected share of differing bits. tau is that share plus two standard deviations.
     The ring has a segment for every 16 bits; texts whose shingle counts cannot have
