@@ -12,6 +12,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 from tessera.functions.text import fold
 
@@ -106,12 +107,12 @@ def parts(term: str | None) -> list[str]:
     return found if len(found) > 1 else []
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(ArrayType(StringType()))
 def condition_variants(terms: pd.Series) -> pd.Series:
     return terms.map(variants)
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(ArrayType(StringType()))
 def condition_parts(terms: pd.Series) -> pd.Series:
     return terms.map(parts)
 
