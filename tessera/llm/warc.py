@@ -117,7 +117,7 @@ class WarcReader(DataSourceReader):
                 held = 0
             parts[-1].append((path, size))
             held += size
-        return [_Files(p) for p in parts]
+        return [_Files(p) for p in parts or [[]]]
 
     def read(self, partition: _Files) -> Iterator[pa.RecordBatch]:
         fs, _ = _open_root(self.options["path"])
