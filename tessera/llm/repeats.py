@@ -46,7 +46,7 @@ SLOTS = 1 << 20
 KEY = 32
 #: Blocks of more than 1 / HOT_SHARE of a partition's pieces, and of HOT_LEAST, are dealt on.
 HOT_SHARE = 20
-HOT_LEAST = 2_000
+HOT_LEAST = 256
 _SLICE = 4 << 20
 
 
@@ -105,18 +105,31 @@ def reach_positions(length: int, v: int) -> Callable:
     return select
 
 
-def gather(group: pa.Table) -> pa.Table:
-    """Positions of one slice, text by text; the slice's header row has its texts."""
+def gather(group: pa.Table, runs: bool) -> pa.Table:
+    """Positions of one slice, text by text; the slice's header row has its texts.
+
+    runs: positions come and go as pairs of the first and how many follow each other.
+    """
     head = next(i for i, x in enumerate(group.column("cut")) if x.is_valid)
     k1, k2 = (np.frombuffer(group.column(c)[head].as_buffer(), "<i8") for c in ("k1s", "k2s"))
     cut = np.frombuffer(group.column("cut")[head].as_buffer(), "<u4").astype(np.int64)
-    mark = np.zeros(cut[-1] + 1, bool)
+    edge = np.zeros(cut[-1] + 2, np.int32)
     for x in group.column("at"):
-        mark[np.frombuffer(x.as_buffer(), "<u4")] = True
-    at = np.flatnonzero(mark)
-    first = np.searchsorted(at, cut)
-    docs = np.flatnonzero(np.diff(first))
-    return pa.table([pa.array(k1[docs]), pa.array(k2[docs]), pa.array([(at[first[d] : first[d + 1]] - cut[d]).astype("<u4").tobytes() for d in docs.tolist()], pa.binary())], names=["k1", "k2", "at"])
+        at = np.frombuffer(x.as_buffer(), "<u4").astype(np.int64)
+        first, n = (at[::2], at[1::2]) if runs else (at, 1)
+        np.add.at(edge, first, 1)
+        np.add.at(edge, first + n, -1)
+    at = np.flatnonzero(np.cumsum(edge) > 0)
+    bound = np.searchsorted(at, cut)
+    docs = np.flatnonzero(np.diff(bound))
+    own = [at[bound[d] : bound[d + 1]] - cut[d] for d in docs.tolist()]
+    return pa.table([pa.array(k1[docs]), pa.array(k2[docs]), pa.array([(as_runs(x) if runs else x).astype("<u4").tobytes() for x in own], pa.binary())], names=["k1", "k2", "at"])
+
+
+def as_runs(at: np.ndarray) -> np.ndarray:
+    """Pairs of the first and the count of positions that follow each other."""
+    head = np.flatnonzero(np.diff(at, prepend=-2) != 1)
+    return np.stack([at[head], np.diff(np.append(head, len(at)))], axis=1).ravel()
 
 
 def tied(texts: DataFrame, length: int, select: Callable, blocks: int) -> DataFrame:
@@ -156,7 +169,7 @@ def tied(texts: DataFrame, length: int, select: Callable, blocks: int) -> DataFr
             n = len(full) + 1
             none = [None] * (n - 1)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.append(-1 - block % blocks, full), pa.int32()), pa.array(np.full(n, block, np.int64)), pa.array([key("k1"), *none], pa.binary()), pa.array([key("k2"), *none], pa.binary()), pa.array([off.astype("<u4").tobytes(), *none], pa.binary()), pa.array(at_bytes, pa.binary()), pa.array(codes, pa.binary())],
+                [pa.array(np.append(-1 - (31 * part + seq) % blocks, full), pa.int32()), pa.array(np.full(n, block, np.int64)), pa.array([key("k1"), *none], pa.binary()), pa.array([key("k2"), *none], pa.binary()), pa.array([off.astype("<u4").tobytes(), *none], pa.binary()), pa.array(at_bytes, pa.binary()), pa.array(codes, pa.binary())],
                 names=["bucket", "block", "k1s", "k2s", "cut", "at", "code"],
             )
 
@@ -184,7 +197,7 @@ def tied(texts: DataFrame, length: int, select: Callable, blocks: int) -> DataFr
 
     sent = texts.mapInArrow(emit, "bucket int, block bigint, k1s binary, k2s binary, cut binary, at binary, code binary")
     met = sent.groupBy("bucket").applyInArrow(sort_block, "block bigint, k1s binary, k2s binary, cut binary, at binary")
-    return met.groupBy("block").applyInArrow(gather, "k1 bigint, k2 bigint, at binary").dropDuplicates(["k1", "k2"])
+    return met.groupBy("block").applyInArrow(lambda group: gather(group, False), "k1 bigint, k2 bigint, at binary").dropDuplicates(["k1", "k2"])
 
 
 def smallest_in_window(h: np.ndarray, width: int) -> np.ndarray:
@@ -201,7 +214,7 @@ def smallest_in_window(h: np.ndarray, width: int) -> np.ndarray:
 
 
 def tied_in_blocks(texts: DataFrame, length: int, select: Callable, partitions: int) -> DataFrame:
-    """As ``tied``, for positions that mostly follow each other: their texts are sent, in pieces."""
+    """As ``tied``, for positions that mostly follow each other: their texts are sent, in pieces, and ``at`` has runs."""
     key = min(KEY, length)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,7 +231,6 @@ def tied_in_blocks(texts: DataFrame, length: int, select: Callable, partitions:
             begin, end = pos[head], pos[head] + n - 1 + length
             _, first, inverse, count = np.unique(span_hash(prefix, begin, end), return_index=True, return_inverse=True, return_counts=True)
             again = count[inverse] > 1
-            here = np.concatenate([np.arange(a, a + k) for a, k in zip(begin[again].tolist(), n[again].tolist())]) if again.any() else begin[:0]
             block = (part << 32) | seq
             seq += 1
             first = np.sort(first)
@@ -231,7 +243,7 @@ def tied_in_blocks(texts: DataFrame, length: int, select: Callable, partitions:
                     pa.array(np.full(size, block, np.int64)),
                     pa.array([0, *begin[first].tolist()], pa.int32()),
                     pa.array([None, *[raw[a:b] for a, b in zip(begin[first].tolist(), end[first].tolist())]], pa.binary()),
-                    *[pa.array([x, *none], pa.binary()) for x in (column("k1"), column("k2"), off.astype("<u4").tobytes(), here.astype("<u4").tobytes())],
+                    *[pa.array([x, *none], pa.binary()) for x in (column("k1"), column("k2"), off.astype("<u4").tobytes(), np.stack([begin[again], n[again]], axis=1).astype("<u4").tobytes())],
                 ],
                 names=["m", "block", "pos", "piece", "k1s", "k2s", "cut", "at"],
             )
@@ -266,7 +278,7 @@ def tied_in_blocks(texts: DataFrame, length: int, select: Callable, partitions:
                 full = np.flatnonzero(np.diff(edge))
                 sent = [by[edge[b] : edge[b + 1]] for b in full.tolist()]
                 lists = [np.flatnonzero(again), *sent]
-                yield pa.RecordBatch.from_arrays([pa.array([-1 - lo % (2 * partitions), *full.tolist()], pa.int32()), *[pa.array([x[i].astype(kind).tobytes() for i in lists], pa.binary()) for x, kind in ((block, "<i8"), (at, "<u4"), (h, "<u8"))]], names=["bucket", "blocks", "ats", "codes"])
+                yield pa.RecordBatch.from_arrays([pa.array([-1 - int(h[0] % U64(2 * partitions)), *full.tolist()], pa.int32()), *[pa.array([x[i].astype(kind).tobytes() for i in lists], pa.binary()) for x, kind in ((block, "<i8"), (at, "<u4"), (h, "<u8"))]], names=["bucket", "blocks", "ats", "codes"])
 
     def sort_dealt(group: pa.Table) -> pa.Table:
         block, at, h = (np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in group.column(c)]) for c, kind in (("blocks", "<i8"), ("ats", "<u4"), ("codes", "<u8")))
@@ -288,7 +300,7 @@ def tied_in_blocks(texts: DataFrame, length: int, select: Callable, partitions:
         met = met.union(dealt.groupBy("bucket").applyInArrow(sort_dealt, outcome))
     none = F.lit(None).cast("binary")
     every = met.select("block", none.alias("k1s"), none.alias("k2s"), none.alias("cut"), "at").union(pieces.filter("m is null").select("block", "k1s", "k2s", "cut", "at"))
-    return every.groupBy("block").applyInArrow(gather, "k1 bigint, k2 bigint, at binary").dropDuplicates(["k1", "k2"])
+    return every.groupBy("block").applyInArrow(lambda group: gather(group, True), "k1 bigint, k2 bigint, at binary").dropDuplicates(["k1", "k2"])
 
 
 def equal_to_another(h: np.ndarray) -> np.ndarray:
@@ -302,21 +314,20 @@ def equal_to_another(h: np.ndarray) -> np.ndarray:
 
 
 def _by_block(block: np.ndarray, at: np.ndarray) -> pa.Table:
-    order = np.argsort(block, kind="stable")
+    order = np.lexsort((at, block))
     block, at = block[order], at[order]
     head = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]])) if len(block) else np.zeros(0, np.int64)
     edge = np.append(head, len(block)).tolist()
-    return pa.table([pa.array(block[head]), pa.array([at[a:b].astype("<u4").tobytes() for a, b in zip(edge[:-1], edge[1:])], pa.binary())], names=["block", "at"])
+    return pa.table([pa.array(block[head]), pa.array([as_runs(at[a:b]).astype("<u4").tobytes() for a, b in zip(edge[:-1], edge[1:])], pa.binary())], names=["block", "at"])
 
 
-def spans_of(at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the maximal runs that strings of this length at sorted positions cover."""
-    if not len(at):
-        return at, at
-    new = np.ones(len(at), bool)
-    new[1:] = at[1:] > at[:-1] + length
-    head = np.flatnonzero(new)
-    return at[head], at[np.append(head[1:] - 1, len(at) - 1)] + length
+def spans_of(runs: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of what strings of this length cover that start in the runs (sorted pairs of first and count)."""
+    first, end = runs[::2], runs[::2] + runs[1::2] - 1 + length
+    if not len(first):
+        return first, end
+    head = np.flatnonzero(np.append(True, first[1:] > end[:-1]))
+    return first[head], end[np.append(head[1:] - 1, len(end) - 1)]
 
 
 def repeated_starts(docs: DataFrame, length: int, id_col: str, text_col: str, carry: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
