@@ -23,8 +23,11 @@ class Publisher:
     def _read(self, path: str) -> str | None:
         if not self._fs.exists(self._path(path)):
             return None
-        rows = self.spark.read.option("wholetext", "true").text(path).collect()
-        return rows[0][0] if rows else None
+        stream = self._fs.open(self._path(path))
+        try:
+            return self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
 
     def live(self) -> str | None:
         text = self._read(f"{self.root}/_LATEST.json")

@@ -98,7 +98,7 @@ def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def read_key_values(spark: SparkSession, path: str) -> DataFrame:
     """(path, record, key, value) of text files with "Key: value" lines and blank lines between records."""
-    text = spark.read.option("wholetext", "true").text(path).select(F.col("_metadata.file_path").alias("path"), F.posexplode(F.split("value", r"\r?\n[ \t]*\r?\n")).alias("record", "body"))
+    text = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.posexplode(F.split("value", r"\r?\n[ \t]*\r?\n")).alias("record", "body"))
     lines = text.select("path", "record", F.explode(F.split("body", r"\r?\n")).alias("line")).filter(F.col("line").contains(":"))
     return lines.select("path", "record", F.trim(F.substring_index("line", ":", 1)).alias("key"), F.trim(F.expr("substring(line, instr(line, ':') + 1)")).alias("value"))
 

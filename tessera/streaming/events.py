@@ -12,26 +12,32 @@ def read(spark: SparkSession, path: str, like: DataFrame, per_trigger: int = 100
     return spark.readStream.schema(like.schema).option("maxFilesPerTrigger", per_trigger).parquet(path)
 
 
+def _marked(events: DataFrame, time: str, late: str | None) -> DataFrame:
+    """The events with an instant as their time and, in a stream, a watermark."""
+    timed = events.withColumn(time, F.col(time).cast("timestamp"))
+    return timed.withWatermark(time, late) if events.isStreaming and late else timed
+
+
 def tumbling(events: DataFrame, size: str = "1 day", late: str | None = "1 day", time: str = "ts") -> DataFrame:
     """(start, event_type, n, total) by windows; the same for batches and streams."""
-    marked = events.withWatermark(time, late) if events.isStreaming and late else events
+    marked = _marked(events, time, late)
     return marked.groupBy(F.window(time, size).alias("w"), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total")).select(F.col("w.start").alias("start"), "event_type", "n", "total")
 
 
 def sliding(events: DataFrame, size: str, step: str, late: str | None = "1 day", time: str = "ts") -> DataFrame:
-    marked = events.withWatermark(time, late) if events.isStreaming and late else events
+    marked = _marked(events, time, late)
     return marked.groupBy(F.window(time, size, step).alias("w"), "event_type").agg(F.count("*").alias("n")).select(F.col("w.start").alias("start"), "event_type", "n")
 
 
 def sessions(events: DataFrame, gap: str = "6 hours", late: str | None = "1 day", time: str = "ts") -> DataFrame:
     """(user_id, start, end, n): a user's events without a longer pause."""
-    marked = events.withWatermark(time, late) if events.isStreaming and late else events
+    marked = _marked(events, time, late)
     return marked.groupBy("user_id", F.session_window(time, gap).alias("w")).agg(F.count("*").alias("n")).select("user_id", F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n")
 
 
 def once(events: DataFrame, keys: list[str], late: str = "1 day", time: str = "ts") -> DataFrame:
     """Each key once; in a stream, within the watermark."""
-    return events.withWatermark(time, late).dropDuplicatesWithinWatermark(keys) if events.isStreaming else events.dropDuplicates(keys)
+    return _marked(events, time, late).dropDuplicatesWithinWatermark(keys) if events.isStreaming else events.dropDuplicates(keys)
 
 
 def drain(stream: DataFrame, checkpoint: str, work: Callable[[DataFrame, int], None]) -> None:
