@@ -164,47 +164,51 @@ def near_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, words:
     """(id, component_id) by long fingerprints, for links far beyond two bits.
 
     Texts without a word are groups of their own kind: all have the fingerprint zero.
-
     Jaccard similarity s of shingle sets is a cosine of 2s / (1 + s), and so an
     expected share of differing bits. tau is that share plus two standard deviations.
-    The ring has a segment for every 16 bits; texts whose shingle counts cannot have
-    the similarity do not meet. The first segment must be equal, so a link of
-    similarity 0.8, 0.85, 0.9 is met with a chance of 0.91, 0.98, 0.998 (512 bits).
-    In a bucket of more than ``bucket`` fingerprints each meets the smallest one, and
-    the rest where the chain's next segments are equal too.
+    The ring has a segment for every 16 bits. Two fingerprints meet where a segment is
+    equal; the chain of four segments that begins there must stay within its share of
+    differing bits (and three standard deviations) before all bits are compared. A
+    link of similarity 0.8, 0.85, 0.9 is met with a chance of 0.91, 0.98, 0.998 (512
+    bits).
+
+    First, each fingerprint meets the smallest one of each of its buckets. Then those
+    without a link meet all others of their buckets, up to ``bucket`` or four times
+    the mean; in larger buckets they meet those whose next segments are equal too. So
+    a group of many near copies makes links in proportion to its size.
     """
     bits, m = 64 * words, 4 * words
     share = np.arccos(2 * similarity / (1 + similarity)) / np.pi
-    tau = int(bits * share + 2 * np.sqrt(bits * share * (1 - share)))
+    within = lambda n, sigmas: int(n * share + sigmas * np.sqrt(n * share * (1 - share)))
     names = [f"f{k}" for k in range(words)]
     prints = through_table(fingerprints(docs, size, words, id_col, text_col), "prints")
     distinct = prints.groupBy(*names).agg(F.min(id_col).alias("least"), F.max("n").alias("n")).withColumn("v", F.xxhash64(*names))
     distinct = through_table(distinct, "distinct")
-    band = F.floor(F.log(F.greatest("n", F.lit(1))) / F.lit(-np.log(similarity))).cast("int")
-    seg = lambda i: _segment(F.col(names[i // 4]), 16 * (i % 4), 16)
-    chain = [F.struct(F.lit(i).alias("i"), *[seg((i + j) % m).alias(f"s{j}") for j in range(4)]) for i in range(m)]
-    rows = distinct.filter("n > 0").select("v", "n", *names, band.alias("band"), F.explode(F.array(*chain)).alias("p")).select("v", "n", *names, "band", "p.*")
-    out = []
-    key: list[str] = ["i"]
-    for level in ("s0", "s1", "s2", "s3"):
-        key = [*key, level]
-        # A text meets its own band and the next: counts within the similarity lie at most one band apart.
-        left = rows.withColumn("at", F.col("band"))
-        right = rows.withColumn("at", F.explode(F.array(F.col("band"), F.col("band") - 1)))
-        counts = rows.groupBy(*key, "band").count().filter(F.col("count") > bucket)
-        hot_rows = counts.select(*key, F.explode(F.array(F.col("band"), F.col("band") - 1)).alias("at"))
-        hot = through_table(hot_rows.select(_slot(*key, "at").alias("slot")).distinct(), "hot")
-        cold = lambda df: df.withColumn("slot", _slot(*key, "at")).join(F.broadcast(hot), "slot", "left_anti")  # noqa: B023, E731
-        out.append(_meet(cold(left), cold(right), [*key, "at"], names, tau, similarity))
-        if hot.isEmpty():
-            break
-        warm = lambda df: df.withColumn("slot", _slot(*key, "at")).join(F.broadcast(hot), "slot", "left_semi")  # noqa: B023, E731
-        pivot = warm(left).groupBy(*key, "at").agg(F.min(F.struct("v", "n", *names)).alias("w")).select(*key, "at", "w.*")
-        out.append(_meet(pivot, warm(right), [*key, "at"], names, tau, similarity))
-        rows = warm(left).drop("slot", "at")
-    links = out[0]
-    for more in out[1:]:
+    usual = max(bucket, 4 * distinct.count() // (1 << 16))
+    codes = distinct.select("v", *names)
+    chain = [F.struct(F.lit(i).alias("i"), _ring(names, i).alias("chain")) for i in range(m)]
+    rows = distinct.filter("n > 0").select("v", F.col("n").cast("int").alias("n"), F.explode(F.array(*chain)).alias("p")).select("v", "n", "p.i", "p.chain")
+    links, left = None, None
+    for level in range(1, 5):
+        # The key is the segment's number and as many segments as the level.
+        keyed = rows.withColumn("key", F.xxhash64("i", _segment(F.col("chain"), 0, 16 * level)) if level < 4 else F.xxhash64("i", "chain"))
+        asked = keyed if left is None else keyed.join(left, "v")
+        counts = keyed.groupBy("key").agg(F.count("*").alias("c"), F.min(F.struct("v", "n", "chain")).alias("w")).filter("c > 1")
+        first = counts.select("key", "w.*")
+        found = _verified(_meet(asked, first, similarity, within(48, 3)), codes, names, within(bits, 2))
+        found = through_table(found, "links")
+        links = found if links is None else links.union(found)
+        linked = found.select(F.explode(F.array("a", "b")).alias("v")).distinct()
+        left = (distinct.filter("n > 0").select("v") if left is None else left).join(linked, "v", "left_anti")
+        hot = through_table(counts.filter(F.col("c") > usual).select(F.pmod("key", F.lit(SLOTS)).cast("int").alias("slot")).distinct(), "hot")
+        slotted = keyed.withColumn("slot", F.pmod("key", F.lit(SLOTS)).cast("int"))
+        cold = slotted.join(F.broadcast(hot), "slot", "left_anti").drop("slot")
+        more = through_table(_verified(_meet(cold.join(left, "v"), cold, similarity, within(48, 3)), codes, names, within(bits, 2)), "links")
         links = links.union(more)
+        left = through_table(left.join(more.select(F.explode(F.array("a", "b")).alias("v")).distinct(), "v", "left_anti"), "left")
+        if hot.isEmpty() or left.isEmpty():
+            break
+        rows = slotted.join(F.broadcast(hot), "slot", "left_semi").select("v", "n", "i", "chain")
     found = components(links)
     rooted = distinct.select(*names, "least", "v").join(found, "v", "left").select(*names, "least", F.coalesce("root", "v").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
@@ -212,11 +216,28 @@ def near_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, words:
     return prints.join(named, names).select(id_col, "component_id")
 
 
-def _meet(left: DataFrame, right: DataFrame, key: list[str], names: list[str], tau: int, similarity: float) -> DataFrame:
-    x = left.select(*key, F.col("v").alias("xv"), F.col("n").alias("xn"), *[F.col(c).alias(f"x{c}") for c in names])
-    y = right.select(*key, F.col("v").alias("yv"), F.col("n").alias("yn"), *[F.col(c).alias(f"y{c}") for c in names])
-    apart = [F.bit_count(F.col(f"x{c}").bitwiseXOR(F.col(f"y{c}"))) for c in names]
-    met = x.join(y, key).filter((F.col("xv") != F.col("yv")) & (F.least("xn", "yn") >= F.lit(similarity) * F.greatest("xn", "yn") - 1))
-    # From an equal first segment only the whole ring's budget loses no link.
-    total = sum(apart[1:], apart[0])
-    return met.filter(total <= tau).select(F.greatest("xv", "yv").alias("a"), F.least("xv", "yv").alias("b"))
+def _ring(names: list[str], i: int) -> Column:
+    """64 bits of the ring from segment i on."""
+    word, part = divmod(i, 4)
+    here = F.col(names[word])
+    if not part:
+        return here
+    after = F.col(names[(word + 1) % len(names)])
+    return F.shiftrightunsigned(here, 16 * part).bitwiseOR(F.shiftleft(after, 64 - 16 * part))
+
+
+def _meet(left: DataFrame, right: DataFrame, similarity: float, budget: int) -> DataFrame:
+    """(a, b), a > b: pairs of a key whose sizes allow the similarity and whose chains stay within the budget."""
+    x = left.select("key", F.col("v").alias("xv"), F.col("n").alias("xn"), F.col("chain").alias("xc"))
+    y = right.select("key", F.col("v").alias("yv"), F.col("n").alias("yn"), F.col("chain").alias("yc"))
+    sizes = F.least("xn", "yn") >= F.lit(similarity) * F.greatest("xn", "yn") - 1
+    met = x.join(y, (x["key"] == y["key"]) & (F.col("xv") != F.col("yv")) & sizes & (F.bit_count(F.col("xc").bitwiseXOR(F.col("yc"))) <= budget))
+    return met.select(F.greatest("xv", "yv").alias("a"), F.least("xv", "yv").alias("b")).distinct()
+
+
+def _verified(pairs: DataFrame, codes: DataFrame, names: list[str], tau: int) -> DataFrame:
+    """The pairs that differ in at most tau bits of all."""
+    x = codes.select(F.col("v").alias("a"), *[F.col(c).alias(f"x{c}") for c in names])
+    y = codes.select(F.col("v").alias("b"), *[F.col(c).alias(f"y{c}") for c in names])
+    total = sum((F.bit_count(F.col(f"x{c}").bitwiseXOR(F.col(f"y{c}"))) for c in names), F.lit(0))
+    return pairs.join(x, "a").join(y, "b").filter(total <= tau).select("a", "b")
