@@ -26,6 +26,7 @@ class Build:
         self.names: list[DataFrame] = []
         self.aliases: list[DataFrame] = []
         self.used: list[str] = []
+        self._resolver: tuple[tuple[int, int], DataFrame] | None = None
 
     def has(self, name: str) -> bool:
         return name in self.lake
@@ -48,7 +49,13 @@ class Build:
         self.add("HAS_IDENTIFIER", edge, source, src="src", dst="dst", match_method="match_method")
 
     def substances(self) -> DataFrame:
-        """The resolver's dictionary of what has been loaded so far."""
+        """The resolver's dictionary of what has been loaded so far; kept until more names come.
+
+        It is persisted, so that each table does not build it anew; a lost part is made again.
+        """
+        state = (len(self.names), len(self.aliases))
+        if self._resolver and self._resolver[0] == state:
+            return self._resolver[1]
         names = aliases = None
         for rank, n in enumerate(self.names):
             one = n.select("name", "id", F.lit(rank).alias("ord"))
@@ -56,11 +63,16 @@ class Build:
         for rank, a in enumerate(self.aliases):
             one = a.select("name", "id", "method", F.lit(rank).alias("ord"))
             aliases = one if aliases is None else aliases.unionByName(one)
-        return resolve.dictionary(names, aliases)
+        self._resolver = (state, resolve.dictionary(names, aliases).persist())
+        return self._resolver[1]
+
+    def keep(self, name: str, rows: DataFrame) -> None:
+        """A dictionary that several loaders read."""
+        self.dictionaries[name] = rows.persist()
 
     def resolve(self, rows: DataFrame, name: str, provisional: bool = False) -> DataFrame:
         """Rows with ``substance`` and ``match_method``; unknown names go, or stand for themselves."""
-        out = resolve.resolve(rows, self.substances(), name).withColumnRenamed("key", "substance").withColumnRenamed("method", "match_method")
+        out = resolve.resolve(rows, self.substances(), name, "substance", "match_method")
         return out.filter("substance <> ''" + ("" if provisional else " and match_method <> 'provisional'"))
 
     def diseases(self) -> list[DataFrame]:

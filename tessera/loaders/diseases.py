@@ -20,7 +20,7 @@ def mesh(b: Build) -> None:
     links = hierarchy.tree_parents(r.select("key", F.explode("trees").alias("number")))
     b.add("SUBTYPE_OF", links, "mesh", src="child", dst="parent", match_method=F.lit("structured"))
     every = r.select("key", F.lit(0).alias("o"), F.col("name").alias("n")).union(r.select("key", F.lit(1), F.explode(names)))
-    b.dictionaries["mesh"] = every.select(text.fold(F.col("n")).alias("probe"), "key", "o").filter("probe <> ''").groupBy("probe").agg(F.min_by("key", F.struct("o", "key")).alias("key"))
+    b.keep("mesh", every.select(text.fold(F.col("n")).alias("probe"), "key", "o").filter("probe <> ''").groupBy("probe").agg(F.min_by("key", F.struct("o", "key")).alias("key")))
 
 
 def icd10(b: Build) -> None:
@@ -30,8 +30,8 @@ def icd10(b: Build) -> None:
     b.identify(r, "icd10", "key", "ICD10", "code")
     up = text.first_filled(F.col("parent_code"), F.col("block_id"))
     b.add("SUBTYPE_OF", r.filter(up != ""), "icd10", src="key", dst=F.concat(F.lit("ICD10:"), up), match_method=F.lit("structured"))
-    b.dictionaries["icd"] = r.select("code", "key").dropDuplicates(["code"])
-    b.dictionaries["disease_alias"] = r.select(text.fold(F.col("title")).alias("probe"), "key").filter("probe <> ''").groupBy("probe").agg(F.min("key").alias("key")).join(b.dictionaries["mesh"].select("probe"), "probe", "left_anti")
+    b.keep("icd", r.select("code", "key").dropDuplicates(["code"]))
+    b.keep("disease_alias", r.select(text.fold(F.col("title")).alias("probe"), "key").filter("probe <> ''").groupBy("probe").agg(F.min("key").alias("key")).join(b.dictionaries["mesh"].select("probe"), "probe", "left_anti"))
 
 
 def icd11(b: Build) -> None:

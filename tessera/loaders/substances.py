@@ -36,8 +36,8 @@ def molecules(b: Build) -> None:
     kinds = r.filter("molecule_type <> ''").filter(~text.is_placeholder(F.col("molecule_type")))
     b.add("Modality", kinds, "chembl", key=folded_key("MODALITY:", "molecule_type"), name="molecule_type")
     b.add("HAS_MODALITY", kinds, "chembl", src="key", dst=folded_key("MODALITY:", "molecule_type"), match_method=F.lit("structured"))
-    b.dictionaries["molregno"] = r.select("molregno", F.col("key").alias("substance")).dropDuplicates(["molregno"])
-    b.dictionaries["chembl"] = r.select(F.col("chembl_id").alias("drug_id"), F.col("key").alias("substance")).dropDuplicates(["drug_id"])
+    b.keep("molregno", r.select("molregno", F.col("key").alias("substance")).dropDuplicates(["molregno"]))
+    b.keep("chembl", r.select(F.col("chembl_id").alias("drug_id"), F.col("key").alias("substance")).dropDuplicates(["drug_id"]))
 
 
 def molecule_synonyms(b: Build) -> None:
@@ -56,7 +56,7 @@ def salts(b: Build) -> None:
     m = b.dictionaries["molregno"]
     pairs = h.join(m.withColumnRenamed("substance", "child"), "molregno").join(m.toDF("parent_molregno", "parent"), "parent_molregno").filter("child <> parent").select("child", "parent").distinct()
     b.add("IS_SALT_OF", pairs, "chembl", src="child", dst="parent", match_method=F.lit("structured"))
-    b.dictionaries["salt_parent"] = pairs
+    b.keep("salt_parent", pairs)
 
 
 def atc_substances(b: Build) -> None:
@@ -87,8 +87,8 @@ def targets(b: Build) -> None:
     t = t.withColumn("key", F.coalesce(F.concat(F.lit("UNIPROT:"), "accession"), F.concat(F.lit("CHEMBL_TARGET:"), "chembl_id")))
     b.add("Target", t, "chembl", key="key", symbol="symbol", name="pref_name", organism="organism", target_type="target_type")
     b.identify(t.filter("accession is not null"), "chembl", "key", "UNIPROT", "accession")
-    b.dictionaries["tid"] = t.select("tid", F.col("key").alias("target")).dropDuplicates(["tid"])
-    b.dictionaries["symbol"] = t.filter("coalesce(symbol, '') <> ''").groupBy("symbol").agg(F.min("key").alias("target"))
+    b.keep("tid", t.select("tid", F.col("key").alias("target")).dropDuplicates(["tid"]))
+    b.keep("symbol", t.filter("coalesce(symbol, '') <> ''").groupBy("symbol").agg(F.min("key").alias("target")))
 
 
 def mechanisms(b: Build) -> None:

@@ -46,15 +46,15 @@ def collisions(names: DataFrame) -> DataFrame:
     return folded.join(won, "probe").filter("id <> winner").select("probe", "id").distinct()
 
 
-def resolve(queries: DataFrame, entries: DataFrame, name: str = "name") -> DataFrame:
-    """The queries with ``key`` and ``method``; an unknown name is its own provisional key, an empty one has none."""
+def resolve(queries: DataFrame, entries: DataFrame, name: str = "name", key: str = "key", method: str = "method") -> DataFrame:
+    """The queries with a key and the method that found it; an unknown name is its own provisional key, an empty one has none."""
     q = F.col(name)
     probes = F.array(*[F.struct(F.lit(i).alias("tier"), p.alias("probe")) for i, p in enumerate((text.fold(q), text.strip_salts(q), text.strip_stereo(q), text.fold(q)))])
     distinct = queries.select(name).distinct()
     probed = distinct.select(name, F.explode(probes).alias("p")).select(name, "p.*").filter("probe <> ''")
     won = probed.join(entries, ["tier", "probe"]).groupBy(name).agg(F.min_by(F.struct("id", "method"), F.col("tier")).alias("w"))
     folded = text.fold(q)
-    found = distinct.join(won, name, "left").select(name, F.when(folded == "", "").otherwise(F.coalesce("w.id", F.concat(F.lit("NAME:"), folded))).alias("key"), F.coalesce("w.method", F.lit("provisional")).alias("method"))
+    found = distinct.join(won, name, "left").select(name, F.when(folded == "", "").otherwise(F.coalesce("w.id", F.concat(F.lit("NAME:"), folded))).alias(key), F.coalesce("w.method", F.lit("provisional")).alias(method))
     return queries.join(found, queries[name].eqNullSafe(found[name])).drop(found[name])
 
 
