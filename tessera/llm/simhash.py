@@ -190,8 +190,7 @@ def near_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, words:
     rows = distinct.filter("n > 0").select("v", F.col("n").cast("int").alias("n"), F.explode(F.array(*chain)).alias("p")).select("v", "n", "p.i", "p.chain")
     links, left = None, None
     for level in range(1, 5):
-        # The key is the segment's number and as many segments as the level.
-        keyed = rows.withColumn("key", F.xxhash64("i", _segment(F.col("chain"), 0, 16 * level)) if level < 4 else F.xxhash64("i", "chain"))
+        keyed = rows.withColumn("key", _chain_key(level))
         asked = keyed if left is None else keyed.join(left, "v")
         counts = keyed.groupBy("key").agg(F.count("*").alias("c"), F.min(F.struct("v", "n", "chain")).alias("w")).filter("c > 1")
         first = counts.select("key", "w.*")
@@ -208,7 +207,9 @@ def near_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, words:
         left = through_table(left.join(more.select(F.explode(F.array("a", "b")).alias("v")).distinct(), "v", "left_anti"), "left")
         if hot.isEmpty() or left.isEmpty():
             break
-        rows = slotted.join(F.broadcast(hot), "slot", "left_semi").select("v", "n", "i", "chain")
+        # Longer keys that a fingerprint without a link has in a large bucket, and who else has them.
+        wanted = slotted.join(left, "v").join(F.broadcast(hot), "slot", "left_semi").select(_chain_key(level + 1).alias("key")).distinct()
+        rows = through_table(rows.withColumn("key", _chain_key(level + 1)).join(wanted, "key", "left_semi").select("v", "n", "i", "chain"), "rows") if level < 4 else rows
     found = components(links)
     rooted = distinct.select(*names, "least", "v").join(found, "v", "left").select(*names, "least", F.coalesce("root", "v").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
@@ -216,6 +217,11 @@ def near_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, words:
     return prints.join(named, names).select(id_col, "component_id")
 
 
+def _chain_key(level: int) -> Column:
+    """The segment's number and as many segments as the level, up to four."""
+    return F.xxhash64("i", _segment(F.col("chain"), 0, 16 * level)) if level < 4 else F.xxhash64("i", "chain")
+
+
 def _ring(names: list[str], i: int) -> Column:
     """64 bits of the ring from segment i on."""
     word, part = divmod(i, 4)
