@@ -20,21 +20,27 @@ the id and text columns are read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import only, through_table
 from tessera.llm.graph import components
-from tessera.llm.ragged import U64, mix, slices
+from tessera.llm.ragged import U64, mix, slices, spread
 
 #: Fingerprints that meet in pairs in a bucket, at most; beyond it, another way is taken.
 BUCKET = 48
 #: Distinct values at most of a broadcast of hot buckets' slots.
 SLOTS = 1 << 18
+#: Slots of common shingles, and how often one stands among two million to be common.
+COMMON_SLOTS = 1 << 20
+COMMON_TIMES = 4
+#: Rounds at most in which a shingle's sets meet one of them, before all pairs that are left.
+ROUNDS = 8
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -160,90 +166,168 @@ def groups_within_two(docs: DataFrame, size: int = 3, id_col: str = "doc_id", te
     return prints.join(named, F.col("f0") == F.col("f")).select(id_col, shown.alias("fingerprint"), "component_id")
 
 
-def near_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, words: int = 8, bucket: int = BUCKET, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, component_id) by long fingerprints, for links far beyond two bits.
+def shingle_sets(docs: DataFrame, size: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, v, n, set): distinct shingle hashes in order, how many, and a hash of them all."""
+    src = only(docs, id_col, text_col)
 
-    Texts without a word are groups of their own kind: all have the fingerprint zero.
-    Jaccard similarity s of shingle sets is a cosine of 2s / (1 + s), and so an
-    expected share of differing bits. tau is that share plus two standard deviations.
-    The ring has a segment for every 16 bits. Two fingerprints meet where a segment is
-    equal; the chain of four segments that begins there must stay within its share of
-    differing bits (and three standard deviations) before all bits are compared. A
-    link of similarity 0.8, 0.85, 0.9 is met with a chance of 0.91, 0.98, 0.998 (512
-    bits).
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, data, off in slices(batches, text_col):
+            h, first, _ = shingle_hashes(data, off, size)
+            h, text = h.view(np.int64), np.repeat(np.arange(len(first) - 1), np.diff(first))
+            order = np.lexsort((h, text))
+            h, text = h[order], text[order]
+            keep = np.ones(len(h), bool)
+            keep[1:] = (h[1:] != h[:-1]) | (text[1:] != text[:-1])
+            h, n = h[keep], np.bincount(text[keep], minlength=len(first) - 1)
+            at = spread(n)
+            raw, ends = h.tobytes(), (8 * at).tolist()
+            v = np.array([xxhash.xxh64_intdigest(raw[a:b], 7) for a, b in zip(ends, ends[1:])], U64).view(np.int64)
+            sets = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(h))
+            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(v), pa.array(n.astype(np.int32)), sets], names=[id_col, "v", "n", "set"])
+
+    return src.mapInArrow(run, f"`{id_col}` {src.schema[id_col].dataType.simpleString()}, v bigint, n int, set array<bigint>")
 
-    First, each fingerprint meets the smallest one of each of its buckets. Then those
-    without a link meet all others of their buckets, up to ``bucket`` or four times
-    the mean; in larger buckets they meet those whose next segments are equal too. So
-    a group of many near copies makes links in proportion to its size.
-    """
-    bits, m = 64 * words, 4 * words
-    share = np.arccos(2 * similarity / (1 + similarity)) / np.pi
-    within = lambda n, sigmas: int(n * share + sigmas * np.sqrt(n * share * (1 - share)))
-    names = [f"f{k}" for k in range(words)]
-    prints = through_table(fingerprints(docs, size, words, id_col, text_col), "prints")
-    distinct = prints.groupBy(*names).agg(F.min(id_col).alias("least"), F.max("n").alias("n")).withColumn("v", F.xxhash64(*names))
-    distinct = through_table(distinct, "distinct")
-    usual = max(bucket, 4 * distinct.count() // (1 << 16))
-    codes = distinct.select("v", *names)
-    chain = [F.struct(F.lit(i).alias("i"), _ring(names, i).alias("chain")) for i in range(m)]
-    rows = distinct.filter("n > 0").select("v", F.col("n").cast("int").alias("n"), F.explode(F.array(*chain)).alias("p")).select("v", "n", "p.i", "p.chain")
-    links, left = None, None
-    for level in range(1, 5):
-        keyed = rows.withColumn("key", _chain_key(level))
-        asked = keyed if left is None else keyed.join(left, "v")
-        counts = keyed.groupBy("key").agg(F.count("*").alias("c"), F.min(F.struct("v", "n", "chain")).alias("w")).filter("c > 1")
-        first = counts.select("key", "w.*")
-        found = _verified(_meet(asked, first, similarity, within(48, 3)), codes, names, within(bits, 2))
-        found = through_table(found, "links")
-        links = found if links is None else links.union(found)
-        linked = found.select(F.explode(F.array("a", "b")).alias("v")).distinct()
-        left = (distinct.filter("n > 0").select("v") if left is None else left).join(linked, "v", "left_anti")
-        hot = through_table(counts.filter(F.col("c") > usual).select(F.pmod("key", F.lit(SLOTS)).cast("int").alias("slot")).distinct(), "hot")
-        slotted = keyed.withColumn("slot", F.pmod("key", F.lit(SLOTS)).cast("int"))
-        cold = slotted.join(F.broadcast(hot), "slot", "left_anti").drop("slot")
-        more = through_table(_verified(_meet(cold.join(left, "v"), cold, similarity, within(48, 3)), codes, names, within(bits, 2)), "links")
-        links = links.union(more)
-        left = through_table(left.join(more.select(F.explode(F.array("a", "b")).alias("v")).distinct(), "v", "left_anti"), "left")
-        if hot.isEmpty() or left.isEmpty():
-            break
-        # Longer keys that a fingerprint without a link has in a large bucket, and who else has them.
-        wanted = slotted.join(left, "v").join(F.broadcast(hot), "slot", "left_semi").select(_chain_key(level + 1).alias("key")).distinct()
-        rows = through_table(rows.withColumn("key", _chain_key(level + 1)).join(wanted, "key", "left_semi").select("v", "n", "i", "chain"), "rows") if level < 4 else rows
-    found = components(links)
-    rooted = distinct.select(*names, "least", "v").join(found, "v", "left").select(*names, "least", F.coalesce("root", "v").alias("root"))
-    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(smallest, "root").select(*names, "component_id")
-    return prints.join(named, names).select(id_col, "component_id")
 
+def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(values, offsets) of a column of lists without nulls."""
+    off = np.asarray(column.offsets, np.int64)
+    return np.asarray(column.values)[off[0] : off[-1]], off - off[0]
 
-def _chain_key(level: int) -> Column:
-    """The segment's number and as many segments as the level, up to four."""
-    return F.xxhash64("i", _segment(F.col("chain"), 0, 16 * level)) if level < 4 else F.xxhash64("i", "chain")
 
+def _common_slots(sets: DataFrame) -> np.ndarray:
+    """Bits of the slots of shingles that many texts share; it serves only to order shingles."""
 
-def _ring(names: list[str], i: int) -> Column:
-    """64 bits of the ring from segment i on."""
-    word, part = divmod(i, 4)
-    here = F.col(names[word])
-    if not part:
-        return here
-    after = F.col(names[(word + 1) % len(names)])
-    return F.shiftrightunsigned(here, 16 * part).bitwiseOR(F.shiftleft(after, 64 - 16 * part))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, total, seen = [], 0, np.zeros(COMMON_SLOTS, bool)
+
+        def count() -> None:
+            # By parts, so that a task holds little besides its batches.
+            for part in range(16):
+                values, times = np.unique(np.concatenate([x[(x >> 60 & 15) == part] for x in held]), return_counts=True)
+                seen[values[times >= COMMON_TIMES] & (COMMON_SLOTS - 1)] = True
+
+        for batch in batches:
+            held.append(_lists(batch.column(0))[0])
+            total += len(held[-1])
+            if total > 1 << 21:
+                count()
+                held, total = [], 0
+        if held:
+            count()
+        yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(seen).astype(np.int32))], names=["slot"])
+
+    bits = np.zeros(COMMON_SLOTS, bool)
+    bits[[r[0] for r in sets.select("set").mapInArrow(run, "slot int").distinct().collect()]] = True
+    return np.packbits(bits)
+
+
+def _prefixes(sets: DataFrame, common: np.ndarray, num: int, den: int) -> DataFrame:
+    """(key, v, n, pos): the first shingles of each set, of which two similar sets share one.
+
+    Common shingles stand last, the others by hash. Sets of similarity t = num / den
+    share at least t * n shingles, so not all of them stand after the first
+    n - ceil(t * n) + 1 of either.
+    """
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        late = np.unpackbits(common).astype(bool)
+        for batch in batches:
+            values, off = _lists(batch.column(2))
+            lo = 0
+            while lo < batch.num_rows:
+                hi = max(lo + 1, int(np.searchsorted(off, off[lo] + (1 << 18), "right")) - 1)
+                own, at = values[off[lo] : off[hi]], off[lo : hi + 1] - off[lo]
+                n = np.diff(at)
+                text = np.repeat(np.arange(len(n)), n)
+                order = np.argsort(2 * text + late[own & (COMMON_SLOTS - 1)], kind="stable")
+                pos = np.arange(len(own)) - at[:-1][text]
+                first = pos < (n + (num * n // -den) + 1)[text]
+                rows = pa.array(text[first] + lo)
+                yield pa.RecordBatch.from_arrays([pa.array(own[order][first]), batch.column(0).take(rows), batch.column(1).take(rows), pa.array(pos[first].astype(np.int32))], names=["key", "v", "n", "pos"])
+                lo = hi
+
+    return sets.select("v", "n", "set").mapInArrow(run, "key bigint, v bigint, n int, pos int")
+
+
+def near_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, bucket: int = BUCKET, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, component_id): the components of all pairs whose shingle sets have the Jaccard similarity.
+
+    Nothing is estimated. Equal sets are one vertex. Sets meet on each shingle of
+    their prefixes (see ``_prefixes``), which no pair of the similarity misses; pairs
+    whose sizes and positions still allow it are compared by their whole sets.
+
+    A shingle that over ``bucket`` sets have in their prefix makes no pairs at first:
+    all meet one of them. Then all sets outside its largest component meet all others
+    of the shingle, save those in their own component, which are connected already.
+    So a group of many near copies makes links in proportion to its size.
+
+    Texts without a word are a group of their own.
+    """
+    ratio = Fraction(str(similarity))
+    num, den = ratio.numerator, ratio.denominator
+    sets = through_table(shingle_sets(docs, size, id_col, text_col), "sets")
+    met = _prefixes(sets, _common_slots(sets), num, den)
+    by_key = Window.partitionBy("key")
+    met = met.withColumn("lo", F.min("v").over(by_key)).withColumn("hi", F.max("v").over(by_key)).filter("lo <> hi")
+    rows = through_table(met.select("key", "v", "n", "pos").distinct(), "rows")
+    counts = rows.groupBy("key").agg(F.count("*").alias("c"))
+    rows = through_table(rows.join(counts, "key").withColumn("comp", F.col("v")), "rows")
+    cold, hot = rows.filter(F.col("c") <= bucket), through_table(rows.filter(F.col("c") > bucket), "hot")
+    leaders = hot.groupBy("key").agg(F.min(F.struct("v", "n", "pos", "comp")).alias("w")).select("key", "w.*")
+    links = _alike(_meet(cold, cold, F.col("x.v") < F.col("y.v"), num, den).union(_meet(leaders, hot, F.lit(True), num, den)), sets, num, den)
+    found = components(links)
+    last = False
+    for turn in range(ROUNDS):
+        named = hot.drop("comp").join(found, "v", "left").select("key", "v", "n", "pos", "c", F.coalesce("root", "v").alias("comp"))
+        named = through_table(named, "named")
+        main = named.groupBy("key", "comp").agg(F.count("*").alias("size")).groupBy("key").agg(F.max(F.struct("size", "comp")).alias("most")).select("key", F.col("most.comp").alias("main"))
+        outside = through_table(named.join(main, "key").filter("comp <> main"), "outside")
+        rest, total = outside.agg(F.sum("c")).first()[0], named.count()
+        if not rest:
+            break
+        last = last or turn == ROUNDS - 1 or rest <= bucket * total
+        if last:
+            once = (F.col("y.comp") == F.col("x.main")) | (F.col("x.v") < F.col("y.v"))
+            asked = outside
+        else:
+            once = F.lit(True)
+            asked = outside.groupBy("key").agg(F.min(F.struct(F.xxhash64("v", F.lit(turn)), "v", "n", "pos", "comp")).alias("w")).select("key", "w.v", "w.n", "w.pos", "w.comp")
+        more = _alike(_meet(asked, named, once, num, den), sets, num, den)
+        empty = more.isEmpty()
+        if not empty:
+            links = links.union(more)
+            found = components(links)
+        if last:
+            break
+        last = empty
+    distinct = sets.groupBy("v").agg(F.min(id_col).alias("least"))
+    rooted = distinct.join(found, "v", "left").select("v", "least", F.coalesce("root", "v").alias("root"))
+    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = rooted.join(smallest, "root").select("v", "component_id")
+    return sets.select(id_col, "v").join(named, "v").select(id_col, "component_id")
 
-def _meet(left: DataFrame, right: DataFrame, similarity: float, budget: int) -> DataFrame:
-    """(a, b), a > b: pairs of a key whose sizes allow the similarity and whose chains stay within the budget."""
-    x = left.select("key", F.col("v").alias("xv"), F.col("n").alias("xn"), F.col("chain").alias("xc"))
-    y = right.select("key", F.col("v").alias("yv"), F.col("n").alias("yn"), F.col("chain").alias("yc"))
-    sizes = F.least("xn", "yn") >= F.lit(similarity) * F.greatest("xn", "yn") - 1
-    met = x.join(y, (x["key"] == y["key"]) & (F.col("xv") != F.col("yv")) & sizes & (F.bit_count(F.col("xc").bitwiseXOR(F.col("yc"))) <= budget))
-    return met.select(F.greatest("xv", "yv").alias("a"), F.least("xv", "yv").alias("b")).distinct()
 
+def _meet(left: DataFrame, right: DataFrame, once: Column, num: int, den: int) -> DataFrame:
+    """(a, b), a > b: pairs of a key in different components whose sizes and positions allow the similarity.
 
-def _verified(pairs: DataFrame, codes: DataFrame, names: list[str], tau: int) -> DataFrame:
-    """The pairs that differ in at most tau bits of all."""
-    x = codes.select(F.col("v").alias("a"), *[F.col(c).alias(f"x{c}") for c in names])
-    y = codes.select(F.col("v").alias("b"), *[F.col(c).alias(f"y{c}") for c in names])
-    total = sum((F.bit_count(F.col(f"x{c}").bitwiseXOR(F.col(f"y{c}"))) for c in names), F.lit(0))
-    return pairs.join(x, "a").join(y, "b").filter(total <= tau).select("a", "b")
+    The bound on positions is that of the first shingle that both prefixes have.
+    """
+    x, y = left.alias("x"), right.alias("y")
+    nx, ny = F.col("x.n"), F.col("y.n")
+    sizes = F.least(nx, ny) * F.lit(den) >= F.greatest(nx, ny) * F.lit(num)
+    places = F.least(nx - F.col("x.pos"), ny - F.col("y.pos")) * F.lit(num + den) >= (nx + ny) * F.lit(num)
+    met = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") != F.col("y.comp")) & sizes & places & once)
+    return met.select(F.greatest("x.v", "y.v").alias("a"), F.least("x.v", "y.v").alias("b"))
+
+
+def _alike(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs whose sets have the similarity, compared whole."""
+    pairs = through_table(pairs.distinct(), "pairs")
+    # Only sets that share one of at most a million slots with a pair are shuffled.
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << 20)).cast("int").alias("slot")
+    slots = F.broadcast(pairs.select(F.explode(F.array("a", "b")).alias("v")).select(slot("v")).distinct())
+    held = sets.select("v", "n", "set", slot("v")).join(slots, "slot", "left_semi").dropDuplicates(["v"])
+    x = held.select(F.col("v").alias("a"), F.col("n").alias("xn"), F.col("set").alias("xs"))
+    y = held.select(F.col("v").alias("b"), F.col("n").alias("yn"), F.col("set").alias("ys"))
+    both = F.size(F.array_intersect("xs", "ys"))
+    return through_table(pairs.join(x, "a").join(y, "b").filter(both * F.lit(num + den) >= (F.col("xn") + F.col("yn")) * F.lit(num)).select("a", "b"), "links")
