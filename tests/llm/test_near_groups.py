@@ -56,3 +56,18 @@ def test_every_link_of_a_skewed_table(spark, bucket):
     rows += [(3000, None), (3001, ""), (3002, " \n"), (3003, rows[160][1])]
     rnd.shuffle(rows)
     assert _got(spark, rows, bucket) == _groups(rows)
+
+
+def test_shared_passage_below_the_similarity_stays(spark):
+    """Short and long texts that share a template but not 0.8 of their shingles are not linked; those at 0.8 are."""
+    rows = []
+    for k, (n, tail) in enumerate([(12, 2), (14, 2), (16, 2), (30, 4), (104, 18), (404, 60)]):
+        base = [f"p{k}x{i}" for i in range(n)]
+        for j in range(40):
+            rows.append((1000 * k + j, " ".join(base[:-tail] + [f"own{k}y{j}z{i}" for i in range(tail)])))
+    # 18 of 22 shingles shared, twice: 0.818; and 4 of 5: exactly 0.8.
+    words = [f"q{i}" for i in range(24)]
+    rows += [(9000, " ".join(words)), (9001, " ".join(words[:-2] + ["u", "v"])), (9010, "a b c d e f g h"), (9011, "a b c d e f g h i")]
+    want = _groups(rows)
+    assert want[1] == 1 and want[9001] == 9000 and want[9011] == 9010
+    assert _got(spark, rows, 48) == want
