@@ -69,9 +69,15 @@ def flatten(rows: DataFrame, separator: str = " | ", prefix: str = "") -> DataFr
     return rows.select(*out)
 
 
+#: Keys at most of a wide table; beyond it, ``wide`` raises.
+MOST_KEYS = 10_000
+
+
 def wide(pairs: DataFrame, by: str, name: str, value: str, first: list[str]) -> DataFrame:
     """Key-value rows as a wide table of all keys, the named columns first, others in order."""
-    names = [r[0] for r in pairs.select(name).distinct().orderBy(name).limit(10_000).collect()]
+    names = [r[0] for r in pairs.select(name).distinct().orderBy(name).limit(MOST_KEYS + 1).collect()]
+    if len(names) > MOST_KEYS:
+        raise ValueError("too many keys for a wide table")
     order = [c for c in first if c in names] + [c for c in names if c not in first]
     return pairs.groupBy(by).pivot(name, order).agg(F.first(value)).na.fill("", order)
 
