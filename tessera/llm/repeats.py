@@ -1,4 +1,4 @@
-"""Removal of repeated byte strings by a difference-cover, blockwise suffix sort.
+"""Removal of repeated byte strings by window hashes in blocks, after a difference-cover filter.
 
 A byte goes if a string of ``length`` bytes that covers it also starts anywhere
 else; matches never cross texts. Only suffixes to that depth matter:
@@ -10,10 +10,10 @@ else; matches never cross texts. Only suffixes to that depth matter:
    within the next v bytes repeats nowhere and needs no sorting. A slice of texts
    sends each different string once, as packed arrays of 32-bit ranks (places are
    only candidates here); strings that repeat inside a slice tie there already.
-2. Blockwise sort. Each remaining suffix belongs to the block of the smallest hash
+2. Blocks, in place of a suffix sort. Each remaining suffix belongs to the block of the smallest hash
    among the ``KEY``-byte strings of its first length bytes, so neighbouring suffixes
    mostly share a block and are sent as one piece of text. One block at a time is
-   sorted, to the full depth, and neighbours that tie repeat. Of pieces that are equal
+   grouped by hashes of whole strings; equal hashes repeat. Of pieces that are equal
    inside a slice one is sent. Blocks that hold more than their share (at most
    ``HOT_SHARE`` of them a partition can exist) are dealt on by the hash of the whole
    string, each different string once a batch, so no task gathers a hot string's texts.
