@@ -19,6 +19,7 @@ the id and text columns are read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from fractions import Fraction
 
@@ -28,9 +29,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import only, through_table
+from tessera.llm.common import only, text_of, through_table
 from tessera.llm.graph import components
-from tessera.llm.ragged import U64, mix, slices, spread
+from tessera.llm.ragged import U64, mix, slices, spread, take_ragged
 
 #: Fingerprints that meet in pairs in a bucket, at most; beyond it, another way is taken.
 BUCKET = 48
@@ -41,6 +42,11 @@ COMMON_SLOTS = 1 << 20
 COMMON_TIMES = 4
 #: Rounds at most in which a shingle's sets meet one of them, before all pairs that are left.
 ROUNDS = 8
+#: Words of the fingerprints of shingle sets; these prune pairs of sets of ``FEW`` shingles and more.
+WORDS, FEW = 4, 24
+PRINT = [f"f{k}" for k in range(WORDS)]
+#: How many standard deviations beyond the expected count of differing bits a pair may lie.
+DEVIATIONS = 6
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -166,62 +172,61 @@ def groups_within_two(docs: DataFrame, size: int = 3, id_col: str = "doc_id", te
     return prints.join(named, F.col("f0") == F.col("f")).select(id_col, shown.alias("fingerprint"), "component_id")
 
 
-def shingle_sets(docs: DataFrame, size: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, v, n, set): distinct shingle hashes in order, how many, and a hash of them all."""
-    src = only(docs, id_col, text_col)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, data, off in slices(batches, text_col):
-            h, first, _ = shingle_hashes(data, off, size)
-            h, text = h.view(np.int64), np.repeat(np.arange(len(first) - 1), np.diff(first))
-            order = np.lexsort((h, text))
-            h, text = h[order], text[order]
-            keep = np.ones(len(h), bool)
-            keep[1:] = (h[1:] != h[:-1]) | (text[1:] != text[:-1])
-            h, n = h[keep], np.bincount(text[keep], minlength=len(first) - 1)
-            at = spread(n)
-            raw, ends = h.tobytes(), (8 * at).tolist()
-            v = np.array([xxhash.xxh64_intdigest(raw[a:b], 7) for a, b in zip(ends, ends[1:])], U64).view(np.int64)
-            sets = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(h))
-            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(v), pa.array(n.astype(np.int32)), sets], names=[id_col, "v", "n", "set"])
-
-    return src.mapInArrow(run, f"`{id_col}` {src.schema[id_col].dataType.simpleString()}, v bigint, n int, set array<bigint>")
+def _sets(batches: Iterator[pa.RecordBatch], text_col: str, size: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
+    """(rows, distinct shingle hashes of each text in order, their offsets, a hash of each set)."""
+    for rows, data, off in slices(batches, text_col):
+        h, first, _ = shingle_hashes(data, off, size)
+        h, text = h.view(np.int64), np.repeat(np.arange(len(first) - 1), np.diff(first))
+        order = np.lexsort((h, text))
+        h, text = h[order], text[order]
+        keep = np.ones(len(h), bool)
+        keep[1:] = (h[1:] != h[:-1]) | (text[1:] != text[:-1])
+        h, at = h[keep], spread(np.bincount(text[keep], minlength=len(first) - 1))
+        raw, ends = h.tobytes(), (8 * at).tolist()
+        yield rows, h, at, np.array([xxhash.xxh64_intdigest(raw[a:b], 7) for a, b in zip(ends, ends[1:])], U64).view(np.int64)
 
 
-def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(values, offsets) of a column of lists without nulls."""
-    off = np.asarray(column.offsets, np.int64)
-    return np.asarray(column.values)[off[0] : off[-1]], off - off[0]
+def signatures(docs: DataFrame, size: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, k, v, n, f0..f3): a hash of the text, one of its shingle set, the set's size and fingerprint.
 
-
-def _common_slots(sets: DataFrame) -> np.ndarray:
-    """Bits of the slots of shingles that many texts share; it serves only to order shingles."""
+    Rows of n = -1 come besides: v is the slot of a shingle that many texts share,
+    which serves only to order shingles.
+    """
+    src = docs.select(F.col(id_col), F.xxhash64(text_of(text_col)).alias("k"), F.col(text_col))
+    kind = src.schema[id_col].dataType
+    names = [id_col, "k", "v", "n", *PRINT]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, total, seen = [], 0, np.zeros(COMMON_SLOTS, bool)
 
         def count() -> None:
-            # By parts, so that a task holds little besides its batches.
+            # By parts, so that a task holds little besides its slices.
+            every = np.concatenate(held)
             for part in range(16):
-                values, times = np.unique(np.concatenate([x[(x >> 60 & 15) == part] for x in held]), return_counts=True)
+                values, times = np.unique(every[(every >> 60 & 15) == part], return_counts=True)
                 seen[values[times >= COMMON_TIMES] & (COMMON_SLOTS - 1)] = True
 
-        for batch in batches:
-            held.append(_lists(batch.column(0))[0])
-            total += len(held[-1])
+        id_type = None
+        for rows, h, at, v in _sets(batches, text_col, size):
+            id_type = rows.column(0).type
+            held.append(h)
+            total += len(h)
             if total > 1 << 21:
                 count()
                 held, total = [], 0
+            codes = [majority(mix(h.view(U64) + U64(k * 0x9E3779B97F4A7C15 % 2**64)), at).view(np.int64) for k in range(WORDS)]
+            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(v), pa.array(np.diff(at).astype(np.int32)), *map(pa.array, codes)], names=names)
         if held:
             count()
-        yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(seen).astype(np.int32))], names=["slot"])
+        slots = np.flatnonzero(seen)
+        if len(slots):
+            zero = pa.array(np.zeros(len(slots), np.int64))
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(slots), id_type), zero, pa.array(slots), pa.array(np.full(len(slots), -1, np.int32)), *[zero] * WORDS], names=names)
 
-    bits = np.zeros(COMMON_SLOTS, bool)
-    bits[[r[0] for r in sets.select("set").mapInArrow(run, "slot int").distinct().collect()]] = True
-    return np.packbits(bits)
+    return src.mapInArrow(run, f"`{id_col}` {kind.simpleString()}, k bigint, v bigint, n int, {', '.join(f'{f} bigint' for f in PRINT)}")
 
 
-def _prefixes(sets: DataFrame, common: np.ndarray, num: int, den: int) -> DataFrame:
+def _prefixes(docs: DataFrame, common: np.ndarray, num: int, den: int, size: int, text_col: str) -> DataFrame:
     """(key, v, n, pos): the first shingles of each set, of which two similar sets share one.
 
     Common shingles stand last, the others by hash. Sets of similarity t = num / den
@@ -231,30 +236,56 @@ def _prefixes(sets: DataFrame, common: np.ndarray, num: int, den: int) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         late = np.unpackbits(common).astype(bool)
-        for batch in batches:
-            values, off = _lists(batch.column(2))
-            lo = 0
-            while lo < batch.num_rows:
-                hi = max(lo + 1, int(np.searchsorted(off, off[lo] + (1 << 18), "right")) - 1)
-                own, at = values[off[lo] : off[hi]], off[lo : hi + 1] - off[lo]
-                n = np.diff(at)
-                text = np.repeat(np.arange(len(n)), n)
-                order = np.argsort(2 * text + late[own & (COMMON_SLOTS - 1)], kind="stable")
-                pos = np.arange(len(own)) - at[:-1][text]
-                first = pos < (n + (num * n // -den) + 1)[text]
-                rows = pa.array(text[first] + lo)
-                yield pa.RecordBatch.from_arrays([pa.array(own[order][first]), batch.column(0).take(rows), batch.column(1).take(rows), pa.array(pos[first].astype(np.int32))], names=["key", "v", "n", "pos"])
-                lo = hi
-
-    return sets.select("v", "n", "set").mapInArrow(run, "key bigint, v bigint, n int, pos int")
+        for _, h, at, v in _sets(batches, text_col, size):
+            n = np.diff(at)
+            text = np.repeat(np.arange(len(n)), n)
+            order = np.argsort(2 * text + late[h & (COMMON_SLOTS - 1)], kind="stable")
+            pos = np.arange(len(h)) - at[:-1][text]
+            first = pos < (n + (num * n // -den) + 1)[text]
+            text = text[first]
+            yield pa.RecordBatch.from_arrays([pa.array(h[order][first]), pa.array(v[text]), pa.array(n[text].astype(np.int32)), pa.array(pos[first].astype(np.int32))], names=["key", "v", "n", "pos"])
+
+    return only(docs, text_col).mapInArrow(run, "key bigint, v bigint, n int, pos int")
+
+
+def allowance(similarity: float) -> int:
+    """Bits by which the fingerprints of two sets of this similarity may differ.
+
+    Two sets of Jaccard similarity t have a cosine of at least 2t / (1 + t); each bit
+    differs with the share of their angle in a half turn.
+    """
+    bits = 64 * WORDS
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return math.floor(bits * share + DEVIATIONS * math.sqrt(bits * share * (1 - share)))
+
+
+def within(tau: int) -> Column:
+    """Whether the fingerprints of x and y differ in at most tau bits, by pigeonring.
+
+    The words stand on a ring. If at most tau bits differ, from one of the words on
+    every chain of l words differs in at most l * tau / WORDS; a chain beyond its
+    budget is given up before the whole sum is taken.
+    """
+    apart = [F.bit_count(F.col(f"x.{f}").bitwiseXOR(F.col(f"y.{f}"))) for f in PRINT]
+    found = F.lit(False)
+    for i in range(WORDS):
+        chain, total = F.lit(True), F.lit(0)
+        for step in range(WORDS):
+            total = total + apart[(i + step) % WORDS]
+            chain &= total * F.lit(WORDS) <= F.lit((step + 1) * tau)
+        found |= chain
+    return found
 
 
 def near_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, bucket: int = BUCKET, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, component_id): the components of all pairs whose shingle sets have the Jaccard similarity.
 
-    Nothing is estimated. Equal sets are one vertex. Sets meet on each shingle of
-    their prefixes (see ``_prefixes``), which no pair of the similarity misses; pairs
-    whose sizes and positions still allow it are compared by their whole sets.
+    Equal sets are one vertex. Sets meet on each shingle of their prefixes (see
+    ``_prefixes``), which no pair of the similarity misses. Sizes, positions and the
+    pigeonring filter over 256-bit fingerprints prune the pairs that meet. The
+    fingerprints' allowance lies ``DEVIATIONS`` standard deviations beyond what the
+    similarity leads to expect; pairs with a set of under ``FEW`` shingles aren't
+    pruned by it. What is left is compared by the whole sets: no estimate links.
 
     A shingle that over ``bucket`` sets have in their prefix makes no pairs at first:
     all meet one of them. Then all sets outside its largest component meet all others
@@ -264,21 +295,30 @@ def near_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, bucket:
     Texts without a word are a group of their own.
     """
     ratio = Fraction(str(similarity))
-    num, den = ratio.numerator, ratio.denominator
-    sets = through_table(shingle_sets(docs, size, id_col, text_col), "sets")
-    met = _prefixes(sets, _common_slots(sets), num, den)
+    num, den, tau = ratio.numerator, ratio.denominator, allowance(similarity)
+    every = through_table(signatures(docs, size, id_col, text_col), "signatures")
+    late = np.zeros(COMMON_SLOTS, bool)
+    late[[r[0] for r in every.filter("n < 0").select("v").distinct().collect()]] = True
+    signed = every.filter("n >= 0")
+    met = _prefixes(docs, np.packbits(late), num, den, size, text_col)
     by_key = Window.partitionBy("key")
     met = met.withColumn("lo", F.min("v").over(by_key)).withColumn("hi", F.max("v").over(by_key)).filter("lo <> hi")
-    rows = through_table(met.select("key", "v", "n", "pos").distinct(), "rows")
+    rows = through_table(met.select("key", "v", "n", "pos"), "met").distinct()
     counts = rows.groupBy("key").agg(F.count("*").alias("c"))
-    rows = through_table(rows.join(counts, "key").withColumn("comp", F.col("v")), "rows")
-    cold, hot = rows.filter(F.col("c") <= bucket), through_table(rows.filter(F.col("c") > bucket), "hot")
-    leaders = hot.groupBy("key").agg(F.min(F.struct("v", "n", "pos", "comp")).alias("w")).select("key", "w.*")
-    links = _alike(_meet(cold, cold, F.col("x.v") < F.col("y.v"), num, den).union(_meet(leaders, hot, F.lit(True), num, den)), sets, num, den)
+    prints = signed.select("v", *PRINT).distinct()
+    rows = through_table(rows.join(counts, "key").join(prints, "v").withColumn("comp", F.col("v")), "rows")
+    own = ["v", "n", "pos", *PRINT, "comp"]
+    cold, hot = rows.filter(F.col("c") <= bucket), rows.filter(F.col("c") > bucket)
+    leaders = hot.groupBy("key").agg(F.min(F.struct(*own)).alias("w")).select("key", "w.*")
+
+    def alike(pairs: DataFrame) -> DataFrame:
+        return _alike(pairs, docs, signed, num, den, size, text_col)
+
+    links = alike(_meet(cold, cold, F.col("x.v") < F.col("y.v"), num, den, tau).union(_meet(leaders, hot, F.lit(True), num, den, tau)))
     found = components(links)
     last = False
     for turn in range(ROUNDS):
-        named = hot.drop("comp").join(found, "v", "left").select("key", "v", "n", "pos", "c", F.coalesce("root", "v").alias("comp"))
+        named = hot.drop("comp").join(found, "v", "left").select("key", "v", "n", "pos", *PRINT, "c", F.coalesce("root", "v").alias("comp"))
         named = through_table(named, "named")
         main = named.groupBy("key", "comp").agg(F.count("*").alias("size")).groupBy("key").agg(F.max(F.struct("size", "comp")).alias("most")).select("key", F.col("most.comp").alias("main"))
         outside = through_table(named.join(main, "key").filter("comp <> main"), "outside")
@@ -291,8 +331,8 @@ def near_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, bucket:
             asked = outside
         else:
             once = F.lit(True)
-            asked = outside.groupBy("key").agg(F.min(F.struct(F.xxhash64("v", F.lit(turn)), "v", "n", "pos", "comp")).alias("w")).select("key", "w.v", "w.n", "w.pos", "w.comp")
-        more = _alike(_meet(asked, named, once, num, den), sets, num, den)
+            asked = outside.groupBy("key").agg(F.min(F.struct(F.xxhash64("v", F.lit(turn)), *own)).alias("w")).select("key", *[f"w.{c}" for c in own])
+        more = alike(_meet(asked, named, once, num, den, tau))
         empty = more.isEmpty()
         if not empty:
             links = links.union(more)
@@ -300,15 +340,15 @@ def near_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, bucket:
         if last:
             break
         last = empty
-    distinct = sets.groupBy("v").agg(F.min(id_col).alias("least"))
+    distinct = signed.groupBy("v").agg(F.min(id_col).alias("least"))
     rooted = distinct.join(found, "v", "left").select("v", "least", F.coalesce("root", "v").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(smallest, "root").select("v", "component_id")
-    return sets.select(id_col, "v").join(named, "v").select(id_col, "component_id")
+    return signed.select(id_col, "v").join(named, "v").select(id_col, "component_id")
 
 
-def _meet(left: DataFrame, right: DataFrame, once: Column, num: int, den: int) -> DataFrame:
-    """(a, b), a > b: pairs of a key in different components whose sizes and positions allow the similarity.
+def _meet(left: DataFrame, right: DataFrame, once: Column, num: int, den: int, tau: int) -> DataFrame:
+    """(a, b), a > b: pairs of a key in different components whose sizes, positions and fingerprints allow the similarity.
 
     The bound on positions is that of the first shingle that both prefixes have.
     """
@@ -316,17 +356,28 @@ def _meet(left: DataFrame, right: DataFrame, once: Column, num: int, den: int) -
     nx, ny = F.col("x.n"), F.col("y.n")
     sizes = F.least(nx, ny) * F.lit(den) >= F.greatest(nx, ny) * F.lit(num)
     places = F.least(nx - F.col("x.pos"), ny - F.col("y.pos")) * F.lit(num + den) >= (nx + ny) * F.lit(num)
-    met = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") != F.col("y.comp")) & sizes & places & once)
+    close = (F.least(nx, ny) < FEW) | within(tau)
+    met = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") != F.col("y.comp")) & sizes & places & once & close)
     return met.select(F.greatest("x.v", "y.v").alias("a"), F.least("x.v", "y.v").alias("b"))
 
 
-def _alike(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs whose sets have the similarity, compared whole."""
+def _alike(pairs: DataFrame, docs: DataFrame, signed: DataFrame, num: int, den: int, size: int, text_col: str) -> DataFrame:
+    """The pairs whose sets have the similarity, compared whole; sets are made anew, of the texts concerned only."""
     pairs = through_table(pairs.distinct(), "pairs")
-    # Only sets that share one of at most a million slots with a pair are shuffled.
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("v")).distinct()
+    # One text of each set; at most a million slots are broadcast, so few other texts are looked at.
     slot = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << 20)).cast("int").alias("slot")
-    slots = F.broadcast(pairs.select(F.explode(F.array("a", "b")).alias("v")).select(slot("v")).distinct())
-    held = sets.select("v", "n", "set", slot("v")).join(slots, "slot", "left_semi").dropDuplicates(["v"])
+    slots = F.broadcast(signed.groupBy("v").agg(F.min("k").alias("k")).join(asked, "v", "left_semi").select(slot("k")).distinct())
+    texts = docs.select(text_of(text_col).alias("text")).withColumn("slot", slot(F.xxhash64("text"))).join(slots, "slot", "left_semi").select("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, h, at, v in _sets(batches, "text", size):
+            # Equal sets of one slice go once.
+            v, one = np.unique(v, return_index=True)
+            own, off = take_ragged(h, at[one], np.diff(at)[one])
+            yield pa.RecordBatch.from_arrays([pa.array(v), pa.array(np.diff(off).astype(np.int32)), pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(own))], names=["v", "n", "set"])
+
+    held = texts.mapInArrow(run, "v bigint, n int, set array<bigint>").join(asked, "v", "left_semi").dropDuplicates(["v"])
     x = held.select(F.col("v").alias("a"), F.col("n").alias("xn"), F.col("set").alias("xs"))
     y = held.select(F.col("v").alias("b"), F.col("n").alias("yn"), F.col("set").alias("ys"))
     both = F.size(F.array_intersect("xs", "ys"))
