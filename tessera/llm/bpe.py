@@ -15,7 +15,7 @@ import json
 import numpy as np
 import regex
 
-from tessera.llm.ragged import U64, HashIndex, mix, prefix_hash, span_hash, spread, take_ragged, utf8  # noqa: F401
+from tessera.llm.ragged import U64, HashIndex, differing, mix, prefix_hash, span_hash, spread, take_ragged
 
 OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
 #: Pre-tokens that a worker remembers; beyond it, it starts anew.
@@ -246,55 +246,55 @@ def merge_by_heap(ranks: dict[bytes, int], word: bytes) -> list[int]:
 
 
 class MinimalPerfectHash:
-    """Hash and displace: n keys go to slots 0..n-1, without a slot to spare.
+    """n keys go to places 0..n-1, without one to spare: bit fields by level, and ranks.
 
-    Keys are dealt to buckets; for each, the largest first, the smallest
-    displacement that lands all its keys on free slots is kept. Buckets of a single
-    key, which come last, name their slot outright.
+    At each level the keys that are left are dealt to twice as many bits; those alone
+    on theirs set it and stay, the others go on. A key's place is the number of bits
+    set before its own. A handful of array operations build it.
     """
 
     def __init__(self, keys: np.ndarray) -> None:
-        self.n = n = len(keys)
-        self.buckets = max(1, n // 4)
-        of = (keys % U64(self.buckets)).astype(np.int64)
-        order = np.argsort(of, kind="stable")
-        size = np.bincount(of, minlength=self.buckets)
-        begin = spread(size)
-        self.seed, free = np.zeros(self.buckets, np.int64), np.ones(n, bool)
-        self.key = np.zeros(n, U64)
-        self.item = np.zeros(n, np.int32)
-        singles = []
-        for b in np.argsort(-size, kind="stable"):
-            members = order[begin[b] : begin[b + 1]]
-            if len(members) < 2:
-                singles += [(b, m) for m in members]
-                continue
-            seed = 1
-            while True:
-                slot = self._slot(keys[members], seed)
-                if free[slot].all() and len(set(slot.tolist())) == len(members):
-                    break
-                seed += 1
-            free[slot] = False
-            self.seed[b], self.key[slot], self.item[slot] = seed, keys[members], members
-        for (b, m), slot in zip(singles, np.flatnonzero(free)):
-            self.seed[b], self.key[slot], self.item[slot] = -slot - 1, keys[m], m
-
-    def _slot(self, keys: np.ndarray, seed) -> np.ndarray:
-        return (mix(keys + np.asarray(seed).astype(U64) * U64(0x9E3779B97F4A7C15)) % U64(self.n)).astype(np.int64)
+        left, fields, self.begin = np.asarray(keys, U64), [], [0]
+        while len(left):
+            size = 2 * len(left) + 1
+            slot = self._slot(left, len(fields), size)
+            alone = np.bincount(slot, minlength=size) == 1
+            fields.append(alone)
+            self.begin.append(self.begin[-1] + size)
+            left = left[~alone[slot]]
+        self.bits = np.concatenate([*fields, np.zeros(1, bool)])
+        self.rank = spread(self.bits)
+        self.key, self.item = np.zeros(len(keys), U64), np.zeros(len(keys), np.int32)
+        place = self._place(keys)
+        self.key[place], self.item[place] = keys, np.arange(len(keys))
+
+    def _slot(self, keys: np.ndarray, level: int, size: int) -> np.ndarray:
+        return (mix(keys + U64((level + 1) * 0x9E3779B97F4A7C15 % 2**64)) % U64(size)).astype(np.int64)
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        """The place that the first level with its bit set gives each key; 0 if there is none."""
+        out, left = np.zeros(len(keys), np.int64), np.arange(len(keys))
+        for level, (a, b) in enumerate(zip(self.begin[:-1], self.begin[1:])):
+            at = a + self._slot(keys[left], level, b - a)
+            here = self.bits[at]
+            out[left[here]] = self.rank[at[here]]
+            left = left[~here]
+        return out
 
     def lookup(self, keys: np.ndarray) -> np.ndarray:
         """The position of each key among those given at first; -1 for a stranger."""
-        seed = self.seed[(keys % U64(self.buckets)).astype(np.int64)]
-        slot = np.where(seed < 0, -seed - 1, self._slot(keys, np.maximum(seed, 0)))
-        return np.where(self.key[slot] == keys, self.item[slot], np.int32(-1))
+        if not len(self.key):
+            return np.full(len(keys), -1, np.int32)
+        place = self._place(np.asarray(keys, U64))
+        return np.where(self.key[place] == keys, self.item[place], np.int32(-1))
 
 
 class WordCache:
     """Ids of the different pre-tokens that a worker has met.
 
     ``encode(data, off)`` gives ids and offsets of words; at most ``CACHE_WORDS``
-    words are held, then the cache starts anew.
+    words are held, then the cache starts anew. Words are found by hash, and their
+    bytes compared: a word whose hash another one has is encoded by itself.
     """
 
     def __init__(self, encode, limit: int = CACHE_WORDS) -> None:
@@ -303,8 +303,8 @@ class WordCache:
 
     def clear(self) -> None:
         self.index = HashIndex(16)
-        self.ids = np.zeros(1 << 16, np.int32)
-        self.off = np.zeros(1 << 16, np.int64)
+        self.ids, self.blob = np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.uint8)
+        self.off, self.blob_off = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
         self.words = 0
         self.generation = getattr(self, "generation", -1) + 1
 
@@ -312,25 +312,35 @@ class WordCache:
         """The number of each pre-token's word; valid until the next call."""
         if self.words > self.limit:
             self.clear()
-        end = np.append(start[1:], len(data))
-        h = span_hash(prefix_hash(data), start, end)
+        size = np.diff(np.append(start, len(data)))
+        h = span_hash(prefix_hash(data), start, start + size)
         found = self.index.lookup(h)
         new = np.flatnonzero(found < 0)
         if len(new):
             keys, at, inverse = np.unique(h[new], return_index=True, return_inverse=True)
-            at = new[at]
-            ids, off = self.encode(*take_ragged(data, start[at], end[at] - start[at]))
-            first, base = self.words, self.off[self.words]
-            self.words += len(keys)
-            self.off = _grown(self.off, self.words + 1)
-            self.off[first : self.words + 1] = base + off
-            self.ids = _grown(self.ids, base + len(ids))
-            self.ids[base : base + len(ids)] = ids
-            number = np.arange(first, self.words, dtype=np.int32)
+            number = self._add(data, start[new[at]], size[new[at]])
             self.index.insert(keys, number)
             found[new] = number[inverse]
+        held = self.blob_off[found + 1] - self.blob_off[found]
+        odd = differing(data, start, size, self.blob, self.blob_off[found], held)
+        if len(odd):
+            found[odd] = self._add(data, start[odd], size[odd])
         return found
 
+    def _add(self, data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Numbers of words that are now held."""
+        words, cut = take_ragged(data, start, size)
+        ids, off = self.encode(words, cut)
+        first, base, blob = self.words, self.off[self.words], self.blob_off[self.words]
+        self.words += len(start)
+        self.off, self.blob_off = _grown(self.off, self.words + 1), _grown(self.blob_off, self.words + 1)
+        self.off[first : self.words + 1] = base + off
+        self.blob_off[first : self.words + 1] = blob + cut
+        self.ids, self.blob = _grown(self.ids, base + len(ids)), _grown(self.blob, blob + len(words))
+        self.ids[base : base + len(ids)] = ids
+        self.blob[blob : blob + len(words)] = words
+        return np.arange(first, self.words, dtype=np.int32)
+
     def sizes(self, words: np.ndarray) -> np.ndarray:
         return self.off[words + 1] - self.off[words]
 

@@ -16,7 +16,11 @@ import pyarrow.compute as pc
 U64 = np.uint64
 #: Text bytes that are worked on at a time.
 SLICE_BYTES = 2 << 20
-_MULTIPLIER = 0x9E3779B97F4A7C15 | 1
+#: The hashes' modulus, a prime, and their base. The base is fixed, as some hashes are
+#: compared between tasks; who takes equal hashes for equal strings compares bytes too.
+PRIME = (1 << 61) - 1
+_BASE = 0x1B873593CC9E2D51 % PRIME
+_P, _LOW31, _LOW30 = U64(PRIME), U64((1 << 31) - 1), U64((1 << 30) - 1)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -30,45 +34,92 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-#: A pseudo-random odd number for each byte value.
-BYTE_CODE = mix((np.arange(256, dtype=U64) + U64(1)) * U64(0xD1342543DE82EF95)) | U64(1)
+#: A pseudo-random number of 31 bits for each byte value.
+BYTE_CODE = (mix((np.arange(256, dtype=U64) + U64(1)) * U64(0xD1342543DE82EF95)) >> U64(33)) | U64(1)
+
+
+def _folded(x: np.ndarray) -> np.ndarray:
+    """x modulo the prime, for any x below 2**64."""
+    x = (x & _P) + (x >> U64(61))
+    return np.where(x >= _P, x - _P, x)
+
+
+def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products modulo the prime of numbers below it, by halves of 31 bits."""
+    a, b = np.asarray(a, U64), np.asarray(b, U64)
+    a1, a0, b1, b0 = a >> U64(31), a & _LOW31, b >> U64(31), b & _LOW31
+    mid = a1 * b0 + a0 * b1
+    return _folded(_folded(((a1 * b1) << U64(1)) + (mid >> U64(30)) + ((mid & _LOW30) << U64(31))) + _folded(a0 * b0))
+
 
 _powers: tuple[np.ndarray, np.ndarray] = (np.ones(1, U64), np.ones(1, U64))
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers 0..n-1 (at least) of the hash's multiplier and of its inverse modulo 2**64."""
+    """Powers 0..n-1 (at least) of the base and of its inverse modulo the prime."""
     global _powers
     if len(_powers[0]) < n:
-        size = max(n, 1 << 16)
         made = []
-        for base in (_MULTIPLIER, pow(_MULTIPLIER, -1, 1 << 64)):
-            a = np.full(size, base, U64)
-            a[0] = 1
-            made.append(np.multiply.accumulate(a))
+        for base in (_BASE, pow(_BASE, -1, PRIME)):
+            a = np.ones(1, U64)
+            while len(a) < max(n, 1 << 16):
+                a = np.concatenate([a, times(a, U64(pow(base, len(a), PRIME)))])
+            made.append(a)
         _powers = (made[0], made[1])
     return _powers
 
 
-def prefix_hash(data: np.ndarray) -> np.ndarray:
-    """Prefix sums of a polynomial hash; ``span_hash`` takes differences of them."""
-    out = np.zeros(len(data) + 1, U64)
-    terms = BYTE_CODE[data]
-    terms *= powers(len(data))[0][: len(data)]
-    np.cumsum(terms, out=out[1:])
+def prefix_of(codes: np.ndarray) -> np.ndarray:
+    """Prefix sums, modulo the prime, of a polynomial hash of codes below it."""
+    terms = times(codes, powers(len(codes))[0][: len(codes)])
+    high, low = np.cumsum(terms >> U64(31), dtype=U64), np.cumsum(terms & _LOW31, dtype=U64)
+    out = np.zeros(len(codes) + 1, U64)
+    out[1:] = _folded((high >> U64(30)) + ((high & _LOW30) << U64(31)) + low)
     return out
 
 
+def prefix_hash(data: np.ndarray) -> np.ndarray:
+    """Prefix sums of the hash of bytes; ``span_hash`` takes differences of them."""
+    return prefix_of(BYTE_CODE[data])
+
+
 def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hash of data[start:end], the same wherever the span stands; never 0."""
-    h = prefix[end] - prefix[start]
-    h *= powers(len(prefix))[1][start]
+    h = times(_folded(prefix[end] + (_P - prefix[start])), powers(len(prefix))[1][start])
     h += (end - start).astype(U64) * U64(0xA0761D6478BD642F)
     h = mix(h)
     h[h == 0] = 1
     return h
 
 
+def numbered(data: np.ndarray, start: np.ndarray, end: np.ndarray, prefix: np.ndarray) -> np.ndarray:
+    """A number for each span, the same for equal bytes only: grouped by hash, compared by bytes."""
+    if not len(start):
+        return np.zeros(0, np.int64)
+    _, one, number = np.unique(span_hash(prefix, start, end), return_index=True, return_inverse=True)
+    odd = differing(data, start, end - start, data, start[one][number], (end - start)[one][number])
+    if len(odd):
+        named: dict[tuple[int, bytes], int] = {}
+        for i in odd.tolist():
+            number[i] = named.setdefault((int(number[i]), data[start[i] : end[i]].tobytes()), len(one) + len(named))
+    return number
+
+
+def differing(a: np.ndarray, a_start: np.ndarray, a_length: np.ndarray, b: np.ndarray, b_start: np.ndarray, b_length: np.ndarray) -> np.ndarray:
+    """Which spans of a and b are not equal, byte by byte."""
+    out = a_length != b_length
+    same = np.flatnonzero(~out & (a_length > 0))
+    step = 1 << 14
+    for lo in range(0, len(same), step):
+        part = same[lo : lo + step]
+        ours, off = take_ragged(a, a_start[part], a_length[part])
+        theirs, _ = take_ragged(b, b_start[part], b_length[part])
+        unlike = ours != theirs
+        if unlike.any():
+            out[part[np.logical_or.reduceat(unlike, off[:-1])]] = True
+    return np.flatnonzero(out)
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string or binary column; nulls are empty."""
     if isinstance(column, pa.ChunkedArray):
