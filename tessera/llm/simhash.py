@@ -308,7 +308,7 @@ def near_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, bucket:
     prints = signed.select("v", *PRINT).distinct()
     rows = through_table(rows.join(counts, "key").join(prints, "v").withColumn("comp", F.col("v")), "rows")
     own = ["v", "n", "pos", *PRINT, "comp"]
-    cold, hot = rows.filter(F.col("c") <= bucket), rows.filter(F.col("c") > bucket)
+    cold, hot = rows.filter(F.col("c") <= bucket), through_table(rows.filter(F.col("c") > bucket), "hot")
     leaders = hot.groupBy("key").agg(F.min(F.struct(*own)).alias("w")).select("key", "w.*")
 
     def alike(pairs: DataFrame) -> DataFrame:
@@ -325,7 +325,7 @@ def near_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, bucket:
         rest, total = outside.agg(F.sum("c")).first()[0], named.count()
         if not rest:
             break
-        last = last or turn == ROUNDS - 1 or rest <= bucket * total
+        last = last or turn == ROUNDS - 1 or rest <= 5 * bucket * total
         if last:
             once = (F.col("y.comp") == F.col("x.main")) | (F.col("x.v") < F.col("y.v"))
             asked = outside
