@@ -1,24 +1,28 @@
-"""Removal of repeated byte strings by window hashes in blocks, after a difference-cover filter.
+"""Removal of repeated byte strings by blockwise suffix sorting with difference covers.
 
 A byte goes if a string of ``length`` bytes that covers it also starts anywhere
 else; matches never cross texts. Only suffixes to that depth matter:
 
-1. Cover sample. D is a perfect difference set modulo v: of any two positions, some
-   shift below v puts both on residues in D. Positions on such residues are ranked
-   by their first length - v + 1 bytes. Two equal strings hold, at one shift, two
-   sample positions of equal rank; so a suffix that has no tied sample position
-   within the next v bytes repeats nowhere and needs no sorting. A slice of texts
-   sends each different string once, as packed arrays of 32-bit ranks (places are
-   only candidates here); strings that repeat inside a slice tie there already.
-2. Blocks, in place of a suffix sort. Each remaining suffix belongs to the block of the smallest hash
-   among the ``KEY``-byte strings of its first length bytes, so neighbouring suffixes
-   mostly share a block and are sent as one piece of text. One block at a time is
-   grouped by hashes of whole strings; equal hashes repeat. Of pieces that are equal
-   inside a slice one is sent. Blocks that hold more than their share (at most
-   ``HOT_SHARE`` of them a partition can exist) are dealt on by the hash of the whole
-   string, each different string once a batch, so no task gathers a hot string's texts.
-
-Memory is bounded by the slice and the block. Equality is that of 64-bit hashes.
+1. Which suffixes to sort. D is a perfect difference set modulo v: of any two
+   positions, some shift below v puts both on residues in D. Positions on such
+   residues are compared, by hash, by their first length - v + 1 bytes. Two equal
+   strings hold, at one shift, two equal sample strings; so a suffix that has no tied
+   sample position within the next v bytes repeats nowhere. A slice of texts sends
+   each different string once, as packed arrays of 32-bit codes; strings that repeat
+   inside a slice tie there already. A false tie costs time only.
+2. Blocks. Each remaining suffix belongs to the block of the smallest hash among the
+   ``KEY``-byte strings of its first length bytes, so equal suffixes share a block, and
+   neighbouring ones mostly do and are sent as one piece of text. Of equal pieces one
+   is sorted. A few blocks at a time (``BLOCK_BYTES``) their suffixes are sorted
+   (``equal_starts``): by the first bytes; ties by the ranks of a second, smaller
+   difference cover, which were computed before, and the last bytes. All is compared
+   by bytes.
+3. Blocks that hold more than their share (at most ``HOT_SHARE`` of them a partition can
+   exist) are dealt on by whole strings, each different string once a batch, so no
+   task gathers a hot string's texts.
+
+A task holds the pieces of one bucket of blocks, and there are four buckets a
+partition; the sort's own arrays are bounded by the blocks sorted together.
 
 Null texts are empty; texts below ``length`` bytes lose nothing; repeated rows are
 documents of their own, so each loses what the other holds; an empty table gives no
@@ -38,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import through_table
-from tessera.llm.ragged import U64, prefix_hash, slices, span_hash, spread
+from tessera.llm.ragged import U64, numbered, prefix_hash, slices, span_hash, spread
 
 #: Distinct values at most of the broadcast that tells which texts can be concerned.
 SLOTS = 1 << 20
@@ -47,6 +51,8 @@ KEY = 32
 #: Blocks of more than 1 / HOT_SHARE of a partition's pieces, and of HOT_LEAST, are dealt on.
 HOT_SHARE = 20
 HOT_LEAST = 256
+#: Bytes of text whose suffixes are sorted together; a larger block is sorted by itself.
+BLOCK_BYTES = 1 << 19
 _SLICE = 4 << 20
 
 
@@ -248,68 +254,171 @@ def tied_in_blocks(texts: DataFrame, length: int, select: Callable, partitions:
                 names=["m", "block", "pos", "piece", "k1s", "k2s", "cut", "at"],
             )
 
-    def strings(pieces: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(hash, piece, place in the piece) of all strings of the pieces."""
-        raw = [x.as_buffer() for x in pieces]
-        off = spread(np.array([len(x) for x in raw], np.int64))
-        n = np.diff(off) - length + 1
-        owner = np.repeat(np.arange(len(raw)), n)
-        place = np.arange(n.sum()) - np.repeat(spread(n)[:-1], n)
-        start = off[:-1][owner] + place
-        return span_hash(prefix_hash(np.frombuffer(b"".join(raw), np.uint8)), start, start + length), owner, place
-
     def sort_block(group: pa.Table) -> pa.Table:
-        h, owner, place = strings(group.column("piece"))
-        found = np.flatnonzero(equal_to_another(h))
-        at = group.column("pos").to_numpy()[owner[found]] + place[found]
-        return _by_block(group.column("block").to_numpy()[owner[found]], at)
+        slice_of, pos, name = (group.column(c).to_numpy() for c in ("block", "pos", "m"))
+        raw = [x.as_buffer().to_pybytes() for x in group.column("piece")]
+        known: dict[tuple[int, bytes], int] = {}
+        which = np.array([known.setdefault(x, len(known)) for x in zip(name.tolist(), raw)])
+        distinct, times = list(known), np.bincount(which)
+        # Equal pieces repeat as a whole. A block's pieces are sorted if they are not all equal, or there is but one.
+        of = np.array([x[0] for x in distinct])
+        _, block, size = np.unique(of, return_inverse=True, return_counts=True)
+        sort = np.flatnonzero((size[block] > 1) | (times == 1))
+        sort = sort[np.argsort(block[sort], kind="stable")]
+        found: list[np.ndarray | None] = [None] * len(distinct)
+        lo = 0
+        while lo < len(sort):
+            hi, held = lo, 0
+            while hi < len(sort) and (held < BLOCK_BYTES or block[sort[hi]] == block[sort[hi - 1]]):
+                held += len(distinct[sort[hi]][1])
+                hi += 1
+            part = sort[lo:hi].tolist()
+            off = spread(np.array([len(distinct[i][1]) for i in part]))
+            ties = equal_starts(np.frombuffer(b"".join(distinct[i][1] for i in part), np.uint8), off, length)
+            cut = spread(np.diff(off) - length + 1).tolist()
+            for i, a, b in zip(part, cut, cut[1:]):
+                found[i] = np.flatnonzero(ties[a:b])
+            lo = hi
+        ats = [np.arange(len(distinct[w][1]) - length + 1) if times[w] > 1 else found[w] for w in which.tolist()]
+        count = np.array([len(x) for x in ats])
+        return _by_block(np.repeat(slice_of, count), np.repeat(pos, count) + np.concatenate(ats)) if len(ats) else _by_block(slice_of, pos)
 
     def deal_on(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
             for lo in range(0, rows.num_rows, 2048):
                 part = rows.slice(lo, 2048)
-                h, owner, place = strings(part.column(2))
-                block, at = part.column(0).to_numpy(zero_copy_only=False)[owner], part.column(1).to_numpy(zero_copy_only=False)[owner] + place
-                _, first, inverse, count = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
+                raw = [x.as_buffer() for x in part.column(2)]
+                off = spread(np.array([len(x) for x in raw], np.int64))
+                n = np.diff(off) - length + 1
+                owner = np.repeat(np.arange(len(raw)), n)
+                start = off[:-1][owner] + np.arange(n.sum()) - np.repeat(spread(n)[:-1], n)
+                text = np.frombuffer(b"".join(raw), np.uint8)
+                at = part.column(1).to_numpy(zero_copy_only=False)[owner] + start - off[:-1][owner]
+                block, prefix = part.column(0).to_numpy(zero_copy_only=False)[owner], prefix_hash(text)
+                number, h = numbered(text, start, start + length, prefix), span_hash(prefix, start, start + length)
+                _, first, inverse, count = np.unique(number, return_index=True, return_inverse=True, return_counts=True)
                 again = count[inverse] > 1
                 to = (((h[first] >> U64(32)) * U64(2 * partitions)) >> U64(32)).astype(np.int64)
                 by = first[np.argsort(to, kind="stable")]
                 edge = spread(np.bincount(to, minlength=2 * partitions))
                 full = np.flatnonzero(np.diff(edge))
-                sent = [by[edge[b] : edge[b + 1]] for b in full.tolist()]
-                lists = [np.flatnonzero(again), *sent]
-                yield pa.RecordBatch.from_arrays([pa.array([-1 - int(h[0] % U64(2 * partitions)), *full.tolist()], pa.int32()), *[pa.array([x[i].astype(kind).tobytes() for i in lists], pa.binary()) for x, kind in ((block, "<i8"), (at, "<u4"), (h, "<u8"))]], names=["bucket", "blocks", "ats", "codes"])
+                lists = [np.flatnonzero(again), *[by[edge[b] : edge[b + 1]] for b in full.tolist()]]
+                strings = [b"", *[b"".join(text[a : a + length].tobytes() for a in start[x].tolist()) for x in lists[1:]]]
+                yield pa.RecordBatch.from_arrays([pa.array([-1 - int(h[0] % U64(2 * partitions)), *full.tolist()], pa.int32()), *[pa.array([x[i].astype(kind).tobytes() for i in lists], pa.binary()) for x, kind in ((block, "<i8"), (at, "<u4"))], pa.array(strings, pa.binary())], names=["bucket", "blocks", "ats", "strings"])
 
     def sort_dealt(group: pa.Table) -> pa.Table:
-        block, at, h = (np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in group.column(c)]) for c, kind in (("blocks", "<i8"), ("ats", "<u4"), ("codes", "<u8")))
+        block, at = (np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in group.column(c)]) for c, kind in (("blocks", "<i8"), ("ats", "<u4")))
         if group.column("bucket")[0].as_py() >= 0:
-            found = equal_to_another(h)
+            text = b"".join(x.as_buffer() for x in group.column("strings"))
+            known: dict[bytes, int] = {}
+            which = np.array([known.setdefault(text[a : a + length], len(known)) for a in range(0, len(text), length)])
+            found = np.bincount(which)[which] > 1
             block, at = block[found], at[found]
         return _by_block(block, at)
 
     pieces = through_table(texts.mapInArrow(cut, "m bigint, block bigint, pos int, piece binary, k1s binary, k2s binary, cut binary, at binary"), "pieces")
     sent = pieces.filter("m is not null")
     share = max(HOT_LEAST, sent.count() // (HOT_SHARE * partitions))
-    hot = [r[0] for r in sent.groupBy("m").count().filter(F.col("count") > share).select("m").collect()]
-    is_hot = F.col("m").isin(hot) if hot else F.lit(False)
+    # At most HOT_SHARE names a partition.
+    hot = F.broadcast(through_table(sent.groupBy("m").count().filter(F.col("count") > share).select("m"), "hot"))
     bucket = F.pmod(F.xxhash64("m"), F.lit(4 * partitions)).cast("int").alias("bucket")
     outcome = "block bigint, at binary"
-    met = sent.filter(~is_hot).select(bucket, "block", "pos", "piece").groupBy("bucket").applyInArrow(sort_block, outcome)
-    if hot:
-        dealt = sent.filter(is_hot).select("block", "pos", "piece").mapInArrow(deal_on, "bucket int, blocks binary, ats binary, codes binary")
-        met = met.union(dealt.groupBy("bucket").applyInArrow(sort_dealt, outcome))
+    met = sent.join(hot, "m", "left_anti").select(bucket, "m", "block", "pos", "piece").groupBy("bucket").applyInArrow(sort_block, outcome)
+    dealt = sent.join(hot, "m", "left_semi").select("block", "pos", "piece").mapInArrow(deal_on, "bucket int, blocks binary, ats binary, strings binary")
+    met = met.union(dealt.groupBy("bucket").applyInArrow(sort_dealt, outcome))
     none = F.lit(None).cast("binary")
     every = met.select("block", none.alias("k1s"), none.alias("k2s"), none.alias("cut"), "at").union(pieces.filter("m is null").select("block", "k1s", "k2s", "cut", "at"))
     return every.groupBy("block").applyInArrow(lambda group: gather(group, True), "k1 bigint, k2 bigint, at binary").dropDuplicates(["k1", "k2"])
 
 
-def equal_to_another(h: np.ndarray) -> np.ndarray:
-    """Which hashes are there twice or more."""
-    order = np.argsort(h)
-    same = h[order[1:]] == h[order[:-1]]
-    out = np.zeros(len(h), bool)
-    out[order[1:][same]] = True
-    out[order[:-1][same]] = True
+@functools.lru_cache(8)
+def shifts(v: int) -> np.ndarray:
+    """For two residues modulo v, the least shift that puts both on the difference set."""
+    on = np.zeros(v, bool)
+    on[difference_set(v)[1]] = True
+    both = np.stack([np.roll(on, -d) for d in range(v)])
+    return np.argmax(both[:, :, None] & both[:, None, :], axis=0)
+
+
+def equal_starts(text: np.ndarray, off: np.ndarray, length: int) -> np.ndarray:
+    """Which starts of strings of ``length`` bytes in the pieces (one after the other) have an equal one.
+
+    The suffixes are sorted by their first v bytes. Sample positions, those on the
+    residues of a difference cover modulo v, are ranked before by their first ``deep``
+    bytes, by doubling in steps of v. Suffixes with equal first bytes are sorted by the
+    ranks at the shift that puts both on the cover: three-way partitions around one
+    suffix of each run, all runs at once. Equal ranks are followed by the bytes beyond
+    ``deep``, so every comparison is that of the whole strings.
+    """
+    n = np.diff(off) - length + 1
+    start = off[:-1].repeat(n) + np.arange(n.sum()) - spread(n)[:-1].repeat(n)
+    out = np.zeros(len(start), bool)
+    if len(start) < 2:
+        return out
+    v, cover = difference_set(max(1, length // 8))
+    deep = (length - v + 1) // v * v
+    padded = np.append(text, np.zeros(8, np.uint8)).astype(U64)
+    word = padded[: len(text)].copy()
+    for k in range(1, 8):
+        word = (word << U64(8)) | padded[k : k + len(text)]
+
+    def bytes_at(at: np.ndarray, size: int) -> list[np.ndarray]:
+        """Keys, the first counts most, that compare as the ``size`` bytes from each place on."""
+        if size < 8:
+            return [word[at] >> U64(64 - 8 * size)]
+        return [word[at + min(k, size - 8)] for k in range(0, size, 8)]
+
+    def runs(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """(order, number of its run of equal keys for each place in that order)."""
+        order = np.lexsort(keys[::-1])
+        new = np.zeros(len(order), bool)
+        for k in keys:
+            k = k[order]
+            new[1:] |= k[1:] != k[:-1]
+        return order, np.cumsum(new)
+
+    # Ranks of the cover sample.
+    room = np.repeat(off[1:], np.diff(off)) - np.arange(len(text))
+    on = np.zeros(v, bool)
+    on[cover] = True
+    at, depth = np.flatnonzero(np.resize(on, len(text)) & (room >= v)), v
+    rank = np.zeros(len(text), np.int64)
+    order, number = runs(bytes_at(at, v))
+    rank[at[order]] = number
+    while depth < deep:
+        step = min(depth, deep - depth)
+        at = at[room[at] >= depth + step]
+        order, number = runs([rank[at], rank[at + step]])
+        rank[at[order]] = number
+        depth += step
+
+    order, run = runs(bytes_at(start, v))
+    place, shift = np.arange(len(start)), shifts(v)
+    while True:
+        head = np.flatnonzero(np.diff(run, prepend=-2))
+        size = np.diff(np.append(head, len(run)))
+        more = np.repeat(size > 1, size)
+        place, run = place[more], run[more]
+        if not len(place):
+            break
+        head, size = np.flatnonzero(np.diff(run, prepend=-2)), size[size > 1]
+        own = start[order[place]]
+        pivot = np.repeat(own[head + size // 2], size)
+        by = shift[own % v, pivot % v]
+        side = np.sign(rank[own + by] - rank[pivot + by])
+        # Places of equal rank may differ beyond it: every comparison reaches the same depth.
+        tie = np.flatnonzero(side == 0)
+        for a, b in zip(bytes_at(own[tie] + deep, length - deep), bytes_at(pivot[tie] + deep, length - deep)) if length > deep else ():
+            side[tie] = np.where(side[tie] != 0, side[tie], (a > b).astype(np.int64) - (a < b))
+        each = np.repeat(np.arange(len(head)), size)
+        to = np.argsort(3 * each + side, kind="stable")
+        order[place] = order[place][to]
+        side, each = side[to], each[to]
+        even = side == 0
+        # Suffixes equal to the one in the middle are done.
+        equal = np.bincount(each, weights=even)[each] > 1
+        out[order[place[even & equal]]] = True
+        place, run = place[~even], (3 * each + side)[~even]
     return out
 
 
@@ -362,8 +471,9 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
 
 
 def repeat_digests(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_bytes, n_removed, n_spans, kept_sha256) of every text."""
-    return _removed(docs, length, id_col, text_col, True, False, ())
+    """(id, n_bytes, n_removed, n_spans, kept_sha256, text) of every text; text: what is left, bytes cut out of characters as U+FFFD."""
+    left = _removed(docs, length, id_col, text_col, False, False, ())
+    return left.select(id_col, "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), F.decode("kept", "UTF-8").alias("text"))
 
 
 def _removed(docs: DataFrame, length: int, id_col: str, text_col: str, digest: bool, whole: bool, carry: tuple[str, ...]) -> DataFrame:
