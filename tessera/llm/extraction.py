@@ -2,10 +2,13 @@
 
 A page is cut into blocks of text with their places in the element tree. A linear
 classifier gives each block a cost of being called content and one of being called
-boilerplate; these are the capacities to the terminals. Blocks that follow each other
-or stand near each other in the tree are tied by edges whose capacity is the cost of
-telling them apart. The maximum flow leaves the blocks that the source still reaches:
-the content.
+boilerplate; these are the capacities to the terminals. Elements, roles and names that
+mark boilerplate are features among others. Blocks that follow each other or stand near
+each other in the tree are tied by edges whose capacity is the cost of telling them
+apart. The maximum flow leaves the blocks that the source still reaches: the content.
+A block whose own cost outweighs all its edges is settled before, and its edges become
+costs of its neighbours; the flow runs over what is left, in time near to linear. Only
+what a browser doesn't show (``hidden``) is certain to go.
 
 Markup is read as browsers do where it matters: unclosed paragraphs, list items and
 scripts, attributes with quoted ">", comments, a tag cut off at the end of the page.
@@ -43,7 +46,8 @@ SCOPES = frozenset("ul ol dl table article section body div".split())
 CELLS, ROW_PARTS = frozenset(("td", "th")), frozenset(("td", "th", "tr"))
 #: The classifier: score of a block; above 0 speaks for content.
 BASIS, IN_MAIN, NAMED_MAIN, PER_WORD, MOST_WORDS, SENTENCE, HEADING, LINKS, LIST_ITEM, PAGE_HEADER = -1.5, 5.0, 1.5, 0.1, 4.0, 1.0, 1.0, -6.0, -0.5, -2.0
-CERTAIN = -20.0
+#: In an element whose tag or role, or whose name, marks boilerplate; in one that isn't shown.
+MARKED, MARKED_NAME, CERTAIN = -12.0, -11.0, -1000.0
 #: Smoothness: of blocks in sequence, of blocks near each other in the tree, of the next block in one parent.
 IN_SEQUENCE, NEAR, NEXT_OF_PARENT = 0.5, 1.5, 0.7
 
@@ -56,12 +60,14 @@ _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 class Element:
-    __slots__ = ("tag", "parent", "depth", "aside", "main", "named", "header", "link")
+    __slots__ = ("tag", "parent", "depth", "aside", "aside_name", "unseen", "main", "named", "header", "link")
 
     def __init__(self, tag: str, parent: Element | None, attrs: str = "") -> None:
         self.tag, self.parent = tag, parent
         self.depth = parent.depth + 1 if parent else 0
         self.aside = bool(parent and parent.aside) or tag in ASIDE_TAGS
+        self.aside_name = bool(parent and parent.aside_name)
+        self.unseen = bool(parent and parent.unseen)
         self.main = bool(parent and parent.main) or tag in MAIN_TAGS
         self.named = bool(parent and parent.named)
         self.header = bool(parent and parent.header) or tag == "header"
@@ -73,10 +79,10 @@ class Element:
                     self.aside |= value.lower() in ASIDE_ROLES
                     self.main |= value.lower() in ("main", "article")
                 elif kind == "hidden" or kind == "aria-hidden" and value.lower() == "true" or kind == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-                    self.aside = True
+                    self.unseen = True
                 elif kind in ("class", "id") and tag not in MAIN_TAGS:
                     words = {w.lower() for w in _WORDS.findall(value)}
-                    self.aside |= bool(words & ASIDE_WORDS)
+                    self.aside_name |= bool(words & ASIDE_WORDS)
                     self.named |= bool(words & MAIN_WORDS)
                     self.header |= "header" in words
 
@@ -144,10 +150,10 @@ def blocks(page: str) -> list[tuple[str, Element, float]]:
 
 def score(text: str, element: Element, links: float) -> float:
     """What speaks for content less what speaks for boilerplate."""
-    if element.aside:
-        return CERTAIN
     words = text.count(" ") + 1
     out = BASIS + min(MOST_WORDS, PER_WORD * words) + LINKS * links
+    out += MARKED if element.aside else MARKED_NAME * element.aside_name
+    out += CERTAIN * element.unseen
     out += IN_MAIN * element.main + NAMED_MAIN * element.named + HEADING * (element.tag[0:1] == "h" and element.tag[1:].isdigit())
     out += SENTENCE * (text[-1] in ".!?…。") + LIST_ITEM * (element.tag == "li")
     return out + PAGE_HEADER * (element.header and not element.main)
@@ -167,19 +173,14 @@ def distance(a: Element, b: Element) -> int:
 
 def label(found: list[tuple[str, Element, float]]) -> list[bool]:
     """Which blocks the minimum cut leaves on the source's side."""
-    n = len(found)
-    source, sink = n, n + 1
-    links: list[dict[int, float]] = [{} for _ in range(n + 2)]
+    scores = [score(*block) for block in found]
+    ties: list[dict[int, float]] = [{} for _ in found]
     last: dict[int, int] = {}
 
     def tie(i: int, j: int, w: float) -> None:
-        links[i][j] = links[i].get(j, 0.0) + w
-        links[j][i] = links[j].get(i, 0.0) + w
+        ties[i][j] = ties[j][i] = ties[i].get(j, 0.0) + w
 
-    for i, (text, element, share) in enumerate(found):
-        s = score(text, element, share)
-        links[source if s > 0 else i][i if s > 0 else sink] = abs(s)
-        links[i if s > 0 else sink].setdefault(source if s > 0 else i, 0.0)
+    for i, (_, element, _) in enumerate(found):
         home = element.parent or element
         if i:
             before = found[i - 1][1]
@@ -187,24 +188,73 @@ def label(found: list[tuple[str, Element, float]]) -> list[bool]:
             if (j := last.get(id(home), i - 1)) != i - 1:
                 tie(j, i, NEXT_OF_PARENT)
         last[id(home)] = i
+    return minimum_cut(scores, ties)
+
+
+def minimum_cut(scores: list[float], ties: list[dict[int, float]]) -> list[bool]:
+    """The smallest source side of a minimum cut; a positive score is joined to the source, a negative one to the sink."""
+    side: list[bool | None] = [None] * len(scores)
+    own, links = list(scores), [dict(t) for t in ties]
+    bound = [sum(t.values()) for t in links]
+    queue = deque(range(len(own)))
+    while queue:
+        i = queue.popleft()
+        if side[i] is not None or abs(own[i]) < bound[i] or own[i] == bound[i] > 0:
+            continue
+        side[i] = own[i] > 0
+        for j, w in links[i].items():
+            if side[j] is None:
+                own[j] += w if side[i] else -w
+                bound[j] -= w
+                del links[j][i]
+                queue.append(j)
+    _flow(own, links, side)
+    return [bool(x) for x in side]
+
+
+def _flow(own: list[float], links: list[dict[int, float]], side: list[bool | None]) -> None:
+    """Settles the blocks left: shortest augmenting paths by levels, from all supplies to all demands at once."""
+    left = [i for i, x in enumerate(side) if x is None]
+    tiny = 1e-9
     while True:
-        level, queue = {source: None}, deque([source])
-        while queue and sink not in level:
+        level = {i: 0 for i in left if own[i] > tiny}
+        queue, met = deque(level), False
+        while queue:
             u = queue.popleft()
+            met |= own[u] < -tiny
             for v, c in links[u].items():
-                if c > 1e-9 and v not in level:
-                    level[v] = u
+                if c > tiny and v not in level:
+                    level[v] = level[u] + 1
                     queue.append(v)
-        if sink not in level:
-            return [i in level for i in range(n)]
-        path, v = [], sink
-        while v != source:
-            path.append((level[v], v))
-            v = level[v]
-        w = min(links[u][v] for u, v in path)
-        for u, v in path:
-            links[u][v] -= w
-            links[v][u] = links[v].get(u, 0.0) + w
+        if not met:
+            for i in left:
+                side[i] = i in level
+            return
+        arcs = {u: [v for v in links[u] if level.get(v) == level[u] + 1] for u in level}
+        for source in [u for u in level if level[u] == 0]:
+            path = [source]
+            while path and own[source] > tiny:
+                u = path[-1]
+                if own[u] < -tiny:
+                    w = min(own[source], -own[u], *(links[a][b] for a, b in zip(path, path[1:])))
+                    own[source] -= w
+                    own[u] += w
+                    keep = len(path)
+                    for k in range(len(path) - 2, -1, -1):
+                        a, b = path[k], path[k + 1]
+                        links[a][b] -= w
+                        links[b][a] += w
+                        keep = k + 1 if links[a][b] <= tiny else keep
+                    del path[keep:]
+                    continue
+                while arcs[u] and links[u][arcs[u][-1]] <= tiny:
+                    arcs[u].pop()
+                if arcs[u]:
+                    path.append(arcs[u][-1])
+                else:
+                    path.pop()
+                    if path:
+                        arcs[path[-1]].pop()
 
 
 def main_text(page: str) -> str:
