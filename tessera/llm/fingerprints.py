@@ -28,6 +28,8 @@ from tessera.llm.common import only
 from tessera.llm.ragged import U64, mix, prefix_hash, slices, span_hash, spread
 
 WINDOW = 32
+#: Ids for each range of ids from which the ranges' bounds are taken.
+BOUND_SAMPLE = 16
 LEAST, USUAL, MOST = 16, 32, 160
 #: The top bits that must be zero before and after the usual size.
 STRICT, LOOSE = np.uint32(0b111111 << 26), np.uint32(0b1111 << 28)
@@ -125,10 +127,21 @@ def with_successors(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     spark = docs.sparkSession
     src = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     ranges = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bounds = src.agg(F.percentile_approx("id", [i / ranges for i in range(1, ranges)], 10_000)).first()[0] or []
-    bounds = sorted(set(bounds))
-    bucket = F.when(F.col("id").isNull(), -1).otherwise(F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= F.col("id"))) if bounds else F.lit(0)).cast("int")
-    src = src.withColumn("bucket", bucket)
+    # The bounds only balance the ranges: those of the ids with the smallest hashes, so many a range.
+    some = src.select("id").filter("id is not null").orderBy(F.xxhash64("id"), "id").limit(BOUND_SAMPLE * ranges).collect()
+    some = sorted(r[0] for r in some)
+    bounds = sorted({some[len(some) * i // ranges] for i in range(1, ranges)}) if some else []
+
+    @F.arrow_udf("int")
+    def range_of(ids: pa.Array) -> pa.Array:
+        held = ids.is_valid().to_numpy(zero_copy_only=False)
+        out = np.where(held, 0, -1).astype(np.int32)
+        if bounds:
+            edges = pa.array(bounds, ids.type).to_numpy(zero_copy_only=False)
+            out[held] = np.searchsorted(edges, ids.drop_null().to_numpy(zero_copy_only=False), "right")
+        return pa.array(out)
+
+    src = src.withColumn("bucket", range_of("id"))
     tops = {r[0]: r[1] for r in src.groupBy("bucket").agg(F.max("id")).collect()}
     order = sorted(tops, reverse=True)
     guests = [(tops[b], a) for a, b in zip(order[:-1], order[1:])] + ([(tops[order[0]], order[-1])] if order else [])
