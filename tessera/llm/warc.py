@@ -9,7 +9,8 @@ no half archive.
 Reading (format ``warc``). Files are dealt to partitions by size; record-type and
 header predicates are pushed down; headers are parsed first, and the block of an
 unwanted record is stepped over, not decoded. Columns are ``COLUMNS``; with option
-``payload`` = ``false`` no block is decoded at all.
+``payload`` = ``false`` no block is decoded at all. Files that end in ``.gz`` are
+read member by member, as archives have one for each record.
 
 Null payloads are empty; a null URL has no header; line ends in a URL are
 percent-encoded. Repeated rows of the smallest page id are all responses. Of an empty
@@ -18,6 +19,7 @@ table an empty folder is written and no row is read. Other columns are not read.
 
 from __future__ import annotations
 
+import gzip
 import io
 from collections.abc import Iterator, Sequence
 
@@ -74,6 +76,8 @@ def records(pages: DataFrame, least: int = 100, id_col: str = "page_id", url_col
         F.coalesce(F.concat(F.lit("\r\nWARC-Target-URI: "), url), F.lit("")),
         F.lit("\r\nWARC-Payload-Digest: sha256:"),
         F.col("digest"),
+        F.lit("\r\nWARC-Payload-Length: "),
+        F.col("n").cast("string"),
         F.when(revisit, F.concat(F.lit("\r\nWARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest\r\nWARC-Refers-To: "), _uri(F.col("first")))).otherwise(F.lit("")),
         F.lit("\r\nContent-Type: application/http; msgtype=response\r\nContent-Length: "),
         (F.octet_length(http) + F.when(revisit, 0).otherwise(F.col("n"))).cast("long").cast("string"),
@@ -125,7 +129,8 @@ class WarcReader(DataSourceReader):
         rows, held = [], 0
         for path, _size in partition.files:
             with fs.open_input_file(path) as raw:
-                for row in parse(io.BufferedReader(raw, 1 << 20), self.wanted, decode):
+                plain = io.BufferedReader(raw, 1 << 20)
+                for row in parse(gzip.GzipFile(fileobj=plain) if path.endswith(".gz") else plain, self.wanted, decode):
                     rows.append(row)
                     held += len(row[-1] or b"")
                     if held > 4 << 20 or len(rows) >= 2_000:
@@ -180,7 +185,7 @@ def parse(f, wanted: list[tuple[str, frozenset]] = (), decode: bool = True) -> I
         if any(head.get(name) not in values for name, values in wanted):
             f.seek(size, 1)
             continue
-        n = payload = None
+        n, payload = int(head["warc-payload-length"]) if "warc-payload-length" in head else None, None
         if not decode:
             f.seek(size, 1)
         else:
@@ -196,6 +201,7 @@ def parse(f, wanted: list[tuple[str, frozenset]] = (), decode: bool = True) -> I
 
 
 def read(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
+    """The archives' records. Turns the session's push-down to Python sources on, without which Spark itself filters."""
     spark.dataSource.register(WarcSource)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     return spark.read.format("warc").option("payload", str(payload).lower()).load(path)
@@ -204,18 +210,15 @@ def read(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
 def round_trip(pages: DataFrame, least: int = 100, id_col: str = "page_id") -> DataFrame:
     """(id, payload_bytes, payload_digest, record_type, refers_to), read back from archives of the pages.
 
-    A response's size and digest are those of the payload that was read; a revisit's
-    are those of its headers.
+    Responses are read with their payloads, and their size and digest are the
+    payload's. Revisits are read by their headers alone: a full payload's size and
+    digest stand there. Each read pushes its record type down.
     """
     path = scratch_dir(pages.sparkSession, "warc")
     write(pages, path, least, id_col=id_col)
-    found = read(pages.sparkSession, path)
     page = lambda c: F.nullif(F.regexp_extract(c, "^<urn:page:(.*)>$", 1), F.lit("")).cast(pages.schema[id_col].dataType)
-    response = F.col("record_type") == "response"
-    return found.select(
-        page("record_id").alias(id_col),
-        F.when(response, F.octet_length("payload").cast("long")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
-        F.when(response, F.sha2("payload", 256)).otherwise(F.substring_index("payload_digest", ":", -1)).alias("payload_digest"),
-        "record_type",
-        page("refers_to").alias("refers_to"),
-    )
+    full = read(pages.sparkSession, path).filter("record_type = 'response'")
+    full = full.select("record_id", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_digest"), "record_type", "refers_to")
+    bare = read(pages.sparkSession, path, payload=False).filter("record_type = 'revisit'")
+    bare = bare.select("record_id", "payload_bytes", F.substring_index("payload_digest", ":", -1).alias("payload_digest"), "record_type", "refers_to")
+    return full.unionByName(bare).select(page("record_id").alias(id_col), "payload_bytes", "payload_digest", "record_type", page("refers_to").alias("refers_to"))
