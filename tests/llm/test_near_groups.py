@@ -38,7 +38,7 @@ def _got(spark, rows, bucket):
     return {r.doc_id: r.component_id for r in simhash.near_groups(spark.createDataFrame(rows, "doc_id bigint, text string"), bucket=bucket).collect()}
 
 
-@pytest.mark.parametrize("bucket", [48, 3])
+@pytest.mark.parametrize("bucket", [3])
 def test_every_link_of_a_skewed_table(spark, bucket):
     """Texts slide along a long one, so that most resemble their neighbours only, around one large group."""
     rnd = random.Random(4)
