@@ -44,12 +44,29 @@ def _folded(x: np.ndarray) -> np.ndarray:
     return np.where(x >= _P, x - _P, x)
 
 
+#: Numbers that are multiplied at a time, so that they stay in a processor's cache.
+_STEP = 1 << 14
+
+
 def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Products modulo the prime of numbers below it, by halves of 31 bits."""
-    a, b = np.asarray(a, U64), np.asarray(b, U64)
-    a1, a0, b1, b0 = a >> U64(31), a & _LOW31, b >> U64(31), b & _LOW31
-    mid = a1 * b0 + a0 * b1
-    return _folded(_folded(((a1 * b1) << U64(1)) + (mid >> U64(30)) + ((mid & _LOW30) << U64(31))) + _folded(a0 * b0))
+    a, b = np.broadcast_arrays(np.asarray(a, U64), np.asarray(b, U64))
+    out = np.empty(a.shape, U64)
+    for lo in range(0, len(a), _STEP):
+        x, y = a[lo : lo + _STEP], b[lo : lo + _STEP]
+        x1, x0, y1, y0 = x >> U64(31), x & _LOW31, y >> U64(31), y & _LOW31
+        mid = x1 * y0
+        mid += x0 * y1
+        x1 *= y1
+        x1 <<= U64(1)
+        x1 += mid >> U64(30)
+        mid &= _LOW30
+        mid <<= U64(31)
+        x1 += mid
+        x0 *= y0
+        # Each part is below 2**63; folded once, their sum is below 2**63 too.
+        out[lo : lo + _STEP] = _folded(((x1 & _P) + (x1 >> U64(61))) + ((x0 & _P) + (x0 >> U64(61))))
+    return out
 
 
 _powers: tuple[np.ndarray, np.ndarray] = (np.ones(1, U64), np.ones(1, U64))
@@ -71,25 +88,41 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def prefix_of(codes: np.ndarray) -> np.ndarray:
     """Prefix sums, modulo the prime, of a polynomial hash of codes below it."""
-    terms = times(codes, powers(len(codes))[0][: len(codes)])
-    high, low = np.cumsum(terms >> U64(31), dtype=U64), np.cumsum(terms & _LOW31, dtype=U64)
     out = np.zeros(len(codes) + 1, U64)
-    out[1:] = _folded((high >> U64(30)) + ((high & _LOW30) << U64(31)) + low)
+    power, before = powers(len(codes))[0], U64(0)
+    for lo in range(0, len(codes), _STEP):
+        terms = times(codes[lo : lo + _STEP], power[lo : lo + min(_STEP, len(codes) - lo)])
+        low = np.cumsum(terms & _LOW31)
+        terms >>= U64(31)
+        high = np.cumsum(terms)
+        low += high >> U64(30)
+        high &= _LOW30
+        high <<= U64(31)
+        low += high
+        low += before
+        part = out[lo + 1 : lo + 1 + len(low)]
+        part[:] = _folded(low)
+        before = part[-1]
     return out
 
 
 def prefix_hash(data: np.ndarray) -> np.ndarray:
     """Prefix sums of the hash of bytes; ``span_hash`` takes differences of them."""
-    return prefix_of(BYTE_CODE[data])
+    return prefix_of(np.take(BYTE_CODE, data))
 
 
 def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hash of data[start:end], the same wherever the span stands; never 0."""
-    h = times(_folded(prefix[end] + (_P - prefix[start])), powers(len(prefix))[1][start])
-    h += (end - start).astype(U64) * U64(0xA0761D6478BD642F)
-    h = mix(h)
-    h[h == 0] = 1
-    return h
+    out, inverse = np.empty(len(start), U64), powers(len(prefix))[1]
+    for lo in range(0, len(start), _STEP):
+        a, b = start[lo : lo + _STEP], end[lo : lo + _STEP]
+        h = prefix[b]
+        h += _P - prefix[a]
+        h = times(_folded(h), inverse[a])
+        h += (b - a).astype(U64) * U64(0xA0761D6478BD642F)
+        out[lo : lo + _STEP] = mix(h)
+    out[out == 0] = 1
+    return out
 
 
 def numbered(data: np.ndarray, start: np.ndarray, end: np.ndarray, prefix: np.ndarray) -> np.ndarray:
