@@ -473,7 +473,7 @@ def remove_repeats(docs: DataFrame, length: int = 400, id_col: str = "doc_id", t
 def repeat_digests(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept_sha256, text) of every text; text: what is left, bytes cut out of characters as U+FFFD."""
     left = _removed(docs, length, id_col, text_col, False, False, ())
-    return left.select(id_col, "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), F.decode("kept", "UTF-8").alias("text"))
+    return left.select(id_col, "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), F.make_valid_utf8(F.col("kept").cast("string")).alias("text"))
 
 
 def _removed(docs: DataFrame, length: int, id_col: str, text_col: str, digest: bool, whole: bool, carry: tuple[str, ...]) -> DataFrame:
