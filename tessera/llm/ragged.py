@@ -79,9 +79,11 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_powers[0]) < n:
         made = []
         for base in (_BASE, pow(_BASE, -1, PRIME)):
-            a = np.ones(1, U64)
-            while len(a) < max(n, 1 << 16):
-                a = np.concatenate([a, times(a, U64(pow(base, len(a), PRIME)))])
+            a, have = np.ones(max(n, 1 << 16), U64), 1
+            while have < len(a):
+                more = min(have, len(a) - have)
+                a[have : have + more] = times(a[:more], U64(pow(base, have, PRIME)))
+                have += more
             made.append(a)
         _powers = (made[0], made[1])
     return _powers
