@@ -13,17 +13,26 @@ def tree_parents(owners: DataFrame, number: str = "number", key: str = "key", se
     return child.join(owners.select(F.col(number).alias("up"), F.col(key).alias("parent")), "up").filter("child <> parent").select("child", "parent").distinct()
 
 
-def closure(links: DataFrame, child: str = "child", parent: str = "parent", depth: int = 8) -> DataFrame:
-    """(child, ancestor, depth): shortest ways up, to a depth. The links must be free of cycles.
+#: Levels of a hierarchy at most: beyond it, ``closure`` takes the links for a cycle and raises.
+MOST_LEVELS = 64
+
+
+def closure(links: DataFrame, child: str = "child", parent: str = "parent", depth: int | None = None) -> DataFrame:
+    """(child, ancestor, depth): shortest ways up, all or those up to a depth. The links must be free of cycles.
 
     Each round joins what the last one found, and only what is new goes on.
     """
     base = links.select(F.col(child).alias("child"), F.col(parent).alias("ancestor")).distinct()
-    step, every = base.withColumn("depth", F.lit(1)), base.withColumn("depth", F.lit(1))
+    step = every = base.withColumn("depth", F.lit(1))
     up = base.select(F.col("child").alias("mid"), F.col("ancestor").alias("next"))
-    for d in range(2, depth + 1):
+    for d in range(2, (depth or MOST_LEVELS) + 1):
         step = step.join(up, F.col("ancestor") == F.col("mid")).select("child", F.col("next").alias("ancestor"), F.lit(d).alias("depth")).distinct()
+        if depth is None and step.isEmpty():
+            break
         every = every.unionAll(step)
+    else:
+        if depth is None:
+            raise ValueError("more levels than a hierarchy can have: the links hold a cycle")
     return every.groupBy("child", "ancestor").agg(F.min("depth").alias("depth"))
 
 

@@ -43,7 +43,7 @@ def cast_or_blank(read):
 
 
 
-@query("""WITH names AS (SELECT p_name AS name, CAST(p_partkey AS VARCHAR) AS id, p_partkey AS ord FROM part WHERE p_partkey % 3 = 0),
+@query("""WITH names AS (SELECT p_name AS name, CAST(p_partkey AS VARCHAR) AS id, p_partkey AS ord FROM part),
 exact AS (SELECT name AS probe, arg_min(id, ord) AS id FROM names GROUP BY 1),
 asked AS (SELECT p_partkey, CASE WHEN p_partkey % 4 = 0 THEN upper(p_name) WHEN p_partkey % 4 = 1 THEN p_name || ' sodium' WHEN p_partkey % 4 = 2 THEN 'dl-' || p_name ELSE p_name || ' zz' END AS name, p_name FROM part)
 SELECT p_partkey, CASE WHEN p_partkey % 4 < 3 AND id IS NOT NULL THEN id WHEN p_partkey % 4 = 0 THEN 'NAME:' || p_name WHEN p_partkey % 4 = 1 THEN 'NAME:' || p_name || ' sodium' WHEN p_partkey % 4 = 2 THEN 'NAME:dl ' || p_name ELSE 'NAME:' || p_name || ' zz' END AS key,
@@ -52,7 +52,7 @@ FROM asked LEFT JOIN exact ON probe = p_name""")
 def tiered_resolution(read):
     """Names resolved through exact, salt, alias and provisional tiers."""
     part = read("part")
-    names = part.filter("p_partkey % 3 = 0").select(F.col("p_name").alias("name"), F.col("p_partkey").cast("string").alias("id"), F.col("p_partkey").alias("ord"))
+    names = part.select(F.col("p_name").alias("name"), F.col("p_partkey").cast("string").alias("id"), F.col("p_partkey").alias("ord"))
     aliases = names.select(F.concat(F.lit("dl "), "name").alias("name"), "id", F.lit("alias").alias("method"), "ord")
     asked = F.when(F.col("p_partkey") % 4 == 0, F.upper("p_name")).when(F.col("p_partkey") % 4 == 1, F.concat("p_name", F.lit(" sodium"))).when(F.col("p_partkey") % 4 == 2, F.concat(F.lit("dl-"), "p_name")).otherwise(F.concat("p_name", F.lit(" zz")))
     return resolve.resolve(part.select("p_partkey", asked.alias("name")), resolve.dictionary(names, aliases)).select("p_partkey", "key", "method")
@@ -94,9 +94,9 @@ def _host_links(read):
     return nodes.filter(F.col("n").contains(".")).select(F.col("n").alias("child"), F.regexp_replace("n", "^[^.]*[.]", "").alias("parent"))
 
 
-@query(f"WITH RECURSIVE {_TREE}, up AS (SELECT child, parent AS ancestor, 1 AS depth FROM link UNION ALL SELECT up.child, link.parent, up.depth + 1 FROM up JOIN link ON link.child = up.ancestor WHERE up.depth < 8) SELECT child, ancestor, min(depth) AS depth FROM up GROUP BY 1, 2")
+@query(f"WITH RECURSIVE {_TREE}, up AS (SELECT child, parent AS ancestor, 1 AS depth FROM link UNION ALL SELECT up.child, link.parent, up.depth + 1 FROM up JOIN link ON link.child = up.ancestor) SELECT child, ancestor, min(depth) AS depth FROM up GROUP BY 1, 2")
 def hierarchy_closure(read):
-    """All ancestors, with a bound on the depth."""
+    """All ancestors."""
     return hierarchy.closure(_host_links(read))
 
 
@@ -108,7 +108,9 @@ def hierarchy_roll_up(read):
     return hierarchy.roll_up(facts, "host", hierarchy.closure(links), [F.count("*").alias("n_pages")])
 
 
-@query("SELECT n_nationkey, r_name FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey % 5 <> n_regionkey OR true")
+@query("""WITH RECURSIVE c AS (SELECT CAST(n_nationkey AS VARCHAR) AS child, r_name AS parent, 0 AS ord FROM nation JOIN region ON n_regionkey = r_regionkey UNION ALL SELECT r_name, CAST(n_nationkey AS VARCHAR), 1 FROM nation JOIN region ON n_regionkey = r_regionkey),
+up AS (SELECT child, parent AS above FROM c WHERE ord = 0 UNION SELECT up.child, c.parent FROM up JOIN c ON c.child = up.above AND c.ord = 0)
+SELECT CAST(child AS INTEGER) AS n_nationkey, parent AS r_name FROM c WHERE child <> parent AND (ord = 0 OR NOT EXISTS (SELECT 1 FROM up WHERE up.child = c.parent AND up.above = c.child))""")
 def accepted_links(read):
     """Ordered candidates, less those that close a cycle."""
     down = read("nation").join(read("region"), F.col("n_regionkey") == F.col("r_regionkey")).select(F.col("n_nationkey").cast("string").alias("child"), F.col("r_name").alias("parent"), F.lit(0).alias("ord"))
@@ -140,12 +142,14 @@ def three_way_pattern(read):
     return m.rows.groupBy(m.col("c.c_mktsegment").alias("c_mktsegment"), m.col("p.p_brand").alias("p_brand")).agg(F.countDistinct(m.col("o.key")).alias("n"))
 
 
-@query("""WITH sp AS (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem WHERE l_partkey < 20) SELECT a.l_suppkey AS s, count(DISTINCT b.l_suppkey) AS n FROM sp a JOIN (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem) b USING (l_partkey) GROUP BY 1""")
+@query("""WITH sp AS (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem) SELECT a.l_suppkey AS s, count(DISTINCT b.l_suppkey) AS n FROM sp a JOIN sp b USING (l_partkey) GROUP BY 1""")
 def two_hops_back(read):
-    """Suppliers that share a part, along an edge and back."""
-    m = _graph(read).match("Supplier", "s").hop("SUPPLIES", "Part", "p")
-    m = m.where(F.substring(m.col("p.key"), 3, 20).cast("long") < 20).hop("SUPPLIES", "Supplier", "t", back=True)
-    return m.rows.groupBy(F.substring(m.col("s.key"), 3, 20).cast("long").alias("s")).agg(F.countDistinct(m.col("t.key")).alias("n"))
+    """Suppliers that share a part, along an edge and back; each edge once."""
+    g = _graph(read)
+    g.edges["SUPPLIES"] = g.edges["SUPPLIES"].distinct()
+    m = g.match("Supplier", "s").hop("SUPPLIES", "Part", "p").hop("SUPPLIES", "Supplier", "t", back=True)
+    pairs = m.rows.select(m.col("s.key").alias("s"), m.col("t.key").alias("t")).distinct()
+    return pairs.groupBy(F.substring("s", 3, 20).cast("long").alias("s")).agg(F.count("*").alias("n"))
 
 
 @query("SELECT c_custkey, coalesce(n, 0) AS n_orders FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders WHERE o_orderstatus = 'P' GROUP BY 1) ON o_custkey = c_custkey WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '5-LOW')")

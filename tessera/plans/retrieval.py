@@ -61,13 +61,13 @@ def greedy_vector_dedupe(read):
     """In order, what is like a kept item goes; a group is a label."""
     q = F.array(*[F.lit(float(x)) for x in _query_vector(read)])
     items = _items(read).withColumn("cosine", vectors.cosine(F.col("embedding"), q))
-    return search.greedy_distinct(items, final=1_000_000, same=0.9, group="label").select("grp", "id", "rank", F.size("merged").alias("n_merged"))
+    return search.greedy_distinct(items, final=None, same=0.9, group="label").select("grp", "id", "rank", F.size("merged").alias("n_merged"))
 
 
-@query("SELECT vec_id, list_transform(embedding, lambda x: CAST(round(CAST(x AS DOUBLE) * 100) AS INTEGER))[1:4] AS bytes FROM embeddings")
+@query("SELECT vec_id, list_transform(embedding, lambda x: CAST(round(CAST(x AS DOUBLE) * 100) AS INTEGER)) AS bytes FROM embeddings")
 def quantised_vectors(read):
     """Vectors as small integers."""
-    return read("embeddings").select("vec_id", F.slice(F.transform("embedding", lambda x: F.round(x.cast("double") * 100).cast("int")), 1, 4).alias("bytes"))
+    return read("embeddings").select("vec_id", F.transform("embedding", lambda x: F.round(x.cast("double") * 100).cast("int")).alias("bytes"))
 
 
 _WORDS = r"list_filter(string_split(trim(regexp_replace(lower(regexp_replace(strip_accents(replace(text, 'ß', '')), '[^\x00-\x7F]', '', 'g')), '[^a-z0-9_]+', ' ', 'g')), ' '), lambda w: w <> '')"
@@ -76,7 +76,7 @@ _INDEX = f"words AS (SELECT doc_id, {_WORDS} AS w FROM documents), idx AS (SELEC
 
 def _index(read):
     plain = F.regexp_replace(F.replace("text", F.lit("ß"), F.lit("")), r"[\[\]()]", " ")
-    return search.postings(read("documents").select("doc_id", plain.alias("text")), "doc_id", "text")
+    return search.words_of(read("documents").select("doc_id", plain.alias("text")), "doc_id", "text")
 
 
 @query(f"""WITH {_INDEX}, c AS (SELECT count(*) FILTER (len(w) > 0) AS n_docs, avg(len(w)) FILTER (len(w) > 0) AS mean FROM words),
@@ -110,19 +110,26 @@ d AS (SELECT DISTINCT doc_id, array_to_string(w[i:i+7], ' ') AS gram FROM words,
 def shared_ngrams(read):
     """Links between tables by n-grams of words."""
 
-    def grams(df, key):
+    def words(df, key):
         plain = F.regexp_replace(F.replace("text", F.lit("ß"), F.lit("")), r"[\[\]()]", " ")
-        words = df.select(key, F.filter(F.split(fold(plain), " "), lambda w: w != "").alias("w")).filter(F.size("w") >= 8)
-        return words.select(key, F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("w") - 7), lambda i: F.array_join(F.slice("w", i, 8), " ")))).alias("gram"))
+        return df.select(key, F.filter(F.split(fold(plain), " "), lambda w: w != "").alias("w")).filter(F.size("w") >= 8)
 
-    return grams(read("documents"), "doc_id").join(F.broadcast(grams(read("benchmark"), "item_id")), "gram").groupBy("doc_id", "item_id").agg(F.count("*").alias("n"))
+    def hashed(df, key):
+        return df.select(key, F.posexplode(F.transform(F.sequence(F.lit(1), F.size("w") - 7), lambda i: F.xxhash64(F.slice("w", i, 8)))).alias("i", "h"))
+
+    gram = F.array_join(F.slice("w", F.col("i") + 1, 8), " ")
+    docs, items = words(read("documents"), "doc_id"), words(read("benchmark"), "item_id")
+    known = hashed(items, "item_id").join(items, "item_id").select("item_id", "h", gram.alias("gram")).distinct()
+    # Numbers meet first, and the sides' sizes decide how; the words of what met are compared.
+    met = hashed(docs, "doc_id").join(known, "h").join(docs, "doc_id").filter(gram == F.col("gram"))
+    return met.select("doc_id", "item_id", "gram").distinct().groupBy("doc_id", "item_id").agg(F.count("*").alias("n"))
 
 
 @query()
 def condition_links(read):
     """Phrases linked through rewritings to a dictionary."""
     part = read("part")
-    dictionary = part.filter("p_partkey % 2 = 0").select(fold(F.concat(F.element_at(F.split("p_name", " "), 2), F.lit("s, "), F.element_at(F.split("p_name", " "), 1))).alias("probe"), F.concat(F.lit("D:"), "p_name").alias("key")).distinct()
+    dictionary = part.select(fold(F.concat(F.element_at(F.split("p_name", " "), 2), F.lit("s, "), F.element_at(F.split("p_name", " "), 1))).alias("probe"), F.concat(F.lit("D:"), "p_name").alias("key")).distinct()
     terms = part.select(F.col("p_partkey").alias("id"), F.concat(F.lit("chronic "), "p_name", F.lit("s")).alias("term"))
     return link(terms, [dictionary])
 

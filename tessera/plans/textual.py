@@ -149,13 +149,12 @@ def parallel_lists(read):
     return read("events").select("event_id", transforms.suspects(drugs, roles).alias("kept"))
 
 
-@query("SELECT doc_id, array_to_string(string_split_regex(text, '\\s+')[1:5], ' ') AS head FROM documents WHERE regexp_matches(text, '^\\S')")
+@query("SELECT doc_id, array_to_string(string_split_regex(text, '\\s+'), ' ') AS body FROM documents WHERE text IS NOT NULL")
 def text_from_inverted_index(read):
-    """text put together from words and their places."""
-    docs = read("documents").filter(F.col("text").rlike(r"^\S"))
-    words = docs.select("doc_id", F.posexplode(F.slice(F.split("text", r"\s+"), 1, 5)).alias("p", "w"))
+    """whole texts put together from words and their places."""
+    words = read("documents").filter("text is not null").select("doc_id", F.posexplode(F.split("text", r"\s+")).alias("p", "w"))
     index = words.groupBy("doc_id", "w").agg(F.collect_list("p").alias("at")).groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("w", "at"))).alias("index"))
-    return index.select("doc_id", transforms.from_inverted_index(F.col("index")).alias("head"))
+    return index.select("doc_id", transforms.from_inverted_index(F.col("index")).alias("body"))
 
 
 @query("SELECT event_id, CASE event_id % 4 WHEN 0 THEN true WHEN 1 THEN false END AS flag, CASE WHEN event_id % 2 = 0 THEN '' ELSE event_type END AS filled FROM events")

@@ -18,7 +18,7 @@ CASES = [
     (text.clean_cell, [(" a\n b\t c ", "a b c"), ("  a  b ", "a  b")]),
     (text.vocabulary_key, [("efo_0000_1", "EFO:0000_1"), ("MONDO:1", "MONDO:1")]),
     (text.as_integer, [("12.0", 12), ("x", None), (" 7 ", 7)]),
-    (text.clean_text, [("VGX&#45;3100", "VGX-3100"), ("dose<br>daily", "dose daily"), ("café", "café"), ("â„¢", "™")]),
+    (text.clean_text, [("VGX&#45;3100", "VGX-3100"), ("dose<br>daily", "dose daily"), ("café", "café"), ("â„¢", "™"), ("cafÃ© – naÃ¯ve é", "café – naïve é"), (None, "")]),
     (text.fold_any, [("ﬁne Ångström", "fine angstrom"), (None, "")]),
     (text.language_by_script, [("abc العربية", "ar"), ("中文", "zh"), ("カタカナ", "ja"), ("plain", "en")]),
     (enums.norm_phase, [("Phase I/II", "PHASE1_PHASE2"), ("0", "NA"), ("Phase 0", "PHASE0"), ("Phase 03", "NA"), ("", "NA"), (None, "NA"), ("PHASE1 | PHASE2", "PHASE1_PHASE2")]),
@@ -36,14 +36,28 @@ def test_function(spark, function, pairs):
     assert [got[i] for i in range(len(pairs))] == [b for _, b in pairs]
 
 
-def test_condition_variants():
-    assert conditions.variants("Metastatic Breast Cancer")[0] == "Metastatic Breast Cancer"
-    assert "Breast Neoplasms" in conditions.variants("Metastatic Breast Cancer")
-    assert conditions.variants("Chronic Disease") == ["Chronic Disease"]
-    assert "thyroid Neoplasms" in conditions.variants("Malignant neoplasm of thyroid gland")
-    assert "Arthritis, Rheumatoid".lower() in [v.lower() for v in conditions.variants("Other rheumatoid arthritis")]
-    assert "Renal Cell Carcinoma" in conditions.variants("Carcinoma, Renal Cell")
-    assert conditions.variants("") == [] and conditions.parts("Overweight and Obesity") == ["Overweight", "Obesity"] and conditions.parts("Asthma") == []
+LADDERS = [
+    ("Metastatic Breast Cancer", ["Metastatic Breast Cancer", "Breast Cancer", "Breast Cancers", "Breast Neoplasms", "Breast Neoplasm", "Cancer, Breast"]),
+    ("Chronic Disease", ["Chronic Disease"]),
+    ("Malignant neoplasm of thyroid gland", ["Malignant neoplasm of thyroid gland", "neoplasm of thyroid gland", "neoplasm of thyroid glands", "thyroid gland Neoplasms", "thyroid Neoplasms", "of thyroid gland, neoplasm", "gland, neoplasm of thyroid"]),
+    ("Other rheumatoid arthritis", ["Other rheumatoid arthritis", "Other rheumatoid arthriti", "rheumatoid arthritis", "rheumatoid arthriti", "rheumatoid arthritis, Other", "arthritis, Other rheumatoid", "arthritis, rheumatoid"]),
+    ("Carcinoma, Renal Cell", ["Carcinoma, Renal Cell", "Carcinoma, Renal Cells", "Renal Cell Carcinoma"]),
+    ("Heart Failure With Ascites", ["Heart Failure With Ascites", "Heart Failure With Ascite", "Heart Failure", "Failure With Ascites, Heart", "Ascites, Heart Failure With"]),
+    ("Lung Cancer Stage IV", ["Lung Cancer Stage IV", "Lung Cancer Stage IVs", "Lung Cancer", "Lung Neoplasms Stage IV", "Lung Neoplasm Stage IV", "Cancer Stage IV, Lung", "IV, Lung Cancer Stage"]),
+    ("Coronavirus (COVID-19)", ["Coronavirus (COVID-19)", "Coronavirus (COVID-19)s", "COVID-19", "Coronavirus", "(COVID-19), Coronavirus"]),
+    ("Overweight and Obesity", ["Overweight and Obesity", "Overweight and Obesitys", "and Obesity, Overweight", "Obesity, Overweight and", "Overweight", "Obesity"]),
+    ("COVID-19 Vaccination Disease", ["COVID-19 Vaccination Disease", "COVID-19 Vaccination Diseases", "COVID-19", "Vaccination Disease, COVID-19", "Disease, COVID-19 Vaccination"]),
+    ("", []),
+    (None, []),
+]
+
+
+def test_condition_variants(spark):
+    rows = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(LADDERS)], "i int, t string")
+    got = {r.i: r.v for r in rows.select("i", conditions.variants(F.col("t")).alias("v")).collect()}
+    assert [got[i] for i in range(len(LADDERS))] == [v for _, v in LADDERS]
+    cells = spark.createDataFrame([(0, "Overweight and Obesity"), (1, "Asthma"), (2, None), (3, "Asthma / COPD & a")], "i int, t string")
+    assert [r.p for r in cells.select(conditions.parts(F.col("t")).alias("p"), "i").orderBy("i").collect()] == [["Overweight", "Obesity"], [], [], ["Asthma", "COPD"]]
 
 
 def test_dates(spark):

@@ -120,7 +120,7 @@ def test_search(spark):
     assert [r.id for r in search.by_sparse(items, {"w": 1.0}, 2).collect()] == [7, 6]
     found = search.retrieve(items, [1.0, 0.0, 0.0], {"w": 1.0}, F.col("id") < 6, final=3).collect()
     assert [r.id for r in found][0] == 0 and found[0].duplicates[0] == "s1"
-    index = search.postings(spark.createDataFrame([(1, "of the best"), (2, "the best of"), (3, "none")], "id int, t string"), "id", "t")
+    index = search.words_of(spark.createDataFrame([(1, "of the best"), (2, "the best of"), (3, "none")], "id int, t string"), "id", "t")
     assert rows(search.phrase(index, ["of", "the"])) == [(1, 1)] and rows(search.phrase_check(index, ["of", "the"])) == [(1, 2)]
     assert {r.token for r in search.fuzzy_tokens(index, "bests").collect()} == {"best"}
     exact = search.by_cosine_many(items, items.filter("id % 4 = 0").select("id", "embedding"), 3).collect()
