@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions import enums, text
+from tessera.functions import conditions, enums, places, terms, text
 from tessera.functions.conditions import link
 from tessera.loaders.build import Build, folded_key
+from tessera.loaders.places import conducted, region_key
 from tessera.operators import resolve, transforms
 
 
@@ -15,6 +16,7 @@ def product(b: Build, rows: DataFrame, source: str, agency: str) -> None:
     """The product funnel. rows: key, name, ingredients, company, status, form, strength, route, date."""
     b.add("Product", rows, source, key="key", name="name", agency=F.lit(agency), status=enums.norm_product_status(F.col("status")), status_raw="status", form=text.norm_form(F.col("form")), strength="strength")
     b.add("APPROVED_BY", rows, source, src="key", dst=F.lit(f"AGENCY:{agency}"), match_method=F.lit("structured"))
+    b.add("APPROVED_IN", rows, source, src="key", dst=region_key(F.lit(places.agency_region(agency))), match_method=F.lit("derived"))
     parts = rows.select("key", F.explode(text.split_ingredients(F.col("ingredients"))).alias("ingredient"))
     found = b.resolve(parts, "ingredient", provisional=True)
     own = found.filter("match_method = 'provisional'")
@@ -29,6 +31,7 @@ def product(b: Build, rows: DataFrame, source: str, agency: str) -> None:
     dated = rows.filter("date <> ''").withColumn("a", F.concat(F.lit("APPROVAL:"), "key"))
     b.add("Approval", dated, source, key="a", date="date", status="status", agency=F.lit(agency))
     b.add("HAS_APPROVAL", dated, source, src="key", dst="a", match_method=F.lit("structured"))
+    b.add("ISSUED_BY", dated, source, src="a", dst=F.lit(f"AGENCY:{agency}"), match_method=F.lit("derived"))
 
 
 def _products(b: Build, file: str, source: str, agency: str, key: list[str], prefix: str, **columns: str) -> None:
@@ -106,17 +109,42 @@ def trials(b: Build, file: str) -> None:
     s = r.filter("sponsor <> ''").withColumn("c", F.concat(F.lit("COMPANY:"), text.norm_company(F.col("sponsor"))))
     b.add("Company", s, file, key="c", name="sponsor", raw_names="sponsor")
     b.add("SPONSORED_BY", s, file, src="key", dst="c", match_method=F.lit("structured"))
-    packed = lambda c: text.parts(F.regexp_replace(F.col(c), "(?i)<br ?/?>", ";"), r"[;|]")
-    short = lambda c: F.slice(F.filter(packed(c), lambda t: F.length(t).between(3, 120)), 1, 12)
-    terms = r.select(F.col("key").alias("id"), F.explode(short("conditions")).alias("term"))
-    if b.diseases():
-        linked = link(terms, b.diseases())
-        b.add("STUDIES", linked, file, src="id", dst="key", match_method="method")
-    drugs = r.select("key", F.explode(short("interventions")).alias("t")).select("key", F.trim(F.regexp_replace("t", r"^(?i)(drug|biological|device|procedure|other|dietary supplement|behavioral)\s*:\s*", "")).alias("drug"))
-    drugs = drugs.select("key", F.explode(F.split("drug", r"(?i)\s+\+\s+|\s+and\s+|\s*/\s*")).alias("drug")).filter(~F.lower("drug").isin("placebo", "saline", "control", "standard of care", "usual care", "no intervention"))
+    studies(b, r, file)
+    if file in COUNTRY_CELLS:
+        column, names = COUNTRY_CELLS[file]
+        cells = b.rows(file, columns["id"], column).select(enums.trial_key(F.col(f"`{columns['id']}`")).alias("key"), F.col(f"`{column}`").alias("c")).filter("key <> ''")
+        conducted(b, cells, file, names(F.col("c")))
+    drugs = r.select("key", F.explode(terms.drug_names(F.col("interventions"))).alias("drug"))
     b.add("TESTED_IN", b.resolve(drugs, "drug"), file, src="substance", dst="key", match_method="match_method")
 
 
+#: The cells that name a trial's countries, and how.
+COUNTRY_CELLS = {"ctgov": ("locations", places.in_brackets), "who": ("Countries", places.in_list), "isrctn": ("Country of recruitment", places.in_list), "ctri": ("countries_of_recruitment", places.in_list)}
+
+
+def studies(b: Build, trials: DataFrame, source: str) -> None:
+    """STUDIES edges of trials (key, conditions): by name, by the names of one cell, else by the registry's code.
+
+    A code counts for a trial that no name links: it by itself, else its category of three characters.
+    """
+    if not b.diseases():
+        return
+    asked = trials.select(F.col("key").alias("id"), F.explode(terms.condition_names(F.col("conditions"))).alias("term"))
+    whole = link(asked, b.diseases()).select("id", "key", "method")
+    single = asked.select("id", F.explode(conditions.parts(F.col("term"))).alias("term"))
+    # One name may be linked as a whole and as a part; the first writer of an edge wins.
+    parts = link(single, b.diseases()).select("id", "key", F.lit("name_part").alias("method"))
+    named = whole.unionByName(parts)
+    b.add("STUDIES", whole, source, src="id", dst="key", match_method="method")
+    b.add("STUDIES", parts, source, src="id", dst="key", match_method="method")
+    if "icd" not in b.dictionaries:
+        return
+    codes = trials.select(F.col("key").alias("id"), F.posexplode(terms.condition_codes(F.col("conditions"))).alias("at", "code")).join(named.select("id").distinct(), "id", "left_anti")
+    tries = codes.select("id", "at", F.posexplode(F.array_distinct(F.array("code", F.left("code", F.lit(3))))).alias("step", "code"))
+    found = tries.join(b.dictionaries["icd"], "code").groupBy("id").agg(F.min_by("key", F.struct("at", "step")).alias("key"))
+    b.add("STUDIES", found, source, src="id", dst="key", match_method=F.lit("icd_code"))
+
+
 def same_studies(b: Build, file: str, cross: list[str]) -> None:
     """Ids of the same study in other registries: links, and stubs of the lowest precedence."""
     registry, columns = REGISTRIES[file]

@@ -6,7 +6,7 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 
-from tessera.loaders import diseases, events, substances
+from tessera.loaders import diseases, events, places, substances
 from tessera.loaders.build import Build, run
 
 #: The files that each loader cannot do without.
@@ -33,7 +33,8 @@ NEEDS = {
 
 
 def loaders(lake: Mapping[str, DataFrame]) -> list[Callable[[Build], None]]:
-    out: list[Callable[[Build], None]] = [f for f, files in NEEDS.items() if all(x in lake for x in files)]
+    out: list[Callable[[Build], None]] = [places.vocabulary]
+    out += [f for f, files in NEEDS.items() if all(x in lake for x in files)]
     out += [f for file, f in events.PRODUCTS.items() if file in lake]
     out += [(lambda b, file=file: events.trials(b, file)) for file in events.REGISTRIES if file in lake]
     return out + [f for file, f in events.SAFETY.items() if file in lake]

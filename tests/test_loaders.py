@@ -2,7 +2,10 @@
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from tessera import schema
+from tessera.functions import terms
 from tessera.loaders import events
 from tessera.loaders.everything import build
 from tessera.operators import quality
@@ -39,8 +42,8 @@ def made(spark):
         "ob_patents": [{"Appl_No": "020702", "Product_No": "001", "Patent_No": "5273995"}],
         "ob_excl": [{"Appl_No": "020702", "Product_No": "001", "Exclusivity_Code": "NCE"}],
         "sfda": [{"registerNumber": "1", "tradeName": "X", "scientificName": "MYSTERY STUFF, ASPIRIN", "marketingStatus": '{"ID": 1, "NAMEEN": "Marketed"}', "administrationRoute": '{"id": 1, "nameEn": "Oral use"}'}],
-        "ctgov": [{"nct_id": "NCT1", "brief_title": "t", "phases": "PHASE1 | PHASE2", "study_type": "INTERVENTIONAL", "conditions": "Metastatic Breast Cancer", "interventions": "Drug: Atorvastatin + Aspirin|Other: Placebo", "lead_sponsor": "Acme Ltd"}],
-        "who": [{"TrialID": "NCT1", "Public_title": "later"}, {"TrialID": "JPRN-UMIN1", "Public_title": "u", "Condition": "Healthy"}],
+        "ctgov": [{"nct_id": "NCT1", "brief_title": "t", "phases": "PHASE1 | PHASE2", "study_type": "INTERVENTIONAL", "conditions": "Metastatic Breast Cancer", "interventions": "Drug: Atorvastatin + Aspirin|Other: Placebo", "lead_sponsor": "Acme Ltd", "locations": "A Clinic (Phoenix, Arizona, United States); B (Seoul, Korea, Republic of) C (Paris, France)"}],
+        "who": [{"TrialID": "NCT1", "Public_title": "later"}, {"TrialID": "JPRN-UMIN1", "Public_title": "u", "Condition": "Health Condition 1: C50.9- Something no dictionary knows", "Countries": "Viet Nam;UK;nowhere"}],
         "recalls": [{"recall_number": "Z-1", "generic_name": "ASPIRIN", "brand_name": "B", "classification": "Class II", "status": "Ongoing"}],
         "faers": [*reports, dict(reports[0])],
         "vigiaccess": [{"system_organ_class": "Musculoskeletal disorders", "adverse_reaction": "Myalgia"}],
@@ -79,7 +82,7 @@ def test_products_trials_and_safety(made):
     assert rows(made, "PROTECTED_BY", "src", "dst") == [("FDA:020702-001", "PATENT:US:5273995")]
     trials = {r[0]: r[1:] for r in rows(made, "ClinicalTrial", "key", "title", "phase")}
     assert trials == {"NCT:NCT1": ("t", "PHASE1_PHASE2"), "UMIN:UMIN1": ("u", "NA")}
-    assert rows(made, "STUDIES", "src", "dst", "match_method") == [("NCT:NCT1", "MESH:D2", "name_variant")]
+    assert rows(made, "STUDIES", "src", "dst", "match_method") == [("NCT:NCT1", "MESH:D2", "name_variant"), ("UMIN:UMIN1", "ICD10:C50", "icd_code")]
     assert {r[0] for r in rows(made, "TESTED_IN", "src")} == {"UNII:A0JWA85V8F", "UNII:R16CO5Y76E"}
     assert rows(made, "HAS_ADVERSE_EVENT", "src", "dst", "report_count", "serious_count") == [("UNII:A0JWA85V8F", "AE:myalgia", "3", "3"), ("UNII:A0JWA85V8F", "AE:nausea", "3", "3")]
     assert rows(made, "RegulatoryEvent", "status") == [("Class II",)]
@@ -96,8 +99,25 @@ def test_tables_are_declared_and_sound(made):
         if label in made.writers:
             one = made.table(label).select("key")
             nodes = one if nodes is None else nodes.union(one)
-    lost = {(r.end, r.namespace) for r in quality.dangling(made.table("TARGETS").select("src", "dst").union(made.table("CONTAINS").select("src", "dst")), nodes).collect()}
-    assert not lost
+    nodes = nodes.distinct().persist()
+    own = {"SUBTYPE_OF": {("dst", "ICD10")}, "IMPLICATED_IN": {("dst", "MONDO")}}
+    for kind in schema.EDGES:
+        if kind in made.writers:
+            lost = {(r.end, r.namespace) for r in quality.dangling(made.table(kind).select("src", "dst"), nodes).collect()}
+            assert lost <= own.get(kind, set()), kind
+
+
+def test_places(made):
+    assert rows(made, "CONDUCTED_IN", "src", "dst") == [("NCT:NCT1", "COUNTRY:FR"), ("NCT:NCT1", "COUNTRY:US"), ("UMIN:UMIN1", "COUNTRY:GB"), ("UMIN:UMIN1", "COUNTRY:VN")]
+    assert ("COUNTRY:SA", "REGION:mena gcc") in rows(made, "IN_REGION", "src", "dst") and ("COUNTRY:KR", "South Korea") in rows(made, "Country", "key", "name")
+    assert ("FDA:020702-001", "AGENCY:FDA") in rows(made, "APPROVED_BY", "src", "dst") and ("FDA:020702-001", "REGION:north america") in rows(made, "APPROVED_IN", "src", "dst")
+    assert len(rows(made, "RegulatoryAgency", "key")) == 11 and len(rows(made, "Region", "key")) == 9
+
+
+def test_terms(spark):
+    one = spark.createDataFrame([("Intervention1: Nab-paclitaxel 100 mg weekly|Drug: Cisplatin/Etoposide|Matching Placebo|Control group: Nil|Other: water", "Health Condition 1: C692- Malignant neoplasm of retina;Diabetes: type 2;10047079")], "i string, c string")
+    got = one.select(terms.drug_names(F.col("i")).alias("d"), terms.condition_names(F.col("c")).alias("n"), terms.condition_codes(F.col("c")).alias("k")).first()
+    assert got.d == ["Nab-paclitaxel", "paclitaxel", "Cisplatin", "Etoposide"] and got.n == ["Malignant neoplasm of retina", "Diabetes: type 2"] and got.k == ["C692"]
 
 
 def test_same_studies(spark):
