@@ -42,6 +42,8 @@ COMMON_SLOTS = 1 << 20
 COMMON_TIMES = 4
 #: Rounds at most in which a shingle's sets meet one of them, before all pairs that are left.
 ROUNDS = 8
+#: Sets of a shingle, about, that all others of it meet in a round; rounds at least before all pairs for want of links.
+ASKED, LEAST_ROUNDS = 4, 3
 #: Words of the fingerprints of shingle sets; these prune pairs of sets of ``FEW`` shingles and more.
 WORDS, FEW = 4, 24
 PRINT = [f"f{k}" for k in range(WORDS)]
@@ -288,9 +290,11 @@ def near_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, bucket:
     pruned by it. What is left is compared by the whole sets: no estimate links.
 
     A shingle that over ``bucket`` sets have in their prefix makes no pairs at first:
-    all meet one of them. Then all sets outside its largest component meet all others
-    of the shingle, save those in their own component, which are connected already.
-    So a group of many near copies makes links in proportion to its size.
+    all meet one of them. Sets outside its largest component are left; in rounds all
+    meet about ``ASKED`` of those, by hash. When few are left, or rounds find no more,
+    all that are left meet all others of the shingle, save those in their own
+    component, which are connected already. So no link is lost; texts that are close to
+    many, but linked to few, are compared with all of those.
 
     Texts without a word are a group of their own.
     """
@@ -325,13 +329,14 @@ def near_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, bucket:
         rest, total = outside.agg(F.sum("c")).first()[0], named.count()
         if not rest:
             break
-        last = last or turn == ROUNDS - 1 or rest <= 5 * bucket * total
+        last = last or turn == ROUNDS - 1 or rest <= 2 * total
         if last:
             once = (F.col("y.comp") == F.col("x.main")) | (F.col("x.v") < F.col("y.v"))
             asked = outside
         else:
             once = F.lit(True)
-            asked = outside.groupBy("key").agg(F.min(F.struct(F.xxhash64("v", F.lit(turn)), *own)).alias("w")).select("key", *[f"w.{c}" for c in own])
+            share = outside.groupBy("key").agg(F.greatest(F.lit(1), F.floor(F.count("*") / ASKED)).alias("share"))
+            asked = outside.join(share, "key").filter(F.pmod(F.xxhash64("v", F.lit(turn)), F.col("share")) == 0).select("key", *own)
         more = alike(_meet(asked, named, once, num, den, tau))
         empty = more.isEmpty()
         if not empty:
@@ -339,7 +344,7 @@ def near_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, bucket:
             found = components(links)
         if last:
             break
-        last = empty
+        last = empty and turn + 1 >= LEAST_ROUNDS
     distinct = signed.groupBy("v").agg(F.min(id_col).alias("least"))
     rooted = distinct.join(found, "v", "left").select("v", "least", F.coalesce("root", "v").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
