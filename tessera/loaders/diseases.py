@@ -31,7 +31,7 @@ def icd10(b: Build) -> None:
     up = text.first_filled(F.col("parent_code"), F.col("block_id"))
     b.add("SUBTYPE_OF", r.filter(up != ""), "icd10", src="key", dst=F.concat(F.lit("ICD10:"), up), match_method=F.lit("structured"))
     b.keep("icd", r.select("code", "key").dropDuplicates(["code"]))
-    b.keep("disease_alias", r.select(text.fold(F.col("title")).alias("probe"), "key").filter("probe <> ''").groupBy("probe").agg(F.min("key").alias("key")).join(b.dictionaries["mesh"].select("probe"), "probe", "left_anti"))
+    b.keep("disease_alias", r.filter(text.names_condition(F.col("title"))).select(text.fold(F.col("title")).alias("probe"), "key").filter("probe <> ''").groupBy("probe").agg(F.min("key").alias("key")).join(b.dictionaries["mesh"].select("probe"), "probe", "left_anti"))
 
 
 def icd11(b: Build) -> None:

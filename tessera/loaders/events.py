@@ -161,6 +161,33 @@ def recalls(b: Build) -> None:
     b.add("SUBJECT_OF", b.resolve(drugs, "drug"), "recalls", src="substance", dst="key", match_method="match_method")
 
 
+#: Files of regulatory events: type, start of the key, its cells, and whether animals' medicines are among them.
+EVENTS = {
+    "ema_referrals": ("referral", "EVENT:REFERRAL:", ["reference_number"], True, {"subjects": "international_non_proprietary_name_inn_common_name", "name": "referral_name", "status": "current_status", "start_date": "procedure_start_date", "end_date": "european_commission_decision_date", "url": "referral_url"}),
+    "ema_shortages": ("shortage", "EVENT:SHORTAGE:EMA:", ["medicine_affected"], False, {"subjects": "international_non_proprietary_name_inn_or_common_name", "name": "medicine_affected", "status": "supply_shortage_status", "start_date": "start_of_shortage_date", "end_date": "expected_resolution_date", "url": "shortage_url"}),
+    "ema_orphan": ("orphan_designation", "EVENT:ORPHAN:", ["eu_designation_number"], False, {"subjects": "active_substance", "name": "intended_use", "status": "status", "start_date": "date_of_designation_refusal", "url": "orphan_designation_url"}),
+    "ema_dhpc": ("dhpc", "EVENT:DHPC:", ["name_of_medicine", "dhpc_type"], True, {"subjects": "active_substances", "name": "name_of_medicine", "reason": "dhpc_type", "status": "regulatory_outcome", "start_date": "dissemination_date", "url": "dhpc_url"}),
+    "ema_pip": ("paediatric_investigation_plan", "EVENT:PIP:", ["decision_number"], False, {"subjects": "active_substance", "name": "condition_indication", "status": "compliance_outcome", "start_date": "decision_date", "url": "pip_url"}),
+}
+#: Keys that are made of names, not of numbers.
+NAMED = {"ema_shortages", "ema_dhpc"}
+
+
+def regulatory(b: Build, file: str) -> None:
+    """Events of one file, without those of animals' medicines, and the substances that they concern."""
+    kind, start, ids, animals, columns = EVENTS[file]
+    r = b.rows(file, *dict.fromkeys([*ids, *columns.values(), *(["category"] if animals else [])])).filter(F.col(ids[0]) != "")
+    if animals:
+        r = r.filter(F.lower("category") != "veterinary")
+    cells = [text.fold(F.col(c)) if file in NAMED else F.col(c) for c in ids]
+    r = r.withColumn("key", F.concat(F.lit(start), F.concat_ws(":", *cells)))
+    b.add("RegulatoryEvent", r, file, key="key", type=F.lit(kind), **{k: v for k, v in columns.items() if k != "subjects"})
+    names = r.select("key", F.explode(text.parts(F.col(columns["subjects"]), ";")).alias("subject")).filter(F.length("subject") >= 3)
+    found = b.resolve(names, "subject", provisional=True)
+    b.add("Substance", found.filter("match_method = 'provisional'"), file, key="substance", name="subject", norm_name=text.fold(F.col("subject")), resolved_by=F.lit("provisional"))
+    b.add("SUBJECT_OF", found, file, src="substance", dst="key", match_method="match_method")
+
+
 def faers(b: Build) -> None:
     """Pairs of suspect drug and reaction, each report once, three reports at least; the salt's parent has the same counts."""
     r = b.rows("faers", "safetyreportid", "drug_substance", "drug_characterization", "reaction", "serious", "seriousnessdeath")

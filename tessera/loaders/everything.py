@@ -37,6 +37,7 @@ def loaders(lake: Mapping[str, DataFrame]) -> list[Callable[[Build], None]]:
     out += [f for f, files in NEEDS.items() if all(x in lake for x in files)]
     out += [f for file, f in events.PRODUCTS.items() if file in lake]
     out += [(lambda b, file=file: events.trials(b, file)) for file in events.REGISTRIES if file in lake]
+    out += [(lambda b, file=file: events.regulatory(b, file)) for file in events.EVENTS if file in lake]
     return out + [f for file, f in events.SAFETY.items() if file in lake]
 
 

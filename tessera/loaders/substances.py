@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.functions import text
+from tessera.functions import shorthand, text
 from tessera.loaders.build import Build, folded_key
+from tessera.operators import resolve
 
 
 def atc(b: Build) -> None:
@@ -105,6 +106,14 @@ def mesh_actions(b: Build) -> None:
     b.add("IN_CLASS", b.resolve(r, "substance_name"), "mesh", src="substance", dst="key", match_method="match_method")
 
 
+def stand_ins(b: Build) -> None:
+    """Spellings of two committees, abbreviations and regimens as names of what the dictionary holds."""
+    entries = b.substances()
+    # At most one row a fixed name, so the answer is read here: later dictionaries don't hang on this one.
+    found = resolve.stand_ins(shorthand.table(entries.sparkSession), entries)
+    b.aliases.append(entries.sparkSession.createDataFrame(found.collect(), found.schema))
+
+
 def variants(b: Build) -> None:
     """Significant variants in known targets, and the diseases that they name."""
     v = b.rows("clinvar", "VariationID", "Type", "Name", "GeneSymbol", "ClinicalSignificance", "PhenotypeIDS", "PhenotypeList").join(b.dictionaries["symbol"], F.col("GeneSymbol") == F.col("symbol"))

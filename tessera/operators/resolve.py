@@ -71,6 +71,18 @@ def bridge(concepts: DataFrame, entries: DataFrame, veto: DataFrame | None = Non
     return out.groupBy("probe").agg(F.min_by("id", F.struct("concept", "pos")).alias("id")).withColumnRenamed("probe", "name")
 
 
+def stand_ins(names: DataFrame, entries: DataFrame) -> DataFrame:
+    """Aliases (name, id, method) of names (method, name, pos, target) that the dictionary lacks.
+
+    A name stands for the first of its targets that is known; a name that is known
+    itself makes none, and neither does one without a known target.
+    """
+    known = resolve(names, entries, "target", "id", "how").filter("how <> 'provisional' and id <> ''")
+    lacks = resolve(names.select("name").distinct(), entries, "name", "own", "how").filter("how = 'provisional'").select("name")
+    first = known.groupBy("method", "name").agg(F.min_by("id", F.struct("pos", "id")).alias("id"))
+    return first.join(lacks, "name", "left_semi").select("name", "id", "method")
+
+
 def poisoned(squashed: DataFrame) -> DataFrame:
     """(k, id) with the ids of keys (k, id, ord) that mean two things left empty."""
     return squashed.groupBy("k").agg(F.when(F.min("id") != F.max("id"), F.lit("")).otherwise(F.min("id")).alias("id"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tessera.functions import shorthand
 from tessera.functions.text import fold
 from tessera.operators import emit, graph, hierarchy, quality, resolve
 from tessera.plans.registry import Plans
@@ -71,6 +72,31 @@ def poisoned_keys(read):
     return resolve.poisoned(rows)
 
 
+_HELD = [z for _, z in shorthand.INN_USAN[:12]] + [a for a, _ in shorthand.INN_USAN[12:20]] + ["fluorouracil", "oxaliplatin", "irinotecan", "rituximab"]
+
+
+@query(f"""WITH k AS (SELECT {_HELD}[p_partkey % {len(_HELD)} + 1] AS name, CAST(min(p_partkey) AS VARCHAR) AS id FROM part GROUP BY 1),
+s AS (SELECT * FROM (VALUES {", ".join(map(str, shorthand.rows()))}) v(method, name, pos, target))
+SELECT s.name, arg_min(k.id, pos) AS id, method FROM s JOIN k ON target = k.name WHERE s.name NOT IN (SELECT name FROM k) GROUP BY s.name, method""")
+def shorthand_names(read):
+    """committees' spellings, abbreviations and regimens as names of what a dictionary holds."""
+    held = F.element_at(F.array(*[F.lit(x) for x in _HELD]), (F.col("p_partkey") % len(_HELD) + 1).cast("int"))
+    names = read("part").select(held.alias("name"), F.col("p_partkey").cast("string").alias("id"), F.col("p_partkey").alias("ord"))
+    return resolve.stand_ins(shorthand.table(names.sparkSession), resolve.dictionary(names))
+
+
+@query("""WITH c AS (SELECT 'P:' || p_partkey AS concept, p_name || ' ' || p_size AS known, p_brand || ' ' || p_partkey AS other FROM part), d AS (SELECT known, min(concept) AS id FROM c GROUP BY 1)
+SELECT lower(regexp_replace(other, '[^A-Za-z0-9]+', ' ', 'g')) AS name, id FROM c JOIN d USING (known)""")
+def bridged_names(read):
+    """The other names of a concept mean what its known name means."""
+    concept = F.concat(F.lit("P:"), F.col("p_partkey").cast("string"))
+    known, other = F.concat_ws(" ", "p_name", F.col("p_size").cast("string")), F.concat_ws(" ", "p_brand", F.col("p_partkey").cast("string"))
+    part = read("part").select(concept.alias("concept"), known.alias("known"), other.alias("other"))
+    entries = part.groupBy(fold(F.col("known")).alias("probe")).agg(F.min("concept").alias("id"))
+    names = part.select("concept", F.posexplode(F.array("other", "known")).alias("pos", "name"))
+    return resolve.bridge(names, entries)
+
+
 @query("""WITH parent AS (SELECT p_partkey AS child, min(p_partkey) OVER (PARTITION BY p_name) AS parent FROM part)
 SELECT DISTINCT l_suppkey, unnest(CASE WHEN child <> parent THEN [child, parent] ELSE [child] END) AS p_partkey FROM (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem) JOIN parent ON l_partkey = child""")
 def roll_up_one_hop(read):

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tessera.functions import enums, text
+from tessera.functions import enums, terms, text
 from tessera.operators import transforms
 from tessera.plans.registry import Plans
+from tessera.sources.documents import is_of_kind
 
 P = Plans()
 query = P.query
@@ -107,6 +108,22 @@ _case_query("trial_keys", "orders", "o_orderkey", [("nct 01045135", "NCT:NCT0104
 _case_query("any_dates", "orders", "o_orderkey", [("2020-01-31", "2020-01-31"), ("31/01/2020", "2020-01-31"), ("20200131", "2020-01-31"), ("January 31, 2020", "2020-01-31"), ("31 January 2020", "2020-01-31")], lambda c: text.any_date(c).cast("string"), "F39: dates in the forms that sources write.")
 
 
+_packed = lambda f: lambda c: F.array_join(f(c), "|")
+_case_query("registry_drugs", "orders", "o_orderkey", [("Intervention1: Nab-paclitaxel 100 mg weekly|Drug: Cisplatin/Etoposide|Matching Placebo|Control group: Nil|Other: water", "Nab-paclitaxel|paclitaxel|Cisplatin|Etoposide"), ("Drug: Metformin 500 mg", "Metformin"), ("Standard of care", ""), ("Aspirin + Clopidogrel; sham surgery", "Aspirin|Clopidogrel"), ("Device: Stent<br/>usual care", "Stent"), ("", "")], _packed(terms.drug_names), "F10, P14: drugs of intervention cells.")
+_case_query("registry_conditions", "orders", "o_orderkey", [("Health Condition 1: C692- Malignant neoplasm of retina;Diabetes: type 2;10047079", "Malignant neoplasm of retina|Diabetes: type 2"), ("Asthma<br/>COPD", "Asthma|COPD"), ("x", ""), ("", "")], _packed(terms.condition_names), "F10: conditions of registry cells.")
+_case_query("registry_codes", "orders", "o_orderkey", [("Health Condition 1: C692- Malignant neoplasm of retina;Diabetes", "C692"), ("I10 - Hypertension | E11.9: Diabetes | I10 - again", "I10|E11.9"), ('{"ICD-10 Condition: k50.1"}', "K50.1"), ("Asthma", "")], _packed(terms.condition_codes), "F10, R17: codes in registry cells.")
+_case_query("condition_titles", "part", "p_partkey", [("Other specified  disorders of ear", "false"), ("Asthma", "true"), ("Gout", "false"), ("Pain, Unspecified", "false"), ("Family history of asthma", "false"), ("Malignant neoplasm of breast", "true")], lambda c: text.names_condition(c).cast("string"), "P09: titles that name a condition.")
+
+
+@query("SELECT page_id, CASE page_id % 4 WHEN 0 THEN true WHEN 1 THEN false WHEN 2 THEN html LIKE 'PK%' ELSE true END AS sound FROM pages")
+def file_magic(read):
+    """Files that begin as their kind does."""
+    pick = lambda *xs: F.element_at(F.array(*xs), (F.col("page_id") % 4 + 1).cast("int"))
+    body = F.encode("html", "UTF-8")
+    content = pick(F.concat(F.unhex(F.lit("25504446")), body), body, body, body)
+    return read("pages").select("page_id", is_of_kind(content, pick(F.lit("PDF"), F.lit("doc"), F.lit("docx"), F.lit("html"))).alias("sound"))
+
+
 @query("SELECT page_id, 'URL:' || upper(regexp_extract(url, '^https?://([^/?#]+)', 1)) AS key, regexp_extract(url, '((?:19|20)[0-9][0-9])', 1) AS year FROM pages")
 def url_keys(read):
     """namespaced keys and years from addresses."""

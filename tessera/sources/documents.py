@@ -9,13 +9,24 @@ from html.parser import HTMLParser
 from xml.etree import ElementTree
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Kinds of documents that are read.
 SUFFIXES = ("pdf", "docx", "pptx", "txt", "html", "htm", "xml")
 
 
+#: The first bytes of kinds of files, in hexadecimal.
+MAGIC = {"pdf": "25504446", "doc": "D0CF11E0", "ppt": "D0CF11E0", "docx": "504B0304", "pptx": "504B0304", "dotx": "504B0304"}
+
+
+def is_of_kind(content: Column, kind: Column) -> Column:
+    """Whether a file begins as its kind does (a lost file is often answered by a page); kinds without such bytes pass."""
+    known = F.create_map(*[F.lit(x) for pair in MAGIC.items() for x in pair])
+    wanted = F.try_element_at(known, F.lower(kind))
+    return wanted.isNull() | F.coalesce(F.hex(F.substring(content, 1, 4)) == wanted, F.lit(False))
+
+
 def list_documents(spark: SparkSession, path: str, categories: list[str] | None = None) -> DataFrame:
     """(path, source, doc_id, doc_type, length, modified): documents below category folders, without runs' own folders."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length", F.col("modificationTime").alias("modified"))

@@ -126,3 +126,24 @@ def test_same_studies(spark):
     b = Build({"isrctn": frame(spark, [{"ISRCTN": "ISRCTN1", "EudraCT/CTIS number": "2004-000010-11", "ClinicalTrials.gov number": "N/A x"}])})
     events.same_studies(b, "isrctn", ["EudraCT/CTIS number", "ClinicalTrials.gov number"])
     assert rows(b, "SAME_STUDY_AS", "src", "dst") == [("ISRCTN:ISRCTN1", "EUCTR:2004-000010-11")]
+
+
+def test_regulatory_events_and_stand_ins(spark):
+    from tessera.loaders import substances
+    from tessera.loaders.build import Build
+
+    lake = {
+        "gsrs": [{"unii": "U1", "preferred_name": "Acetaminophen"}, {"unii": "U2", "preferred_name": "Fluorouracil"}, {"unii": "U3", "preferred_name": "Albuterol"}, {"unii": "U4", "preferred_name": "Salbutamol"}],
+        "ema_referrals": [{"reference_number": "R1", "category": "Human", "international_non_proprietary_name_inn_common_name": "Paracetamol; 5-FU;ab", "referral_name": "n"}, {"reference_number": "R2", "category": " Veterinary ", "referral_name": "v"}, {"reference_number": ""}],
+        "ema_dhpc": [{"name_of_medicine": "Med One", "category": "", "dhpc_type": "Safety Signal", "active_substances": "unheard of"}],
+        "ema_pip": [{"decision_number": "P/1", "active_substance": "folfox"}],
+    }
+    b = Build({k: frame(spark, v) for k, v in lake.items()})
+    substances.gsrs(b)
+    substances.stand_ins(b)
+    for file in ("ema_referrals", "ema_dhpc", "ema_pip"):
+        events.regulatory(b, file)
+    assert rows(b, "RegulatoryEvent", "key", "type") == [("EVENT:DHPC:med one:safety signal", "dhpc"), ("EVENT:PIP:P/1", "paediatric_investigation_plan"), ("EVENT:REFERRAL:R1", "referral")]
+    assert rows(b, "SUBJECT_OF", "src", "dst", "match_method") == [("NAME:unheard of", "EVENT:DHPC:med one:safety signal", "provisional"), ("UNII:U1", "EVENT:REFERRAL:R1", "inn_usan"), ("UNII:U2", "EVENT:PIP:P/1", "regimen"), ("UNII:U2", "EVENT:REFERRAL:R1", "abbrev")]
+    # Both spellings of a pair are held: neither stands for the other.
+    assert not b.aliases[-1].filter("name in ('albuterol', 'salbutamol')").count()
