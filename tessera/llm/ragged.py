@@ -200,6 +200,12 @@ def spread(lengths: np.ndarray) -> np.ndarray:
     return out
 
 
+def per_run(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of values over the runs that start at first[:-1] and end at first[1:]."""
+    total = spread(values)
+    return total[first[1:]] - total[first[:-1]]
+
+
 def take_ragged(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The runs data[start:start+length] one after the other, and their offsets."""
     off = spread(length)
