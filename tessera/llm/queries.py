@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import bpe_codec, extraction, fingerprints, licenses, packing, quality, repeats, simhash, token_counts, warc
+from tessera.llm import bpe_codec, exact, extraction, fingerprints, importance, licenses, packing, quality, repeats, simhash, token_counts, trie, warc
 from tessera.llm.common import table
 
 
@@ -51,6 +51,18 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.groups_within_two(table(spark, sf_dir, "documents"), 3)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.rebuilt_nodes(table(spark, sf_dir, "conversations"))
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_quality": op2_quality,
@@ -62,6 +74,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_extraction": op8_extraction,
     "op9_token_counts": op9_token_counts,
     "op10_repeats": op10_repeats,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_importance": op12_importance,
+    "op13_exact_dedup": op13_exact_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -73,4 +88,5 @@ f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM d)
 SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest, CASE WHEN payload_bytes >= 100 AND first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
 CASE WHEN payload_bytes >= 100 AND first <> page_id THEN first END AS refers_to FROM f""",
     "op6_licenses": licenses.oracle(),
+    "op13_exact_dedup": exact.oracle(),
 }
