@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.scratch import numbered, written
+
 
 def tree_parents(owners: DataFrame, number: str = "number", key: str = "key", separator: str = ".") -> DataFrame:
     """(child, parent) of owners of tree numbers: the parent owns the number less its last part."""
@@ -36,36 +39,142 @@ def closure(links: DataFrame, child: str = "child", parent: str = "parent", dept
     return every.groupBy("child", "ancestor").agg(F.min("depth").alias("depth"))
 
 
-def without_cycles(candidates: list[tuple[str, str]]) -> list[tuple[str, str]]:
-    """The candidates in order, less loops and those whose child is already above their parent.
+def tangles(links: DataFrame) -> DataFrame:
+    """(v, part): the vertices on cycles of links (child, parent), with the greatest vertex of their strongly connected part.
 
-    Order decides, so it is one walk on the driver; meant for vocabularies' hierarchies
-    (tens of thousands of links), which callers bound.
+    What has nothing above or nothing below lies on no cycle and is trimmed first. Then
+    every vertex takes the greatest vertex that reaches it as its colour, and what reaches
+    a colour's own vertex inside the colour is a part; both go in rounds of joins that only
+    carry what changed. Found parts are taken out, and the rest starts anew. Rounds are as
+    many as the longest way through what trimming left; a hierarchy has few levels.
+    """
+    rest = written(links.select("child", "parent").filter("child <> parent").distinct(), "links")
+    found: DataFrame | None = None
+    while True:
+        n = rest.count()
+        while n:
+            above, below = rest.select(F.col("parent").alias("child")).distinct(), rest.select(F.col("child").alias("parent")).distinct()
+            rest = written(rest.join(above, "child", "left_semi").join(below, "parent", "left_semi"), "trimmed")
+            n, before = rest.count(), n
+            if n == before:
+                break
+        if not n:
+            return found if found is not None else rest.select(F.col("child").alias("v"), F.col("parent").alias("part"))
+        colour = rest.select(F.explode(F.array("child", "parent")).alias("v")).distinct().withColumn("c", F.col("v"))
+        changed = colour = written(colour, "colour")
+        while not changed.isEmpty():
+            met = rest.join(changed.withColumnRenamed("v", "child"), "child").groupBy(F.col("parent").alias("v")).agg(F.max("c").alias("new"))
+            colour = written(colour.join(met, "v", "left").select("v", F.greatest("c", "new").alias("c"), (F.col("new") > F.col("c")).alias("up")), "colour")
+            changed = colour.filter("up").select("v", "c")
+            colour = colour.select("v", "c")
+        inside = rest.join(colour.toDF("child", "c"), "child").join(colour.toDF("parent", "d"), "parent").filter("c = d").select("child", "parent", "c")
+        inside = written(inside, "inside")
+        fresh = part = colour.filter("v = c").select("v", F.col("c").alias("part"))
+        while not fresh.isEmpty():
+            fresh = inside.join(fresh.select(F.col("v").alias("parent")), "parent", "left_semi").select(F.col("child").alias("v"), F.col("c").alias("part")).distinct()
+            fresh = written(fresh.join(part, ["v", "part"], "left_anti"), "fresh")
+            part = written(part.union(fresh), "part")
+        out = part.select("v").distinct()
+        many = part.join(part.groupBy("part").count().filter("count > 1"), "part").select("v", "part")
+        found = many if found is None else found.union(many)
+        rest = written(rest.join(out.toDF("child"), "child", "left_anti").join(out.toDF("parent"), "parent", "left_anti"), "rest")
+
+
+def in_order(candidates: list[tuple[str, str]]) -> list[bool]:
+    """Which candidates (child, parent) stay, taken in order, if one that would close a cycle goes.
+
+    A topological order is kept up to date (Pearce and Kelly): a link that agrees with it costs
+    nothing, another one looks only at vertices between its ends.
     """
-    above: dict[str, list[str]] = {}
-    kept = []
+    place: dict[str, int] = {}
+    up: dict[str, set[str]] = {}
+    down: dict[str, set[str]] = {}
+    stay = []
     for child, parent in candidates:
-        seen, todo = set(), [parent]
-        while todo and child not in seen:
-            at = todo.pop()
-            if at not in seen:
-                seen.add(at)
-                todo += above.get(at, [])
-        if child not in seen:
-            above.setdefault(child, []).append(parent)
-            kept.append((child, parent))
-    return kept
+        for v in (child, parent):
+            place.setdefault(v, len(place))
+        lo, hi = place[parent], place[child]
+        ok = child != parent
+        # Children stand before their parents; otherwise those in between move.
+        if ok and lo < hi:
+            ahead, todo = {parent}, [parent]
+            while todo and ok:
+                for x in up.get(todo.pop(), ()):
+                    if x == child:
+                        ok = False
+                        break
+                    if place[x] < hi and x not in ahead:
+                        ahead.add(x)
+                        todo.append(x)
+            if ok:
+                behind, todo = {child}, [child]
+                while todo:
+                    for x in down.get(todo.pop(), ()):
+                        if place[x] > lo and x not in behind:
+                            behind.add(x)
+                            todo.append(x)
+                moved = sorted(behind, key=place.__getitem__) + sorted(ahead, key=place.__getitem__)
+                for v, p in zip(moved, sorted(place[v] for v in moved)):
+                    place[v] = p
+        if ok:
+            up.setdefault(child, set()).add(parent)
+            down.setdefault(parent, set()).add(child)
+        stay.append(ok)
+    return stay
 
 
-MOST_LINKS = 1_000_000
+def accept(candidates: DataFrame) -> DataFrame:
+    """(child, parent) accepted of candidates (child, parent, ord): in order, what would close a cycle goes.
 
+    Ties of ord go by child and parent; a repeated link counts once, at its first place; loops
+    and links with a null end go. A link between different strongly connected parts of
+    all candidates lies on no cycle, whatever stays, and stays itself. Only the links inside a
+    part are walked in order, each part in a task of its own: a choice in order can't be split
+    further, so a part's links must fit in a task.
+    """
+    first = candidates.filter("child <> parent").groupBy("child", "parent").agg(F.min("ord").alias("ord"))
+    first = written(first, "candidates")
+    part = tangles(first)
+    both = first.join(part.select(F.col("v").alias("child"), "part"), "child", "left").join(part.select(F.col("v").alias("parent"), F.col("part").alias("upper")), "parent", "left")
+    both = written(both.select("child", "parent", "ord", F.when(F.col("part") == F.col("upper"), F.col("part")).alias("part")), "parts")
 
-def accept(candidates: DataFrame) -> DataFrame:
-    """(child, parent) accepted of candidates (child, parent, ord), at most ``MOST_LINKS``."""
-    ordered = candidates.orderBy("ord", "child", "parent").limit(MOST_LINKS + 1).collect()
-    if len(ordered) > MOST_LINKS:
-        raise ValueError("too many candidate links for one ordered walk")
-    return candidates.sparkSession.createDataFrame(without_cycles([(r["child"], r["parent"]) for r in ordered]), "child string, parent string")
+    def walk(links: pd.DataFrame) -> pd.DataFrame:
+        links = links.sort_values(["ord", "child", "parent"], kind="stable")
+        return links.loc[in_order(list(zip(links["child"], links["parent"]))), ["child", "parent"]]
+
+    kind = first.schema["child"].dataType.simpleString()
+    walked = both.filter("part is not null").groupBy("part").applyInPandas(walk, f"child {kind}, parent {kind}")
+    return both.filter("part is null").select("child", "parent").unionByName(walked)
+
+
+def distinct_up(facts: DataFrame, links: DataFrame, hops: int | None = None, fact: str = "fact", key: str = "key") -> DataFrame:
+    """(key, direct, below): distinct facts at each key, and at it or what lies under it up to so many hops.
+
+    facts: (fact, key); links: (child, parent), free of cycles. A fact under two children counts
+    once. Facts are numbered, those of a key next to each other, and a set of them is rows of
+    (key, slot, bitmap); a level is merged into the next by a bitwise or of the children's
+    bitmaps, with partial aggregation, so a root of all facts is many slots and no closure is made.
+    """
+    pairs = facts.select(F.col(fact).alias("fact"), F.col(key).alias("key")).filter("fact is not null and key is not null").distinct()
+    pairs = written(pairs, "facts")
+    near = numbered(pairs.groupBy("fact").agg(F.min("key").alias("key")), "key", "fact").select("fact", "n")
+    bits = pairs.join(near, "fact").groupBy("key", F.bitmap_bucket_number(F.col("n") + 1).alias("slot")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("n") + 1)).alias("bits"))
+    own = written(bits, "bits")
+    up = written(links.select("child", "parent").distinct(), "up")
+    every, size, level = own, None, 0
+    while hops is None or level < hops:
+        # What the last level knew of each child goes to its parents; own facts stay.
+        merged = every.join(up.withColumnRenamed("child", "key"), "key").select(F.col("parent").alias("key"), "slot", "bits").unionByName(own)
+        every = written(merged.groupBy("key", "slot").agg(F.bitmap_or_agg("bits").alias("bits")), "bits")
+        level += 1
+        if hops is None:
+            before, size = size, every.agg(F.sum(F.bitmap_count("bits"))).first()[0]
+            if size == before:
+                break
+            if level > MOST_LEVELS:
+                raise ValueError("more levels than a hierarchy can have: the links hold a cycle")
+    count = lambda rows, to: rows.groupBy("key").agg(F.sum(F.bitmap_count("bits")).alias(to))
+    return count(every, "below").join(count(own, "direct"), "key", "left").select("key", F.coalesce("direct", F.lit(0)).alias("direct"), "below")
 
 
 def roll_up(facts: DataFrame, key: str, ancestors: DataFrame, measures: list) -> DataFrame:

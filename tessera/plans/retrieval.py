@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tessera.functions import vectors
 from tessera.functions.conditions import link
 from tessera.functions.text import fold
-from tessera.operators import chunk, search
+from tessera.operators import chunk, fulltext, search
 from tessera.plans.registry import Plans
 from tessera.streaming import events
 
@@ -75,8 +75,10 @@ _INDEX = f"words AS (SELECT doc_id, {_WORDS} AS w FROM documents), idx AS (SELEC
 
 
 def _index(read):
+    """The written index of the documents; the queries on it read no text."""
+    docs = read("documents")
     plain = F.regexp_replace(F.replace("text", F.lit("ß"), F.lit("")), r"[\[\]()]", " ")
-    return search.words_of(read("documents").select("doc_id", plain.alias("text")), "doc_id", "text")
+    return fulltext.index_of(docs.select("doc_id", plain.alias("text")), docs.inputFiles()[0], "doc_id", "text")
 
 
 @query(f"""WITH {_INDEX}, c AS (SELECT count(*) FILTER (len(w) > 0) AS n_docs, avg(len(w)) FILTER (len(w) > 0) AS mean FROM words),
@@ -84,25 +86,34 @@ tf AS (SELECT doc_id, token, count(*) AS tf, any_value(n) AS n FROM idx WHERE to
 SELECT doc_id AS id, round(sum(ln(1 + (n_docs - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (1 - 0.75 + 0.75 * n / mean))), 6) AS score FROM tf JOIN df USING (token), c GROUP BY 1""")
 def full_text_scores(read):
     """Documents with any of the words, by BM25."""
-    return search.bm25(_index(read), ["edthe", "with", "licensed"]).select("id", _round("score").alias("score"))
+    return _index(read).scores(["edthe", "with", "licensed"]).select("id", _round("score").alias("score"))
+
+
+@query(f"""WITH {_INDEX}, c AS (SELECT count(*) FILTER (len(w) > 0) AS n_docs, avg(len(w)) FILTER (len(w) > 0) AS mean FROM words),
+tf AS (SELECT doc_id, token, count(*) AS tf, any_value(n) AS n FROM idx WHERE token IN ('the', 'licensed', 'copyright') GROUP BY 1, 2), df AS (SELECT token, count(*) AS df FROM tf GROUP BY 1),
+s AS (SELECT doc_id, sum(ln(1 + (n_docs - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (1 - 0.75 + 0.75 * n / mean))) AS score FROM tf JOIN df USING (token), c GROUP BY 1)
+SELECT doc_id AS id, round(score, 6) AS score FROM s ORDER BY s.score DESC, doc_id LIMIT 15""")
+def full_text_best(read):
+    """The best documents by BM25, from the blocks whose bounds reach them."""
+    return _index(read).best(["the", "licensed", "copyright"], 15).select("id", _round("score").alias("score"))
 
 
 @query(f"WITH {_INDEX} SELECT a.doc_id AS id, count(*) AS n FROM idx a JOIN idx b ON a.doc_id = b.doc_id AND b.pos = a.pos + 1 WHERE a.token = 'of' AND b.token = 'the' GROUP BY 1")
 def phrase_matches(read):
     """Places where the words follow each other."""
-    return search.phrase(_index(read), ["of", "the"])
+    return _index(read).phrase(["of", "the"])
 
 
 @query(f"WITH {_INDEX} SELECT (SELECT count(DISTINCT a.doc_id) FROM idx a JOIN idx b ON a.doc_id = b.doc_id AND b.pos = a.pos + 1 WHERE a.token = 'of' AND b.token = 'the') AS n_phrase, (SELECT count(DISTINCT doc_id) FROM idx WHERE token IN ('of', 'the')) AS n_any")
 def phrase_against_words(read):
     """Documents with the phrase, and with any of its words."""
-    return search.phrase_check(_index(read), ["of", "the"])
+    return _index(read).phrase_against_words(["of", "the"])
 
 
 @query(f"WITH {_INDEX} SELECT token, CAST(levenshtein(token, 'with') AS INTEGER) AS distance FROM (SELECT DISTINCT token FROM idx) WHERE levenshtein(token, 'with') <= 2")
 def fuzzy_words(read):
     """Words of the index within an edit distance."""
-    return search.fuzzy_tokens(_index(read), "with")
+    return _index(read).similar("with")
 
 
 @query(f"""WITH {_INDEX}, bm AS (SELECT item_id, {_WORDS} AS w FROM benchmark), g AS (SELECT DISTINCT item_id, array_to_string(w[i:i+7], ' ') AS gram FROM bm, unnest(range(1, greatest(len(w) - 6, 1))) AS r(i) WHERE len(w) >= 8),
