@@ -37,13 +37,12 @@ from tessera.llm.ragged import U64, mix, slices, spread, take_ragged
 BUCKET = 48
 #: Distinct values at most of a broadcast of hot buckets' slots.
 SLOTS = 1 << 18
-#: Slots of common shingles, and how often one stands among two million to be common.
+#: Slots of common shingles, how often one stands among two million to be common, and how many slots are ordered at most.
 COMMON_SLOTS = 1 << 20
 COMMON_TIMES = 4
-#: Rounds at most in which a shingle's sets meet one of them, before all pairs that are left.
-ROUNDS = 8
-#: Sets of a shingle, about, that all others of it meet in a round; rounds at least before all pairs for want of links.
-ASKED, LEAST_ROUNDS = 4, 3
+COMMON_MOST = 1 << 17
+#: Leaders that a hot shingle's sets are compared with, one within another, before what is left meets in pairs.
+LEVELS = 6
 #: Words of the fingerprints of shingle sets; these prune pairs of sets of ``FEW`` shingles and more.
 WORDS, FEW = 4, 24
 PRINT = [f"f{k}" for k in range(WORDS)]
@@ -228,26 +227,46 @@ def signatures(docs: DataFrame, size: int = 5, id_col: str = "doc_id", text_col:
     return src.mapInArrow(run, f"`{id_col}` {kind.simpleString()}, k bigint, v bigint, n int, {', '.join(f'{f} bigint' for f in PRINT)}")
 
 
+def _common(every: DataFrame) -> np.ndarray:
+    """A level for each slot of shingles: 0, or how many binary digits the count of tasks has that found it common.
+
+    Only the ``COMMON_MOST`` slots that most tasks found are marked, so that marks order
+    shingles however many tasks there are. Any order would be right; this one makes common shingles last.
+    """
+    marks = every.filter("n < 0").groupBy("v").agg(F.count("*").alias("c")).orderBy(F.desc("c"), "v").limit(COMMON_MOST)
+    out = np.zeros(COMMON_SLOTS, np.uint8)
+    for v, c in marks.collect():
+        out[v] = int(c).bit_length()
+    return out
+
+
 def _prefixes(docs: DataFrame, common: np.ndarray, num: int, den: int, size: int, text_col: str) -> DataFrame:
-    """(key, v, n, pos): the first shingles of each set, of which two similar sets share one.
+    """(key, v, n, pos, rare, late): the first shingles of each set, of which two similar sets share one.
 
     Common shingles stand last, the others by hash. Sets of similarity t = num / den
     share at least t * n shingles, so not all of them stand after the first
-    n - ceil(t * n) + 1 of either.
+    n - ceil(t * n) + 1 of either. rare: the set's share of shingles that aren't common;
+    late: whether the key is. A set comes once from each task.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        late = np.unpackbits(common).astype(bool)
+        seen: set[int] = set()
         for _, h, at, v in _sets(batches, text_col, size):
             n = np.diff(at)
             text = np.repeat(np.arange(len(n)), n)
-            order = np.argsort(2 * text + late[h & (COMMON_SLOTS - 1)], kind="stable")
+            level = common[h & (COMMON_SLOTS - 1)]
+            rare = np.bincount(text, weights=level == 0, minlength=len(n)) / np.maximum(n, 1)
+            order = np.argsort(256 * text + level, kind="stable")
             pos = np.arange(len(h)) - at[:-1][text]
-            first = pos < (n + (num * n // -den) + 1)[text]
+            fresh = np.array([not (x in seen or seen.add(x)) for x in v.tolist()], bool)
+            first = (pos < (n + (num * n // -den) + 1)[text]) & fresh[text]
             text = text[first]
-            yield pa.RecordBatch.from_arrays([pa.array(h[order][first]), pa.array(v[text]), pa.array(n[text].astype(np.int32)), pa.array(pos[first].astype(np.int32))], names=["key", "v", "n", "pos"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(h[order][first]), pa.array(v[text]), pa.array(n[text].astype(np.int32)), pa.array(pos[first].astype(np.int32)), pa.array(rare[text].astype(np.float32)), pa.array(level[order][first] > 0)],
+                names=["key", "v", "n", "pos", "rare", "late"],
+            )
 
-    return only(docs, text_col).mapInArrow(run, "key bigint, v bigint, n int, pos int")
+    return only(docs, text_col).mapInArrow(run, "key bigint, v bigint, n int, pos int, rare float, late boolean")
 
 
 def allowance(similarity: float) -> int:
@@ -286,65 +305,33 @@ def near_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, bucket:
     ``_prefixes``), which no pair of the similarity misses. Sizes, positions and the
     pigeonring filter over 256-bit fingerprints prune the pairs that meet. The
     fingerprints' allowance lies ``DEVIATIONS`` standard deviations beyond what the
-    similarity leads to expect; pairs with a set of under ``FEW`` shingles aren't
-    pruned by it. What is left is compared by the whole sets: no estimate links.
-
-    A shingle that over ``bucket`` sets have in their prefix makes no pairs at first:
-    all meet one of them. Sets outside its largest component are left; in rounds all
-    meet about ``ASKED`` of those, by hash. When few are left, or rounds find no more,
-    all that are left meet all others of the shingle, save those in their own
-    component, which are connected already. So no link is lost; texts that are close to
-    many, but linked to few, are compared with all of those.
+    similarity leads to expect: a bound by chance, about one link in a billion; pairs with a
+    set of under ``FEW`` shingles aren't pruned by it. What is left is compared by the
+    whole sets: no estimate links.
 
+    Sets that meet on a shingle of over ``bucket`` sets make no pairs but with leaders (``_peeled``).
     Texts without a word are a group of their own.
     """
     ratio = Fraction(str(similarity))
     num, den, tau = ratio.numerator, ratio.denominator, allowance(similarity)
     every = through_table(signatures(docs, size, id_col, text_col), "signatures")
-    late = np.zeros(COMMON_SLOTS, bool)
-    late[[r[0] for r in every.filter("n < 0").select("v").distinct().collect()]] = True
     signed = every.filter("n >= 0")
-    met = _prefixes(docs, np.packbits(late), num, den, size, text_col)
-    by_key = Window.partitionBy("key")
-    met = met.withColumn("lo", F.min("v").over(by_key)).withColumn("hi", F.max("v").over(by_key)).filter("lo <> hi")
-    rows = through_table(met.select("key", "v", "n", "pos"), "met").distinct()
-    counts = rows.groupBy("key").agg(F.count("*").alias("c"))
+    met = _prefixes(docs, _common(every), num, den, size, text_col)
+    # Keys of one set go at once. A key that a task found common is spread, and goes when keys are counted.
+    by_key = Window.partitionBy("key", F.when(F.col("late"), F.col("v")))
+    met = met.withColumn("lo", F.min("v").over(by_key)).withColumn("hi", F.max("v").over(by_key)).filter("late or lo <> hi")
+    met = through_table(met.select("key", "v", "n", "pos", "rare"), "met").distinct()
+    counts = met.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1")
     prints = signed.select("v", *PRINT).distinct()
-    rows = through_table(rows.join(counts, "key").join(prints, "v").withColumn("comp", F.col("v")), "rows")
-    own = ["v", "n", "pos", *PRINT, "comp"]
-    cold, hot = rows.filter(F.col("c") <= bucket), through_table(rows.filter(F.col("c") > bucket), "hot")
-    leaders = hot.groupBy("key").agg(F.min(F.struct(*own)).alias("w")).select("key", "w.*")
-
-    def alike(pairs: DataFrame) -> DataFrame:
-        return _alike(pairs, docs, signed, num, den, size, text_col)
-
-    links = alike(_meet(cold, cold, F.col("x.v") < F.col("y.v"), num, den, tau).union(_meet(leaders, hot, F.lit(True), num, den, tau)))
-    found = components(links)
-    last = False
-    for turn in range(ROUNDS):
-        named = hot.drop("comp").join(found, "v", "left").select("key", "v", "n", "pos", *PRINT, "c", F.coalesce("root", "v").alias("comp"))
-        named = through_table(named, "named")
-        main = named.groupBy("key", "comp").agg(F.count("*").alias("size")).groupBy("key").agg(F.max(F.struct("size", "comp")).alias("most")).select("key", F.col("most.comp").alias("main"))
-        outside = through_table(named.join(main, "key").filter("comp <> main"), "outside")
-        rest, total = outside.agg(F.sum("c")).first()[0], named.count()
-        if not rest:
-            break
-        last = last or turn == ROUNDS - 1 or rest <= 2 * total
-        if last:
-            once = (F.col("y.comp") == F.col("x.main")) | (F.col("x.v") < F.col("y.v"))
-            asked = outside
-        else:
-            once = F.lit(True)
-            share = outside.groupBy("key").agg(F.greatest(F.lit(1), F.floor(F.count("*") / ASKED)).alias("share"))
-            asked = outside.join(share, "key").filter(F.pmod(F.xxhash64("v", F.lit(turn)), F.col("share")) == 0).select("key", *own)
-        more = alike(_meet(asked, named, once, num, den, tau))
-        empty = more.isEmpty()
-        if not empty:
-            links = links.union(more)
-            found = components(links)
-        if last:
-            break
-        last = empty and turn + 1 >= LEAST_ROUNDS
+    rows = through_table(met.join(counts, "key").join(prints, "v"), "rows")
+    hot = rows.filter(F.col("c") > bucket)
+    leaders = hot.groupBy("key").agg(F.min_by("v", F.struct("rare", "v")).alias("lead"))
+    members = through_table(hot.join(leaders, "key").select(F.array("lead").alias("g"), "v", "n", "rare", *PRINT).distinct(), "members")
+    places = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos")) * F.lit(num + den) >= (F.col("x.n") + F.col("y.n")) * F.lit(num)
+    pairs = through_table(_meet(rows.filter(F.col("c") <= bucket), ["key"], places & (F.col("x.v") < F.col("y.v")), num, den, tau).distinct(), "pairs")
+    asked = pairs.select(F.col("a").alias("v")).distinct().union(pairs.select("b").distinct()).union(members.select("v").distinct()).distinct()
+    held = through_table(_held(docs, signed, asked, size, text_col), "sets")
+    found = components(_peeled(members, held, bucket, num, den, tau, _alike(pairs, held, num, den)))
     distinct = signed.groupBy("v").agg(F.min(id_col).alias("least"))
     rooted = distinct.join(found, "v", "left").select("v", "least", F.coalesce("root", "v").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
@@ -352,37 +339,89 @@ def near_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, bucket:
     return signed.select(id_col, "v").join(named, "v").select(id_col, "component_id")
 
 
-def _meet(left: DataFrame, right: DataFrame, once: Column, num: int, den: int, tau: int) -> DataFrame:
-    """(a, b), a > b: pairs of a key in different components whose sizes, positions and fingerprints allow the similarity.
+def _peeled(members: DataFrame, held: DataFrame, bucket: int, num: int, den: int, tau: int, links: DataFrame) -> DataFrame:
+    """The links (a, b), and those that connect what members (g, v, n, rare, f0..f3) of groups link.
 
-    The bound on positions is that of the first shingle that both prefixes have.
+    A group's members meet its leader, the last of g. Two that are both linked to it are
+    connected. Of any others, similar ones share more than they can share inside the leaders so
+    far, so they meet on a shingle outside of those: on a prefix of what is left of
+    their sets, the group's rarest shingles first. Or else both have enough inside: those, of
+    unlike sizes to their leader, meet in pairs. A shingle of over ``bucket`` members is a
+    group with a leader of its own. What groups are left after ``LEVELS`` leaders meet in pairs.
+    """
+    sets = held.select("v", "set")
+    now = members.withColumn("s", F.lit(0)).withColumn("ins", F.lit(0)).join(sets.withColumnRenamed("set", "rest"), "v")
+    apart = F.col("x.ins").bitwiseAND(F.col("y.ins")) == 0
+    once = (F.col("x.v") < F.col("y.v")) & apart
+    for level in range(LEVELS):
+        lead = held.select(F.col("v").alias("lead"), F.col("n").alias("ln"), F.col("set").alias("ls"))
+        own = now.withColumn("lead", F.element_at("g", -1)).join(sets, "v").join(lead, "lead")
+        linked = (F.col("v") == F.col("lead")) | (F.size(F.array_intersect("set", "ls")) * F.lit(num + den) >= (F.col("n") + F.col("ln")) * F.lit(num))
+        own = own.withColumn("rest", F.array_except("rest", "ls")).withColumn("linked", linked)
+        own = own.select("g", "v", "n", "rare", *PRINT, "rest", (F.col("n") - F.size("rest")).alias("s"), F.col("ins").bitwiseOR(F.when(F.col("linked"), 1 << level).otherwise(0)).alias("ins"), "linked", "lead")
+        own = through_table(own, "peeled")
+        links = links.union(own.filter("linked and v <> lead").select(F.greatest("v", "lead").alias("a"), F.least("v", "lead").alias("b")))
+        # Groups whose members are not all linked to one leader.
+        open_ = own.groupBy("g").agg(F.bit_and("ins").alias("all")).filter("all = 0").select("g")
+        own = through_table(own.join(open_, "g", "left_semi").drop("linked", "lead"), "open")
+        if own.isEmpty():
+            return links
+        enough = F.least("x.s", "y.s") * F.lit(num + den) >= (F.col("x.n") + F.col("y.n")) * F.lit(num)
+        inside = _meet(own.filter(F.col("s") * den >= F.col("n") * num).drop("rest"), ["g"], once & enough, num, den, tau)
+        left = own.select("g", "v", "n", F.explode("rest").alias("key"))
+        counts = left.groupBy("g", "key").agg(F.count("*").alias("c"))
+        order = Window.partitionBy("g", "v").orderBy("c", "key")
+        first = left.join(counts, ["g", "key"]).withColumn("place", F.row_number().over(order)).filter((F.col("place") <= F.col("n") - F.ceil(F.col("n") * num / den) + 1) & (F.col("c") > 1))
+        keyed = first.select("g", "key", "v").join(own.drop("rest"), ["g", "v"])
+        useful = keyed.groupBy("g", "key").agg(F.bit_and("ins").alias("all"), F.count("*").alias("c"), F.min_by("v", F.struct("ins", "rare", "v")).alias("lead")).filter("c > 1 and all = 0").drop("all")
+        keyed = through_table(keyed.join(useful, ["g", "key"]), "keyed")
+        last = level == LEVELS - 1
+        few = keyed if last else keyed.filter(F.col("c") <= bucket)
+        pairs = through_table(_meet(few, ["g", "key"], once, num, den, tau).union(inside).distinct(), "pairs")
+        links = links.union(_alike(pairs, held, num, den))
+        more = keyed.filter(F.col("c") > bucket)
+        if last or more.isEmpty():
+            return links
+        deeper = F.concat("g", F.array("lead"))
+        now = more.select(deeper.alias("h"), "g", "v").distinct().join(own, ["g", "v"]).select(F.col("h").alias("g"), "v", "n", "rare", *PRINT, "s", "ins", "rest")
+    return links
+
+
+def _meet(rows: DataFrame, keys: list[str], also: Column, num: int, den: int, tau: int) -> DataFrame:
+    """(a, b), a > b: pairs of rows that agree on the keys, and whose sizes and fingerprints allow the similarity.
+
+    also: what else holds of x and y; in prefixes, the bound on positions is that of the first shingle that both have.
     """
-    x, y = left.alias("x"), right.alias("y")
+    x, y = rows.alias("x"), rows.alias("y")
     nx, ny = F.col("x.n"), F.col("y.n")
     sizes = F.least(nx, ny) * F.lit(den) >= F.greatest(nx, ny) * F.lit(num)
-    places = F.least(nx - F.col("x.pos"), ny - F.col("y.pos")) * F.lit(num + den) >= (nx + ny) * F.lit(num)
     close = (F.least(nx, ny) < FEW) | within(tau)
-    met = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") != F.col("y.comp")) & sizes & places & once & close)
+    for key in keys:
+        also = (F.col(f"x.{key}") == F.col(f"y.{key}")) & also
+    met = x.join(y, also & sizes & close)
     return met.select(F.greatest("x.v", "y.v").alias("a"), F.least("x.v", "y.v").alias("b"))
 
 
-def _alike(pairs: DataFrame, docs: DataFrame, signed: DataFrame, num: int, den: int, size: int, text_col: str) -> DataFrame:
-    """The pairs whose sets have the similarity, compared whole; sets are made anew, of the texts concerned only."""
-    pairs = through_table(pairs.distinct(), "pairs")
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("v")).distinct()
-    # One text of each set; at most a million slots are broadcast, so few other texts are looked at.
+def _held(docs: DataFrame, signed: DataFrame, asked: DataFrame, size: int, text_col: str) -> DataFrame:
+    """(v, n, set) of the sets that are asked for, made anew of one text of each."""
+    # At most a million slots are broadcast, so few other texts are looked at.
     slot = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << 20)).cast("int").alias("slot")
     slots = F.broadcast(signed.groupBy("v").agg(F.min("k").alias("k")).join(asked, "v", "left_semi").select(slot("k")).distinct())
     texts = docs.select(text_of(text_col).alias("text")).withColumn("slot", slot(F.xxhash64("text"))).join(slots, "slot", "left_semi").select("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for _, h, at, v in _sets(batches, "text", size):
-            # Equal sets of one slice go once.
-            v, one = np.unique(v, return_index=True)
+            # Equal sets of one task go once.
+            one = np.array([i for i, x in enumerate(v.tolist()) if not (x in seen or seen.add(x))], np.int64)
             own, off = take_ragged(h, at[one], np.diff(at)[one])
-            yield pa.RecordBatch.from_arrays([pa.array(v), pa.array(np.diff(off).astype(np.int32)), pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(own))], names=["v", "n", "set"])
+            yield pa.RecordBatch.from_arrays([pa.array(v[one]), pa.array(np.diff(off).astype(np.int32)), pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(own))], names=["v", "n", "set"])
+
+    return texts.mapInArrow(run, "v bigint, n int, set array<bigint>").join(asked, "v", "left_semi").dropDuplicates(["v"])
+
 
-    held = texts.mapInArrow(run, "v bigint, n int, set array<bigint>").join(asked, "v", "left_semi").dropDuplicates(["v"])
+def _alike(pairs: DataFrame, held: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs whose sets have the similarity, compared whole."""
     x = held.select(F.col("v").alias("a"), F.col("n").alias("xn"), F.col("set").alias("xs"))
     y = held.select(F.col("v").alias("b"), F.col("n").alias("yn"), F.col("set").alias("ys"))
     both = F.size(F.array_intersect("xs", "ys"))

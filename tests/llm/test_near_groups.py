@@ -38,9 +38,10 @@ def _got(spark, rows, bucket):
     return {r.doc_id: r.component_id for r in simhash.near_groups(spark.createDataFrame(rows, "doc_id bigint, text string"), bucket=bucket).collect()}
 
 
-@pytest.mark.parametrize("bucket", [3])
-def test_every_link_of_a_skewed_table(spark, bucket):
+@pytest.mark.parametrize("bucket, levels", [(3, 6), (3, 1), (1, 2)])
+def test_every_link_of_a_skewed_table(spark, monkeypatch, bucket, levels):
     """Texts slide along a long one, so that most resemble their neighbours only, around one large group."""
+    monkeypatch.setattr(simhash, "LEVELS", levels)
     rnd = random.Random(4)
     stream = [f"s{k}" for k in range(1200)]
     rows = [(k, " ".join(stream[6 * k : 6 * k + 100])) for k in range(150)]
@@ -71,3 +72,20 @@ def test_shared_passage_below_the_similarity_stays(spark):
     want = _groups(rows)
     assert want[1] == 1 and want[9001] == 9000 and want[9011] == 9010
     assert _got(spark, rows, 48) == want
+
+
+def test_families_within_families(spark):
+    """Copies of copies: each generation is like the one before it, not like the first; sizes differ; all share a passage."""
+    rnd = random.Random(9)
+    rows, fathers = [], [[f"b{k}" for k in range(90)]]
+    for i in range(300):
+        words = list(rnd.choice(fathers))
+        for p in rnd.sample(range(len(words)), rnd.randrange(1, 6)):
+            words[p] = f"e{rnd.randrange(10**6)}"
+        if rnd.random() < 0.2:
+            words = words[: -rnd.randrange(1, 25)] if rnd.random() < 0.5 else words + [f"x{rnd.randrange(50)}" for _ in range(20)]
+        rows.append((i, " ".join(words)))
+        if rnd.random() < 0.1:
+            fathers.append(words)
+    rows += [(1000 + i, " ".join([f"b{k}" for k in range(30)] + [f"o{i % 40}y{k}" for k in range(8 + i % 7)])) for i in range(200)]
+    assert _got(spark, rows, 5) == _groups(rows)
