@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tessera import schema
 from tessera.functions import text
 from tessera.operators import emit, resolve
+from tessera.scratch import written
 from tessera.sources.tabular import or_empty
 
 
@@ -25,6 +26,9 @@ class Build:
         self.dictionaries: dict[str, DataFrame] = {}
         self.names: list[DataFrame] = []
         self.aliases: list[DataFrame] = []
+        #: Proposed links of the hierarchy of diseases, and titles that MeSH doesn't name.
+        self.links: list[tuple[DataFrame, str, str]] = []
+        self.foreign: list[DataFrame] = []
         self.used: list[str] = []
         self._resolver: tuple[tuple[int, int], DataFrame] | None = None
 
@@ -48,10 +52,14 @@ class Build:
         self.add("Identifier", node, source, key="key", scheme="scheme", value="value")
         self.add("HAS_IDENTIFIER", edge, source, src="src", dst="dst", match_method="match_method")
 
+    def propose(self, rows: DataFrame, source: str, method: str = "structured") -> None:
+        """Links (child, parent) of diseases; a later vocabulary may add to the hierarchy, not contradict it."""
+        self.links.append((rows.select("child", "parent"), source, method))
+
     def substances(self) -> DataFrame:
         """The resolver's dictionary of what has been loaded so far; kept until more names come.
 
-        It is persisted, so that each table does not build it anew; a lost part is made again.
+        It is written to the shared folder, so that no table builds it anew.
         """
         state = (len(self.names), len(self.aliases))
         if self._resolver and self._resolver[0] == state:
@@ -63,12 +71,12 @@ class Build:
         for rank, a in enumerate(self.aliases):
             one = a.select("name", "id", "method", F.lit(rank).alias("ord"))
             aliases = one if aliases is None else aliases.unionByName(one)
-        self._resolver = (state, resolve.dictionary(names, aliases).persist())
+        self._resolver = (state, written(resolve.dictionary(names, aliases), "substances"))
         return self._resolver[1]
 
     def keep(self, name: str, rows: DataFrame) -> None:
-        """A dictionary that several loaders read."""
-        self.dictionaries[name] = rows.persist()
+        """A dictionary that several loaders read, written to the shared folder."""
+        self.dictionaries[name] = written(rows, name)
 
     def resolve(self, rows: DataFrame, name: str, provisional: bool = False) -> DataFrame:
         """Rows with ``substance`` and ``match_method``; unknown names go, or stand for themselves."""
@@ -76,7 +84,7 @@ class Build:
         return out.filter("substance <> ''" + ("" if provisional else " and match_method <> 'provisional'"))
 
     def diseases(self) -> list[DataFrame]:
-        return [self.dictionaries[k] for k in ("mesh", "disease_alias") if k in self.dictionaries]
+        return [self.dictionaries[k] for k in ("mesh", "vocab_alias", "disease_alias") if k in self.dictionaries]
 
     def table(self, kind: str) -> DataFrame:
         made = self.writers.get(kind)

@@ -6,7 +6,7 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 
-from tessera.loaders import diseases, events, places, substances
+from tessera.loaders import diseases, events, places, substances, vocabularies
 from tessera.loaders.build import Build, run
 
 #: The files that each loader cannot do without.
@@ -29,12 +29,23 @@ NEEDS = {
     diseases.indications: ["mesh", "molecules", "indications"],
     diseases.associations: ["targets", "hgnc", "ot_assoc"],
     substances.variants: ["targets", "hgnc", "clinvar"],
+    vocabularies.supplements: ["mesh", "mesh_scr"],
+    vocabularies.antineoplastic: ["gsrs", "antineoplastic"],
+    # Exceptions overrule what other aliases say, so they come after them.
+    vocabularies.curated: ["mesh"],
+    substances.stand_ins: ["gsrs"],
+    vocabularies.cross_links: ["mesh"],
+    vocabularies.one_hierarchy: ["mesh"],
 }
 
 
 def loaders(lake: Mapping[str, DataFrame]) -> list[Callable[[Build], None]]:
     out: list[Callable[[Build], None]] = [places.vocabulary]
-    out += [f for f, files in NEEDS.items() if all(x in lake for x in files)]
+    for f, files in NEEDS.items():
+        if f is vocabularies.supplements and "mesh" in lake:
+            out.append(vocabularies.concept_aliases)
+        if all(x in lake for x in files):
+            out.append(f)
     out += [f for file, f in events.PRODUCTS.items() if file in lake]
     out += [(lambda b, file=file: events.trials(b, file)) for file in events.REGISTRIES if file in lake]
     out += [(lambda b, file=file: events.regulatory(b, file)) for file in events.EVENTS if file in lake]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tessera.functions import shorthand, text
 from tessera.loaders.build import Build, folded_key
 from tessera.operators import resolve
+from tessera.scratch import written
 
 
 def atc(b: Build) -> None:
@@ -109,9 +110,7 @@ def mesh_actions(b: Build) -> None:
 def stand_ins(b: Build) -> None:
     """Spellings of two committees, abbreviations and regimens as names of what the dictionary holds."""
     entries = b.substances()
-    # At most one row a fixed name, so the answer is read here: later dictionaries don't hang on this one.
-    found = resolve.stand_ins(shorthand.table(entries.sparkSession), entries)
-    b.aliases.append(entries.sparkSession.createDataFrame(found.collect(), found.schema))
+    b.aliases.append(written(resolve.stand_ins(shorthand.table(entries.sparkSession), entries), "stand_ins"))
 
 
 def variants(b: Build) -> None:
@@ -120,7 +119,11 @@ def variants(b: Build) -> None:
     v = v.filter(F.lower("ClinicalSignificance").rlike("pathogenic|drug response|risk factor") & ~F.lower("ClinicalSignificance").contains("conflicting")).withColumn("key", F.concat(F.lit("CLINVAR:"), "VariationID"))
     b.add("Variant", v, "clinvar", key="key", name="Name", variant_type="Type", gene_symbol="GeneSymbol", clinical_significance="ClinicalSignificance", catalogue=F.lit("ClinVar"))
     b.add("VARIANT_IN", v, "clinvar", src="key", dst="target", match_method=F.lit("structured"))
-    ids = v.select("key", "ClinicalSignificance", F.explode(F.regexp_extract_all("PhenotypeIDS", F.lit(r"MONDO:(MONDO:\d+)"), 1)).alias("disease"))
+    if "efo_mesh" not in b.dictionaries:
+        return
+    # By the crosswalk of the indications alone: another id has no disease to point at.
+    ids = v.select("key", "ClinicalSignificance", F.explode(F.regexp_extract_all("PhenotypeIDS", F.lit(r"(MONDO[:_]\d+)"), 1)).alias("id")).withColumn("efo", text.vocabulary_key(F.col("id")))
+    ids = ids.join(b.dictionaries["efo_mesh"].select("efo", F.col("key").alias("disease")), "efo")
     b.add("IMPLICATED_IN", ids, "clinvar", src="key", dst="disease", match_method=F.lit("structured"), significance="ClinicalSignificance")
 
 

@@ -58,14 +58,14 @@ def resolve(queries: DataFrame, entries: DataFrame, name: str = "name", key: str
     return queries.join(found, queries[name].eqNullSafe(found[name])).drop(found[name])
 
 
-def bridge(concepts: DataFrame, entries: DataFrame, veto: DataFrame | None = None) -> DataFrame:
+def bridge(concepts: DataFrame, entries: DataFrame, veto: DataFrame | None = None, least: int = 0) -> DataFrame:
     """Aliases (name, id) of concepts (concept, pos, name): if any name is known, the others are too.
 
-    The first known name in order decides; vetoed names make no alias.
+    The first known name in order decides; vetoed names, and those of under ``least`` characters, make no alias.
     """
-    folded = concepts.select("concept", "pos", text.fold(F.col("name")).alias("probe"))
+    folded = concepts.select("concept", "pos", text.fold(F.col("name")).alias("probe")).filter("probe <> ''")
     hit = folded.join(entries.select("probe", "id").groupBy("probe").agg(F.min("id").alias("id")), "probe").groupBy("concept").agg(F.min_by("id", F.struct("pos", "id")).alias("id"))
-    out = folded.join(hit, "concept").join(entries.select("probe").distinct(), "probe", "left_anti")
+    out = folded.filter(F.length("probe") >= least).join(hit, "concept").join(entries.select("probe").distinct(), "probe", "left_anti")
     if veto is not None:
         out = out.join(veto.select("probe").distinct(), "probe", "left_anti")
     return out.groupBy("probe").agg(F.min_by("id", F.struct("concept", "pos")).alias("id")).withColumnRenamed("probe", "name")
