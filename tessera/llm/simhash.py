@@ -41,6 +41,8 @@ SLOTS = 1 << 18
 COMMON_SLOTS = 1 << 20
 COMMON_TIMES = 4
 COMMON_MOST = 1 << 17
+#: Shingles of a prefix beyond those that it needs: so many may be hot, and the others still find every similar set.
+EXTRA = 2
 #: Leaders that a hot shingle's sets are compared with, one within another, before what is left meets in pairs.
 LEVELS = 6
 #: Words of the fingerprints of shingle sets; these prune pairs of sets of ``FEW`` shingles and more.
@@ -240,13 +242,19 @@ def _common(every: DataFrame) -> np.ndarray:
     return out
 
 
+def _in_order(text: np.ndarray, level: np.ndarray) -> np.ndarray:
+    """The order of shingles, each text's in order of their hashes, that puts common ones last."""
+    return np.argsort(256 * text + level, kind="stable")
+
+
 def _prefixes(docs: DataFrame, common: np.ndarray, num: int, den: int, size: int, text_col: str) -> DataFrame:
     """(key, v, n, pos, rare, late): the first shingles of each set, of which two similar sets share one.
 
     Common shingles stand last, the others by hash. Sets of similarity t = num / den
     share at least t * n shingles, so not all of them stand after the first
-    n - ceil(t * n) + 1 of either. rare: the set's share of shingles that aren't common;
-    late: whether the key is. A set comes once from each task.
+    n - ceil(t * n) + 1 of either, in any order; ``EXTRA`` more come, so that this holds without
+    so many of them. rare: the set's share of shingles that aren't common; late: whether the key is.
+    A set comes once from each task.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -256,10 +264,10 @@ def _prefixes(docs: DataFrame, common: np.ndarray, num: int, den: int, size: int
             text = np.repeat(np.arange(len(n)), n)
             level = common[h & (COMMON_SLOTS - 1)]
             rare = np.bincount(text, weights=level == 0, minlength=len(n)) / np.maximum(n, 1)
-            order = np.argsort(256 * text + level, kind="stable")
+            order = _in_order(text, level)
             pos = np.arange(len(h)) - at[:-1][text]
             fresh = np.array([not (x in seen or seen.add(x)) for x in v.tolist()], bool)
-            first = (pos < (n + (num * n // -den) + 1)[text]) & fresh[text]
+            first = (pos < (n + (num * n // -den) + 1 + EXTRA)[text]) & fresh[text]
             text = text[first]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(h[order][first]), pa.array(v[text]), pa.array(n[text].astype(np.int32)), pa.array(pos[first].astype(np.int32)), pa.array(rare[text].astype(np.float32)), pa.array(level[order][first] > 0)],
@@ -309,14 +317,16 @@ def near_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, bucket:
     set of under ``FEW`` shingles aren't pruned by it. What is left is compared by the
     whole sets: no estimate links.
 
-    Sets that meet on a shingle of over ``bucket`` sets make no pairs but with leaders (``_peeled``).
-    Texts without a word are a group of their own.
+    A shingle of over ``bucket`` sets is hot and makes no pairs. Two sets with at most ``EXTRA`` hot ones in
+    their prefixes meet on another one. The others, copies of one text that have
+    little of their own, meet leaders (``_peeled``). Texts without a word are a group of their own.
     """
     ratio = Fraction(str(similarity))
     num, den, tau = ratio.numerator, ratio.denominator, allowance(similarity)
     every = through_table(signatures(docs, size, id_col, text_col), "signatures")
     signed = every.filter("n >= 0")
-    met = _prefixes(docs, _common(every), num, den, size, text_col)
+    common = _common(every)
+    met = _prefixes(docs, common, num, den, size, text_col)
     # Keys of one set go at once. A key that a task found common is spread, and goes when keys are counted.
     by_key = Window.partitionBy("key", F.when(F.col("late"), F.col("v")))
     met = met.withColumn("lo", F.min("v").over(by_key)).withColumn("hi", F.max("v").over(by_key)).filter("late or lo <> hi")
@@ -324,13 +334,15 @@ def near_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, bucket:
     counts = met.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1")
     prints = signed.select("v", *PRINT).distinct()
     rows = through_table(met.join(counts, "key").join(prints, "v"), "rows")
-    hot = rows.filter(F.col("c") > bucket)
-    leaders = hot.groupBy("key").agg(F.min_by("v", F.struct("rare", "v")).alias("lead"))
-    members = through_table(hot.join(leaders, "key").select(F.array("lead").alias("g"), "v", "n", "rare", *PRINT).distinct(), "members")
-    places = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos")) * F.lit(num + den) >= (F.col("x.n") + F.col("y.n")) * F.lit(num)
+    # Before the first shingle that two sets share and that isn't hot, they share at most EXTRA.
+    places = (F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos")) + EXTRA) * F.lit(num + den) >= (F.col("x.n") + F.col("y.n")) * F.lit(num)
     pairs = through_table(_meet(rows.filter(F.col("c") <= bucket), ["key"], places & (F.col("x.v") < F.col("y.v")), num, den, tau).distinct(), "pairs")
+    hot = rows.filter(F.col("c") > bucket)
+    hot = hot.join(hot.groupBy("v").agg((F.count("*") <= EXTRA).alias("cov")), "v")
+    leaders = hot.filter("not cov").groupBy("key").agg(F.min_by("v", F.struct("rare", "v")).alias("lead"))
+    members = through_table(hot.join(leaders, "key").select(F.array("lead").alias("g"), "v", "n", "rare", "cov", *PRINT).distinct(), "members")
     asked = pairs.select(F.col("a").alias("v")).distinct().union(pairs.select("b").distinct()).union(members.select("v").distinct()).distinct()
-    held = through_table(_held(docs, signed, asked, size, text_col), "sets")
+    held = through_table(_held(docs, signed, asked, common, size, text_col), "sets")
     found = components(_peeled(members, held, bucket, num, den, tau, _alike(pairs, held, num, den)))
     distinct = signed.groupBy("v").agg(F.min(id_col).alias("least"))
     rooted = distinct.join(found, "v", "left").select("v", "least", F.coalesce("root", "v").alias("root"))
@@ -340,40 +352,36 @@ def near_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, bucket:
 
 
 def _peeled(members: DataFrame, held: DataFrame, bucket: int, num: int, den: int, tau: int, links: DataFrame) -> DataFrame:
-    """The links (a, b), and those that connect what members (g, v, n, rare, f0..f3) of groups link.
+    """The links (a, b), and those that connect what members (g, v, n, rare, cov, f0..f3) of groups link.
 
     A group's members meet its leader, the last of g. Two that are both linked to it are
     connected. Of any others, similar ones share more than they can share inside the leaders so
-    far, so they meet on a shingle outside of those: on a prefix of what is left of
-    their sets, the group's rarest shingles first. Or else both have enough inside: those, of
-    unlike sizes to their leader, meet in pairs. A shingle of over ``bucket`` members is a
-    group with a leader of its own. What groups are left after ``LEVELS`` leaders meet in pairs.
+    far, so they meet on a shingle outside of those, in a prefix of what is left of
+    their sets. Or else both have enough inside: those, of unlike sizes to their leader, meet in pairs. A
+    shingle of over ``bucket`` members is a group with a leader of its own. What groups are
+    left after ``LEVELS`` leaders meet in pairs. Two with ``cov`` have met elsewhere.
     """
-    sets = held.select("v", "set")
-    now = members.withColumn("s", F.lit(0)).withColumn("ins", F.lit(0)).join(sets.withColumnRenamed("set", "rest"), "v")
-    apart = F.col("x.ins").bitwiseAND(F.col("y.ins")) == 0
-    once = (F.col("x.v") < F.col("y.v")) & apart
+    own = ["v", "n", "rare", "cov", *PRINT]
+    now = members.withColumn("ins", F.lit(0))
+    once = (F.col("x.v") < F.col("y.v")) & (F.col("x.ins").bitwiseAND(F.col("y.ins")) == 0) & ~(F.col("x.cov") & F.col("y.cov"))
     for level in range(LEVELS):
-        lead = held.select(F.col("v").alias("lead"), F.col("n").alias("ln"), F.col("set").alias("ls"))
-        own = now.withColumn("lead", F.element_at("g", -1)).join(sets, "v").join(lead, "lead")
-        linked = (F.col("v") == F.col("lead")) | (F.size(F.array_intersect("set", "ls")) * F.lit(num + den) >= (F.col("n") + F.col("ln")) * F.lit(num))
-        own = own.withColumn("rest", F.array_except("rest", "ls")).withColumn("linked", linked)
-        own = own.select("g", "v", "n", "rare", *PRINT, "rest", (F.col("n") - F.size("rest")).alias("s"), F.col("ins").bitwiseOR(F.when(F.col("linked"), 1 << level).otherwise(0)).alias("ins"), "linked", "lead")
-        own = through_table(own, "peeled")
-        links = links.union(own.filter("linked and v <> lead").select(F.greatest("v", "lead").alias("a"), F.least("v", "lead").alias("b")))
+        got, rest = now.join(held.select("v", "set"), "v"), F.col("set")
+        for i in range(level + 1):
+            lead = held.select(F.col("v").alias("lead"), F.col("n").alias("ln"), F.col("set").alias(f"s{i}"))
+            got = got.drop("lead", "ln").withColumn("lead", F.get("g", F.lit(i))).join(lead, "lead")
+            rest = F.array_except(rest, f"s{i}")
+        linked = (F.col("v") == F.col("lead")) | (F.size(F.array_intersect("set", f"s{level}")) * F.lit(num + den) >= (F.col("n") + F.col("ln")) * F.lit(num))
+        got = got.select("g", *own, "lead", "ins", linked.alias("linked"), rest.alias("rest"))
+        got = got.withColumn("s", F.col("n") - F.size("rest")).withColumn("keys", F.slice("rest", F.lit(1), (F.col("n") - F.ceil(F.col("n") * num / den) + 1).cast("int"))).drop("rest")
+        got = through_table(got.withColumn("ins", F.col("ins").bitwiseOR(F.when(F.col("linked"), 1 << level).otherwise(0))), "peeled")
+        links = links.union(got.filter("linked and v <> lead").select(F.greatest("v", "lead").alias("a"), F.least("v", "lead").alias("b")))
         # Groups whose members are not all linked to one leader.
-        open_ = own.groupBy("g").agg(F.bit_and("ins").alias("all")).filter("all = 0").select("g")
-        own = through_table(own.join(open_, "g", "left_semi").drop("linked", "lead"), "open")
-        if own.isEmpty():
-            return links
+        open_ = got.groupBy("g").agg(F.bit_and("ins").alias("all"), F.bool_and("cov").alias("met")).filter("all = 0 and not met").select("g")
+        got = got.join(open_, "g", "left_semi").drop("linked", "lead")
         enough = F.least("x.s", "y.s") * F.lit(num + den) >= (F.col("x.n") + F.col("y.n")) * F.lit(num)
-        inside = _meet(own.filter(F.col("s") * den >= F.col("n") * num).drop("rest"), ["g"], once & enough, num, den, tau)
-        left = own.select("g", "v", "n", F.explode("rest").alias("key"))
-        counts = left.groupBy("g", "key").agg(F.count("*").alias("c"))
-        order = Window.partitionBy("g", "v").orderBy("c", "key")
-        first = left.join(counts, ["g", "key"]).withColumn("place", F.row_number().over(order)).filter((F.col("place") <= F.col("n") - F.ceil(F.col("n") * num / den) + 1) & (F.col("c") > 1))
-        keyed = first.select("g", "key", "v").join(own.drop("rest"), ["g", "v"])
-        useful = keyed.groupBy("g", "key").agg(F.bit_and("ins").alias("all"), F.count("*").alias("c"), F.min_by("v", F.struct("ins", "rare", "v")).alias("lead")).filter("c > 1 and all = 0").drop("all")
+        inside = _meet(got.filter(F.col("s") * den >= F.col("n") * num).drop("keys"), ["g"], once & enough, num, den, tau)
+        keyed = got.select("g", *own, "s", "ins", F.explode("keys").alias("key"))
+        useful = keyed.groupBy("g", "key").agg(F.bit_and("ins").alias("all"), F.bool_and("cov").alias("met"), F.count("*").alias("c"), F.min_by("v", F.struct("cov", "ins", "rare", "v")).alias("lead")).filter("c > 1 and all = 0 and not met").drop("all", "met")
         keyed = through_table(keyed.join(useful, ["g", "key"]), "keyed")
         last = level == LEVELS - 1
         few = keyed if last else keyed.filter(F.col("c") <= bucket)
@@ -382,8 +390,7 @@ def _peeled(members: DataFrame, held: DataFrame, bucket: int, num: int, den: int
         more = keyed.filter(F.col("c") > bucket)
         if last or more.isEmpty():
             return links
-        deeper = F.concat("g", F.array("lead"))
-        now = more.select(deeper.alias("h"), "g", "v").distinct().join(own, ["g", "v"]).select(F.col("h").alias("g"), "v", "n", "rare", *PRINT, "s", "ins", "rest")
+        now = more.select(F.concat("g", F.array("lead")).alias("g"), *own, "ins").distinct()
     return links
 
 
@@ -402,8 +409,8 @@ def _meet(rows: DataFrame, keys: list[str], also: Column, num: int, den: int, ta
     return met.select(F.greatest("x.v", "y.v").alias("a"), F.least("x.v", "y.v").alias("b"))
 
 
-def _held(docs: DataFrame, signed: DataFrame, asked: DataFrame, size: int, text_col: str) -> DataFrame:
-    """(v, n, set) of the sets that are asked for, made anew of one text of each."""
+def _held(docs: DataFrame, signed: DataFrame, asked: DataFrame, common: np.ndarray, size: int, text_col: str) -> DataFrame:
+    """(v, n, set) of the sets that are asked for, made anew of one text of each; shingles in the order of ``_prefixes``."""
     # At most a million slots are broadcast, so few other texts are looked at.
     slot = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << 20)).cast("int").alias("slot")
     slots = F.broadcast(signed.groupBy("v").agg(F.min("k").alias("k")).join(asked, "v", "left_semi").select(slot("k")).distinct())
@@ -412,6 +419,7 @@ def _held(docs: DataFrame, signed: DataFrame, asked: DataFrame, size: int, text_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for _, h, at, v in _sets(batches, "text", size):
+            h = h[_in_order(np.repeat(np.arange(len(v)), np.diff(at)), common[h & (COMMON_SLOTS - 1)])]
             # Equal sets of one task go once.
             one = np.array([i for i, x in enumerate(v.tolist()) if not (x in seen or seen.add(x))], np.int64)
             own, off = take_ragged(h, at[one], np.diff(at)[one])
