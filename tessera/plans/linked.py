@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import shorthand
 from tessera.functions.text import fold
-from tessera.operators import emit, graph, hierarchy, quality, resolve
+from tessera.operators import candidates, emit, fulltext, graph, hierarchy, quality, resolve
 from tessera.plans.registry import Plans
 
 P = Plans()
@@ -144,6 +144,67 @@ def accepted_links(read):
     return hierarchy.accept(down.union(back)).select(F.col("child").cast("int").alias("n_nationkey"), F.col("parent").alias("r_name"))
 
 
+_TRADE = """trade AS (SELECT c.n_name AS child, s.n_name AS parent, min(o_orderkey) AS ord FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey JOIN nation c ON c_nationkey = c.n_nationkey JOIN nation s ON s_nationkey = s.n_nationkey WHERE c.n_name <> s.n_name GROUP BY 1, 2)"""
+
+
+@query(f"""WITH RECURSIVE {_TRADE}, e AS (SELECT child, parent, row_number() OVER (ORDER BY ord, child, parent) AS i FROM trade),
+walk AS (SELECT CAST(0 AS BIGINT) AS i, CAST([] AS STRUCT(d VARCHAR, a VARCHAR)[]) AS up, '' AS child, '' AS parent, false AS ok
+UNION ALL SELECT e.i, CASE WHEN list_contains(up, {{'d': e.parent, 'a': e.child}}) THEN up ELSE list_distinct(list_concat(up, flatten(list_transform(list_append(list_transform(list_filter(up, lambda x: x.a = e.child), lambda x: x.d), e.child), lambda d: list_transform(list_append(list_transform(list_filter(up, lambda x: x.d = e.parent), lambda x: x.a), e.parent), lambda a: {{'d': d, 'a': a}}))))) END,
+e.child, e.parent, NOT list_contains(up, {{'d': e.parent, 'a': e.child}}) FROM walk JOIN e ON e.i = walk.i + 1)
+SELECT child, parent FROM walk WHERE ok UNION ALL SELECT CAST(p_partkey AS VARCHAR), p_brand FROM part UNION ALL SELECT DISTINCT p_brand, p_type FROM part""")
+def one_hierarchy(read):
+    """Nations below those they first bought from, as far as no cycle closes, and parts below brands below types."""
+    nation = read("nation").select("n_nationkey", "n_name")
+    bought = read("lineitem").select("l_orderkey", "l_suppkey").join(read("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey")
+    sides = bought.join(read("customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey").join(read("supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey"), "l_suppkey")
+    pairs = sides.groupBy("c_nationkey", "s_nationkey").agg(F.min("l_orderkey").alias("ord"))
+    named = pairs.join(nation.toDF("c_nationkey", "child"), "c_nationkey").join(nation.toDF("s_nationkey", "parent"), "s_nationkey").select("child", "parent", "ord")
+    part = read("part")
+    trees = part.select(F.col("p_partkey").cast("string"), "p_brand", F.lit(0)).union(part.select("p_brand", "p_type", F.lit(1)).distinct())
+    return hierarchy.accept(named.union(trees))
+
+
+_PARTS = """node AS (SELECT p_partkey AS id, 'P:' || p_partkey AS key, p_name AS name FROM part UNION ALL SELECT DISTINCT -1000 - CAST(substr(p_brand, 7) AS BIGINT), 'B:' || p_brand, p_brand FROM part UNION ALL SELECT -1000000 - min(p_partkey), 'T:' || p_type, p_type FROM part GROUP BY p_type),
+link AS (SELECT 'P:' || p_partkey AS child, 'B:' || p_brand AS parent FROM part UNION ALL SELECT 'P:' || p_partkey, 'T:' || p_type FROM part UNION ALL SELECT DISTINCT 'B:' || p_brand, 'ALL' FROM part UNION ALL SELECT DISTINCT 'T:' || p_type, 'ALL' FROM part),
+fact AS (SELECT DISTINCT l_orderkey AS fact, 'P:' || l_partkey AS key FROM lineitem),
+one AS (SELECT child, parent FROM link), two AS (SELECT a.child, b.parent FROM one a JOIN one b ON a.parent = b.child), up AS (SELECT key AS child, key AS parent FROM node UNION SELECT 'ALL', 'ALL' UNION SELECT * FROM one UNION SELECT * FROM two)"""
+
+
+def _parts(read):
+    """(nodes, links, facts): parts below their brand and their type, both below one root; orders study parts."""
+    part = read("part")
+    key = lambda p, c: F.concat(F.lit(p), F.col(c).cast("string"))
+    brands = part.select((F.lit(-1000) - F.substring("p_brand", 7, 9).cast("long")).alias("id"), key("B:", "p_brand").alias("key"), F.col("p_brand").alias("name")).distinct()
+    types = part.groupBy("p_type").agg((F.lit(-1_000_000) - F.min("p_partkey")).alias("id")).select("id", key("T:", "p_type").alias("key"), F.col("p_type").alias("name"))
+    nodes = part.select(F.col("p_partkey").cast("long").alias("id"), key("P:", "p_partkey").alias("key"), F.col("p_name").alias("name")).union(brands).union(types)
+    child = key("P:", "p_partkey").alias("child")
+    upper = brands.union(types).select(F.col("key").alias("child"), F.lit("ALL").alias("parent"))
+    links = part.select(child, key("B:", "p_brand").alias("parent")).union(part.select(child, key("T:", "p_type").alias("parent"))).union(upper)
+    facts = read("lineitem").select(F.col("l_orderkey").alias("fact"), key("P:", "l_partkey").alias("key"))
+    return nodes, links, facts
+
+
+@query(f"WITH {_PARTS} SELECT parent AS key, count(DISTINCT CASE WHEN child = parent THEN fact END) AS direct, count(DISTINCT fact) AS below FROM fact JOIN up ON child = key GROUP BY 1")
+def distinct_counts_up(read):
+    """Orders of each part, brand and type and of all, each order once wherever its parts meet."""
+    _, links, facts = _parts(read)
+    return hierarchy.distinct_up(facts, links)
+
+
+@query(f"""WITH {_PARTS}, w AS (SELECT id, key, name, list_filter(string_split(trim(regexp_replace(lower(name), '[^a-z0-9_]+', ' ', 'g')), ' '), lambda x: x <> '') AS w FROM node), c AS (SELECT count(*) AS n_docs, avg(len(w)) AS mean FROM w),
+tf AS (SELECT id, len(w) AS n, t, len(list_filter(w, lambda x: x = t)) AS tf FROM w, unnest(['economy', 'red', 'widget', 'brand']) AS u(t)), df AS (SELECT t, count(*) AS df FROM tf WHERE tf > 0 GROUP BY 1),
+s AS (SELECT id, sum(ln(1 + (n_docs - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (1 - 0.75 + 0.75 * n / mean))) AS score FROM tf JOIN df USING (t), c WHERE tf > 0 GROUP BY 1), best AS (SELECT * FROM s ORDER BY round(score, 9) DESC, id LIMIT 12),
+n AS (SELECT parent AS key, count(DISTINCT CASE WHEN child = parent THEN fact END) AS direct, count(DISTINCT fact) AS below FROM fact JOIN up ON child = key GROUP BY 1), kids AS (SELECT parent AS key, count(*) AS children FROM up WHERE child <> parent GROUP BY 1)
+SELECT key, name, round(score, 6) AS score, coalesce(direct, 0) AS direct, coalesce(below, 0) AS below, coalesce(children, 0) AS children FROM best JOIN node USING (id) LEFT JOIN n USING (key) LEFT JOIN kids USING (key)""")
+def condition_candidates(read):
+    """What a few words may mean among parts, brands and types, with orders of each itself, below it, and how much lies there."""
+    nodes, links, facts = _parts(read)
+    nodes = nodes.withColumn("synonyms", F.lit(""))
+    index = fulltext.index_of(nodes, read("part").inputFiles()[0], "id", "name")
+    found = candidates.candidates(index, nodes, links, facts, "Economy red widget (any) brand")
+    return found.select("key", "name", F.round("score", 6).alias("score"), "direct", "below", "children")
+
+
 def _graph(read) -> graph.Graph:
     key = lambda p, c: F.concat(F.lit(p), F.col(c).cast("string"))
     nodes = {
