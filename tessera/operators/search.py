@@ -12,9 +12,12 @@ from pyspark.sql import functions as F
 
 from tessera.functions import vectors
 from tessera.functions.text import content_key, fold
+from tessera.scratch import written
 
 #: Bounds of one query's results, and the gate.
 CANDIDATES, FINAL, GATHER, GATE, SAME = 250, 15, 60, 0.6, 0.95
+#: Products of vectors that a task holds at a time.
+PRODUCTS = 4_000_000
 
 
 def by_cosine(items: DataFrame, query: list[float], k: int = CANDIDATES, vector: str = "embedding", id_col: str = "id") -> DataFrame:
@@ -26,12 +29,14 @@ def by_cosine(items: DataFrame, query: list[float], k: int = CANDIDATES, vector:
 def by_cosine_many(items: DataFrame, queries: DataFrame, k: int, vector: str = "embedding", id_col: str = "id", block: int = 10_000) -> DataFrame:
     """(query_id, id, cosine, rank): exact nearest items of many queries (query_id, query).
 
-    Queries are dealt to blocks of about ``block``; one block at a time is read by every
-    task. Each task keeps k items a query, so k rows a query and task are shuffled.
+    Queries are dealt to blocks of about ``block``; one block at a time is held on the driver and
+    read by every task, and of several its answers are written before the next one is read. Each task keeps
+    k items a query, so k rows a query and task are shuffled.
     """
     blocks = -(-queries.count() // block) or 1
     dealt = queries.withColumn("_block", F.pmod(F.xxhash64(queries.columns[0]), F.lit(blocks)))
-    found = [_nearest(items, dealt.filter(F.col("_block") == i).drop("_block"), k, vector, id_col) for i in range(blocks)]
+    kept = (lambda rows: rows) if blocks == 1 else (lambda rows: written(rows, "nearest"))
+    found = [kept(_nearest(items, dealt.filter(F.col("_block") == i).drop("_block"), k, vector, id_col)) for i in range(blocks)]
     ranked = reduce(DataFrame.unionAll, found).withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("cosine"), "id")))
     return ranked.filter(F.col("rank") <= k)
 
@@ -44,16 +49,18 @@ def _nearest(items: DataFrame, queries: DataFrame, k: int, vector: str, id_col:
     kind = items.schema[id_col].dataType.simpleString()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            if not len(f) or not ids:
-                continue
-            x = np.array(f[vector].tolist(), np.float64)
-            x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
-            score = x @ q.T
-            # Whole ties are kept: all that score no less than the k-th.
-            edge = np.partition(score, -k, axis=0)[-k] if len(x) > k else np.full(len(ids), -np.inf)
-            row, col = np.nonzero(score >= edge)
-            yield pd.DataFrame({"query_id": [ids[c] for c in col], "id": f[id_col].to_numpy()[row], "cosine": score[row, col]})
+        # A few million products at a time.
+        step = max(k + 1, PRODUCTS // max(1, len(ids)))
+        for whole in frames:
+            for lo in range(0, len(whole) if ids else 0, step):
+                f = whole.iloc[lo : lo + step]
+                x = np.array(f[vector].tolist(), np.float64)
+                x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+                score = x @ q.T
+                # Whole ties are kept: all that score no less than the k-th.
+                edge = np.partition(score, -k, axis=0)[-k] if len(x) > k else np.full(len(ids), -np.inf)
+                row, col = np.nonzero(score >= edge)
+                yield pd.DataFrame({"query_id": [ids[c] for c in col], "id": f[id_col].to_numpy()[row], "cosine": score[row, col]})
 
     query_kind = queries.schema[0].dataType.simpleString()
     return items.select(id_col, vector).mapInPandas(run, f"query_id {query_kind}, id {kind}, cosine double")

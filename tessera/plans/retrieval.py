@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tessera.functions import vectors
 from tessera.functions.conditions import link
 from tessera.functions.text import fold
-from tessera.operators import chunk, fulltext, search
+from tessera.operators import chunk, fulltext, search, vectorlists
 from tessera.plans.registry import Plans
 from tessera.streaming import events
 
@@ -48,6 +48,15 @@ def nearest_of_many(read):
     return search.by_cosine_many(items, asked, 10).select("query_id", "id", _round("cosine").alias("cosine"), "rank")
 
 
+@query(f"SELECT query_id, id, round(cosine, 6) AS cosine, rank FROM (SELECT a.vec_id AS query_id, b.vec_id AS id, {_COS} AS cosine, CAST(row_number() OVER (PARTITION BY a.vec_id ORDER BY {_COS} DESC, b.vec_id) AS INTEGER) AS rank FROM embeddings a, embeddings b WHERE a.vec_id % 50 = 0) WHERE rank <= 10")
+def nearest_by_lists(read):
+    """The same from inverted lists, whose bounds leave unread what cannot be nearer."""
+    items = _items(read)
+    index = vectorlists.Lists.build(items.select("id", "embedding"), 16)
+    asked = items.filter("id % 50 = 0").select(F.col("id").alias("query_id"), F.col("embedding").alias("query"))
+    return index.nearest(asked, 10).select("query_id", "id", _round("cosine").alias("cosine"), "rank")
+
+
 @query(f"SELECT id, cosine FROM (SELECT b.vec_id AS id, round({_COS}, 6) AS cosine, max({_COS}) OVER () AS best FROM embeddings a, embeddings b WHERE a.vec_id = 1 AND b.vec_id <> 1) WHERE best >= 0.6 AND cosine >= 0.3")
 def gated_vectors(read):
     """All or none, by the best hit."""
