@@ -340,6 +340,11 @@ def near_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, bucket:
     hot = rows.filter(F.col("c") > bucket)
     hot = hot.join(hot.groupBy("v").agg((F.count("*") <= EXTRA).alias("cov")), "v")
     leaders = hot.filter("not cov").groupBy("key").agg(F.min_by("v", F.struct("rare", "v")).alias("lead"))
+    for _ in range(2):
+        # Any set may lead a key: a leader gives way to the one that leads most of its own keys, so copies of one text have one.
+        own = hot.select("key", F.col("v").alias("lead")).join(leaders.select("lead").distinct(), "lead")
+        votes = own.join(leaders.select("key", F.col("lead").alias("to")), "key").groupBy("lead", "to").count()
+        leaders = leaders.join(votes.groupBy("lead").agg(F.max_by("to", F.struct("count", "to")).alias("to")), "lead").select("key", F.col("to").alias("lead"))
     members = through_table(hot.join(leaders, "key").select(F.array("lead").alias("g"), "v", "n", "rare", "cov", *PRINT).distinct(), "members")
     asked = pairs.select(F.col("a").alias("v")).distinct().union(pairs.select("b").distinct()).union(members.select("v").distinct()).distinct()
     held = through_table(_held(docs, signed, asked, common, size, text_col), "sets")
@@ -380,7 +385,7 @@ def _peeled(members: DataFrame, held: DataFrame, bucket: int, num: int, den: int
         got = got.join(open_, "g", "left_semi").drop("linked", "lead")
         enough = F.least("x.s", "y.s") * F.lit(num + den) >= (F.col("x.n") + F.col("y.n")) * F.lit(num)
         inside = _meet(got.filter(F.col("s") * den >= F.col("n") * num).drop("keys"), ["g"], once & enough, num, den, tau)
-        keyed = got.select("g", *own, "s", "ins", F.explode("keys").alias("key"))
+        keyed = _sifted(got).select("g", *own, "s", "ins", F.explode("keys").alias("key"))
         useful = keyed.groupBy("g", "key").agg(F.bit_and("ins").alias("all"), F.bool_and("cov").alias("met"), F.count("*").alias("c"), F.min_by("v", F.struct("cov", "ins", "rare", "v")).alias("lead")).filter("c > 1 and all = 0 and not met").drop("all", "met")
         keyed = through_table(keyed.join(useful, ["g", "key"]), "keyed")
         last = level == LEVELS - 1
@@ -394,6 +399,37 @@ def _peeled(members: DataFrame, held: DataFrame, bucket: int, num: int, den: int
     return links
 
 
+#: Slots of the shingles that sets without ``cov`` ask for, a multiple of a bitmap's 32768 bits.
+ASKED_SLOTS = 1 << 22
+
+
+def _sifted(rows: DataFrame) -> DataFrame:
+    """The rows (.., cov, keys) with only such keys as a row without ``cov`` may have; those alone need a partner.
+
+    The slots of such keys come to the driver as half a megabyte of bits, whatever their number; where
+    very many are set, more keys are left than needed, in proportion to the rows.
+    """
+    slots = rows.filter("not cov").select(F.explode("keys").alias("key")).select((F.pmod("key", F.lit(ASKED_SLOTS)) + 1).alias("slot"))
+    marked = slots.groupBy(F.bitmap_bucket_number("slot").alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
+    asked = np.zeros(ASKED_SLOTS // 8, np.uint8)
+    for b, bits in marked.collect():
+        asked[(b - 1) * 4096 : b * 4096] = np.frombuffer(bits, np.uint8)
+    at = rows.columns.index("keys")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        set_ = np.unpackbits(asked, bitorder="little").astype(bool)
+        for batch in batches:
+            column = batch.column(at)
+            keys = column.flatten().to_numpy(zero_copy_only=False)
+            owner = np.repeat(np.arange(batch.num_rows), np.diff(column.offsets.to_numpy()))
+            keep = set_[keys & (ASKED_SLOTS - 1)]
+            off = spread(np.bincount(owner[keep], minlength=batch.num_rows))
+            kept = pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(keys[keep]))
+            yield pa.RecordBatch.from_arrays([kept if i == at else batch.column(i) for i in range(batch.num_columns)], names=batch.schema.names)
+
+    return rows.mapInArrow(run, rows.schema)
+
+
 def _meet(rows: DataFrame, keys: list[str], also: Column, num: int, den: int, tau: int) -> DataFrame:
     """(a, b), a > b: pairs of rows that agree on the keys, and whose sizes and fingerprints allow the similarity.
 
