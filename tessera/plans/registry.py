@@ -15,11 +15,15 @@ class Plans:
         self.sql: dict[str, str] = {}
 
     def query(self, sql: str | None = None):
-        """Registers ``f(read)``, where ``read(name)`` gives a table, under the function's name."""
+        """Registers ``f(read)``, where ``read(name)`` gives a table and ``read.path(name)`` its path, under the function's name."""
 
         def register(f):
             def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-                return f(lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet"))
+                def read(name: str) -> DataFrame:
+                    return spark.read.parquet(read.path(name))
+
+                read.path = lambda name: f"{sf_dir}/{name}.parquet"
+                return f(read)
 
             run.__name__, run.__doc__ = f.__name__, f.__doc__
             self.queries[f.__name__] = run

@@ -10,7 +10,8 @@ from tessera.functions.conditions import link
 from tessera.functions.text import fold
 from tessera.operators import chunk, fulltext, search, vectorlists
 from tessera.plans.registry import Plans
-from tessera.streaming import events
+from tessera.scratch import shared_dir
+from tessera.streaming import events, state
 
 P = Plans()
 query = P.query
@@ -185,6 +186,21 @@ def events_once(read):
     return events.once(read("events").select("user_id", F.to_date("ts").alias("day"), "event_type"), ["user_id", "day", "event_type"], time="day")
 
 
+@query("""SELECT user_id, event_type, count(*) AS run, min(event_id) AS first_event FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS island FROM events) GROUP BY user_id, event_type, island HAVING count(*) >= 3""")
+def streamed_runs(read):
+    """Runs of at least three equal values, from a stream with keyed state."""
+    table = read("events")
+    spark = table.sparkSession
+    # A table may be one file or a folder of them.
+    folder, _, name = read.path("events").rpartition("/")
+    stream = spark.readStream.schema(table.schema).option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").parquet(f"{folder}/{name[:-1]}[{name[-1]}]")
+    keyed = stream.select(F.col("user_id").alias("key"), F.col("event_type").alias("kind"), F.col("event_id").cast("bigint").alias("ord"), F.col("ts").cast("timestamp").alias("ts"))
+    told = state.drain_to(state.runs(keyed, idle=10**12), shared_dir(spark, "runs-state"), shared_dir(spark, "runs"))
+    # A run that was open at the end of a batch is told again when it is longer.
+    whole = told.groupBy("key", "kind", "first").agg(F.max("run").alias("run")).filter("run >= 3")
+    return whole.select(F.col("key").alias("user_id"), F.col("kind").alias("event_type"), "run", F.col("first").alias("first_event"))
+
+
 @query("SELECT content, doc_id, n - 1 AS n_copies FROM (SELECT md5(substr(regexp_replace(lower(text), '[^a-z0-9]+', '', 'g'), 1, 600)) AS content, min(doc_id) AS doc_id, count(*) AS n FROM documents GROUP BY 1)")
 def collapsed_contents(read):
     """One row a content, with the number of the others."""
