@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -96,18 +95,6 @@ class Pattern:
         return out if aggregate else out.limit(limit or DEFAULT_LIMIT)
 
 
-def read_only(sql: str) -> str:
-    """The statement, if it only reads, bounds its paths, and has a limit or aggregates; a limit is added where both lack."""
-    text = re.sub(r"'(?:[^']|'')*'", "''", sql)
-    if re.search(r"\b(insert|update|delete|merge|create|drop|alter|truncate|set|call|load|copy)\b", text, re.I):
-        raise Rejected("only reading statements are allowed")
-    if re.search(r"\bwith\s+recursive\b", text, re.I) and not re.search(r"\b(depth|level|hops?)\s*<=?\s*\d", text, re.I):
-        raise Rejected("a recursive query needs a bound of its depth")
-    if re.search(r"\blimit\s+\d+\s*;?\s*$", text, re.I) or re.search(r"\b(count|sum|min|max|avg|collect_list|collect_set)\s*\(", text, re.I):
-        return sql
-    return f"{sql.rstrip().rstrip(';')} LIMIT {DEFAULT_LIMIT}"
-
-
 def true_total(rows: DataFrame, ceiling: int = TOTAL_CEILING) -> DataFrame:
     """(total): rows behind a limit, counted up to a ceiling."""
     return rows.limit(ceiling + 1).agg(F.least(F.count("*"), F.lit(ceiling)).alias("total"))

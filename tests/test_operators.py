@@ -155,10 +155,6 @@ def test_graph_guards(spark):
         g.match("Substance", "s").hop("CONTAINS", "Product", "p")
     with pytest.raises(graph.Rejected):
         g.match("Product", "p").hop("CONTAINS", "Substance", "s", depth=20)
-    assert graph.read_only("select a from t").endswith("LIMIT 300") and graph.read_only("select count(*) from t") == "select count(*) from t"
-    for bad in ("drop table t", "insert into t values (1)", "with recursive x as (select 1) select * from x limit 5"):
-        with pytest.raises(graph.Rejected):
-            graph.read_only(bad)
     assert graph.true_total(spark.range(50), 20).first()[0] == 20
     assert graph.skewed_columns(spark.range(100).select(F.col("id"), (F.col("id") % 3).alias("m"))) == ["m"]
 
