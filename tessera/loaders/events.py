@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions import conditions, enums, places, terms, text
+from tessera.functions import conditions, enums, places, registries, terms, text
 from tessera.functions.conditions import link
 from tessera.loaders.build import Build, folded_key
 from tessera.loaders.places import conducted, region_key
@@ -94,17 +94,49 @@ REGISTRIES = {
     "jrct": ("jrct", dict(id="Trial ID", title="Public Title", status="Recruitment status", study_type="Study Type", start="Actual date of first enrollment", sponsor="Primary Sponsor", conditions="Health Condition(s) or Problem(s) Studied", interventions="Intervention(s)")),
     "ctri": ("ctri", dict(id="ctri_number", title="public_title_of_study", study_type="type_of_study", enrollment="target_sample_size", start="registration_date", sponsor="primary_sponsor_name", conditions="health_conditions", interventions="interventions")),
     "cris": ("cris", dict(id="system_number", title="research_title_en", phase="clinical_step", study_type="research_kind", start="study_start_date", sponsor="resrc_spp_en")),
+    "euctr": ("eu_ctr", dict(id="EudraCT Number")),
     "who": ("who", dict(id="TrialID", title="Public_title", status="Recruitment_Status", phase="Phase", study_type="Study_type", enrollment="Target_size", start="Date_enrollement", sponsor="Primary_sponsor", conditions="Condition", interventions="Intervention")),
 }
 
 
+def _eu(b: Build) -> DataFrame:
+    """The wide EU file: sections by their numbers, wherever their columns stand."""
+    names = b.lake["euctr"].columns
+    at = lambda c: F.col(f"`{c}`") if c in names else F.lit("")
+    b.used.append("euctr")
+    r = b.lake["euctr"]
+    return r.select(
+        F.trim(at("EudraCT Number")).alias("id"), registries.eu_field(at("A.3 Full title of the trial")).alias("title"), F.trim(at("Trial Status")).alias("status"), registries.eu_phase([at(c) for c in registries.EU_PHASES]).alias("phase"),
+        F.lit("").alias("study_type"), F.lit("").alias("enrollment"), F.lit("").alias("start"), registries.eu_sponsor(names).alias("sponsor"),
+        registries.eu_conditions(at(registries.EU_CONDITION), at(registries.EU_TERM)).alias("conditions"), registries.eu_products(names).alias("interventions"),
+    )
+
+
+#: Fields that are nested in a registry's cells, by the file: what reads them.
+NESTED = {
+    "ctri": {"conditions": lambda: registries.indian_conditions(F.col("health_conditions")), "interventions": lambda: registries.indian_interventions(F.col("interventions"))},
+    "cris": {"conditions": lambda: registries.korean_conditions(F.col("cp_contents"))},
+    "jrct": {"phase": lambda: registries.title_phase(F.col("Scientific Title"), F.col("Public Title"))},
+}
+#: Files whose phase is already one of the declared ones.
+TOLD = {"euctr", "jrct"}
+#: Columns that nested fields are read from.
+ALSO = {"cris": ["cp_contents"], "jrct": ["Scientific Title"]}
+
+
 def trials(b: Build, file: str) -> None:
     """The trial funnel: one key for every registry's id, sponsors, conditions through rewritings, drugs through the resolver."""
     registry, columns = REGISTRIES[file]
-    raw = b.rows(file, *columns.values())
     fields = ("id", "title", "status", "phase", "study_type", "enrollment", "start", "sponsor", "conditions", "interventions")
-    r = raw.select(*[(F.col(f"`{columns[c]}`") if c in columns else F.lit("")).alias(c) for c in fields]).withColumn("key", enums.trial_key(F.col("id"))).filter("key <> ''")
-    b.add("ClinicalTrial", r, file, key="key", registry=F.lit(registry), title="title", status=enums.norm_status(F.col("status")), phase=enums.norm_phase(F.col("phase")), study_type=enums.norm_study_type(F.col("study_type")), study_type_raw="study_type", enrollment="enrollment", start_date="start")
+    if file == "euctr":
+        r = _eu(b)
+    else:
+        raw, nested = b.rows(file, *columns.values(), *ALSO.get(file, [])), NESTED.get(file, {})
+        r = raw.select(*[(nested[c]() if c in nested else F.col(f"`{columns[c]}`") if c in columns else F.lit("")).alias(c) for c in fields])
+    r = r.withColumn("key", enums.trial_key(F.col("id"))).filter("key <> ''")
+    if file not in TOLD:
+        r = r.withColumn("phase", enums.norm_phase(F.col("phase")))
+    b.add("ClinicalTrial", r, file, key="key", registry=F.lit(registry), title="title", status=enums.norm_status(F.col("status")), phase="phase", study_type=enums.norm_study_type(F.col("study_type")), study_type_raw="study_type", enrollment="enrollment", start_date="start")
     b.identify(r.withColumn("value", F.upper(F.regexp_replace("id", r"\s+", ""))), file, "key", "TRIAL", "value")
     s = r.filter("sponsor <> ''").withColumn("c", F.concat(F.lit("COMPANY:"), text.norm_company(F.col("sponsor"))))
     b.add("Company", s, file, key="c", name="sponsor", raw_names="sponsor")
