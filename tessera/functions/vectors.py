@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -32,23 +34,20 @@ def quantise(a: Column) -> Column:
     return F.transform(a, lambda x: F.round(x * 127).cast("tinyint"))
 
 
+def hashed(texts: list[str], size: int = 64) -> np.ndarray:
+    """Unit vectors: signed hashes of each text's words and word pairs."""
+    out = np.zeros((len(texts), size), np.float32)
+    for i, t in enumerate(texts):
+        words = (t or "").lower().split()
+        for gram in words + [f"{a} {b}" for a, b in zip(words, words[1:])]:
+            h = xxhash.xxh64_intdigest(gram)
+            out[i, h % size] += 1 if h >> 63 else -1
+    return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)
+
+
 def embedder(size: int = 64):
-    """An Arrow UDF from text to a unit vector: signed hashes of its words and word pairs."""
-
-    @F.pandas_udf("array<float>")
-    def embed(texts: pd.Series) -> pd.Series:
-        import xxhash
-
-        out = np.zeros((len(texts), size), np.float32)
-        for i, t in enumerate(texts):
-            words = (t or "").lower().split()
-            for gram in words + [f"{a} {b}" for a, b in zip(words, words[1:])]:
-                h = xxhash.xxh64_intdigest(gram)
-                out[i, h % size] += 1 if h >> 63 else -1
-        out /= np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)
-        return pd.Series(list(out))
-
-    return embed
+    """An Arrow UDF from text to a unit vector, by ``hashed``."""
+    return F.pandas_udf(lambda texts: pd.Series(list(hashed(texts.tolist(), size))), ArrayType(FloatType()))
 
 
 def term_weights(words: Column) -> Column:

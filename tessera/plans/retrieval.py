@@ -157,8 +157,8 @@ def condition_links(read):
 
 @query()
 def chunked_documents(read):
-    """Documents cut into chunks by layout."""
-    return chunk.chunk(read("documents").withColumn("page", F.lit(1)), "doc_id")
+    """Documents cut into chunks by layout, plain ones where neighbouring sentences are far apart."""
+    return chunk.chunk(read("documents"), "doc_id", page=None, embed=vectors.hashed)
 
 
 @query("SELECT CAST(date_trunc('day', ts) AS DATE) AS day, event_type, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total FROM events GROUP BY 1, 2")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tessera import schema
 from tessera.functions.conditions import link
-from tessera.operators import chunk, emit, graph, hierarchy, incremental, quality, resolve, search, transforms
+from tessera.operators import emit, graph, hierarchy, incremental, quality, resolve, search, transforms
 from tessera.sources import api, documents, publish, tabular
 from tessera.streaming import events
 
@@ -127,25 +127,6 @@ def test_search(spark):
     assert {(r.query_id, r.rank): r.id for r in exact}[4, 1] == 4
 
 
-def test_chunks_cover_every_line(spark):
-    spc = "4.1 Therapeutic indications\n" + "line of text here\n" * 200 + "4.2 Posology and method\nsome dose\n5.1\nPharmacodynamic properties\nmore"
-    plain = "\n\n".join(f"paragraph {i} " + "word " * 60 for i in range(30))
-    blocks = spark.createDataFrame([("a", 1, spc), ("b", 1, plain), ("b", 2, "last page"), ("c", 1, "  ")], "doc_id string, page int, text string")
-    got = chunk.chunk(blocks).collect()
-    by = lambda d: sorted((r for r in got if r.doc_id == d), key=lambda r: r.offset)
-    assert not by("c") and {r.path for r in by("a")} == {"summary"} and {r.path for r in by("b")} == {"plain"}
-    assert [r.section for r in by("a")][-1] == "5.1" and {"4.1", "4.2", "5.1"} == {r.section for r in by("a")}
-    for d, whole in (("a", spc), ("b", plain)):
-        text = "\n".join(r.text for r in by(d))
-        assert all(line.strip() in text for line in whole.split("\n") if line.strip() and line != "5.1")
-        assert [r.offset for r in by(d)] == list(range(len(by(d))))
-    assert len({r.chunk_id for r in got}) == len(got)
-    import numpy as np
-
-    cuts = list(chunk.sentence_chunks([(1, "One is. Two is. Three is. Far away!")], lambda s: np.array([[1.0, 0], [1, 0], [1, 0], [0, 1]]), budget=8))
-    assert [c["text"] for c in cuts] == ["One is. Two is. Three is.", "Far away!"] or len(cuts) >= 2
-
-
 def test_graph_guards(spark):
     n = spark.createDataFrame([("P:1",), ("S:1",)], "key string")
     g = graph.Graph({"Product": n, "Substance": n}, {"CONTAINS": spark.createDataFrame([("P:1", "S:1")], "src string, dst string")})
