@@ -154,9 +154,24 @@ class WarcSource(DataSource):
         return WarcReader(schema, dict(self.options))
 
 
+#: Schemes of Hadoop's connectors, and what the reader's library calls the same store.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "gcs": "gs", "wasb": "abfs", "wasbs": "abfss"}
+
+
+def readable(spark: SparkSession, path: str) -> str:
+    """The path as tasks can open it: mounts that only Hadoop's configuration knows are resolved, connectors' schemes renamed."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    whole = fs.resolvePath(hadoop).toString() if fs.exists(hadoop) else path
+    scheme, mark, rest = whole.partition(":")
+    return f"{SCHEMES.get(scheme, scheme)}{mark}{rest}"
+
+
 def _open_root(path: str):
     import pyarrow.fs as pafs
 
+    if path.startswith("file:"):
+        return pafs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
     return pafs.FileSystem.from_uri(path) if ":/" in path else (pafs.LocalFileSystem(), path)
 
 
@@ -204,7 +219,7 @@ def read(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
     """The archives' records. Turns the session's push-down to Python sources on, without which Spark itself filters."""
     spark.dataSource.register(WarcSource)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-    return spark.read.format("warc").option("payload", str(payload).lower()).load(path)
+    return spark.read.format("warc").option("payload", str(payload).lower()).load(readable(spark, path))
 
 
 def round_trip(pages: DataFrame, least: int = 100, id_col: str = "page_id") -> DataFrame:

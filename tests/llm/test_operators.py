@@ -471,3 +471,13 @@ def test_repeats_keep_whole_characters(spark):
     rows = [(1, "x" + a + "1"), (2, "y" + a + "2"), (3, b), (4, "plain")]
     got = {r.doc_id: (bytes(r.kept).decode(), r.lang) for r in repeats.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("lang", F.lit("l")), 200, whole_characters=True, carry=("lang",)).collect()}
     assert got[1] == ("x1", "l") and got[2][0] == "y2" and got[4][0] == "plain"
+
+
+def test_archives_behind_a_mount(spark, tmp_path):
+    """A scheme that only Hadoop's configuration resolves; connectors' schemes get the library's names."""
+    pages = spark.createDataFrame([(i, f"http://h/{i}", "<p>" + "x" * 200) for i in range(5)], "page_id bigint, url string, html string")
+    warc.write(pages, f"{tmp_path}/a", 100)
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.mounted.link./in", f"file://{tmp_path}/a")
+    found = warc.read(spark, "viewfs://mounted/in")
+    assert found.count() == 5 and found.filter("record_type = 'response'").count() == 1
+    assert warc.readable(spark, f"{tmp_path}/none") == f"{tmp_path}/none" and {warc.SCHEMES[x] for x in ("s3a", "s3n")} == {"s3"}
