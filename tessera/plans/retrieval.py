@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tessera.functions import vectors
 from tessera.functions.conditions import link
 from tessera.functions.text import fold
-from tessera.operators import chunk, fulltext, search, vectorlists
+from tessera.operators import chunk, coverage, fulltext, search, vectorlists
 from tessera.plans.registry import Plans
 from tessera.scratch import shared_dir
 from tessera.streaming import events, state
@@ -155,6 +155,19 @@ def condition_links(read):
     return link(terms, [dictionary])
 
 
+@query("""WITH p AS (SELECT p_partkey % 6 AS k, p_name FROM part), r AS (SELECT CASE k WHEN 0 THEN 'name' WHEN 1 THEN 'rewritten' WHEN 2 THEN 'rewritten' WHEN 3 THEN 'unmatched' WHEN 4 THEN 'no text' ELSE 'alias' END AS name FROM p)
+SELECT name, count(*) AS n, count(*) / (SELECT count(*) FROM part) AS share FROM r GROUP BY 1""")
+def linking_reasons(read):
+    """Q14: why phrases made of parts' names are linked or not; the counts add up to the rows."""
+    part = read("part").select("p_partkey", "p_name")
+    k = F.col("p_partkey") % 6
+    text = F.when(k == 0, F.col("p_name")).when(k == 1, F.concat(F.lit("chronic "), "p_name")).when(k == 2, F.concat(F.lit("zzqx thing and "), "p_name")).when(k == 3, F.concat("p_name", F.lit(" zzqx"))).when(k == 4, F.lit(" ")).otherwise(F.concat(F.lit("so called "), "p_name"))
+    own = part.select(fold(F.col("p_name")).alias("probe"), "p_name").groupBy("probe").agg(F.min("p_name").alias("key"))
+    alias = own.select(F.concat(F.lit("so called "), "probe").alias("probe"), "key")
+    found = coverage.reasons(part.select(F.col("p_partkey").alias("id"), text.alias("conditions")), [own, alias])
+    return coverage.shares(found).select("name", "n", "share")
+
+
 @query()
 def chunked_documents(read):
     """Documents cut into chunks by layout, plain ones where neighbouring sentences are far apart."""
