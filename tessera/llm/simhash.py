@@ -346,11 +346,11 @@ def near_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, bucket:
         votes = own.join(leaders.select("key", F.col("lead").alias("to")), "key").groupBy("lead", "to").count()
         leaders = leaders.join(votes.groupBy("lead").agg(F.max_by("to", F.struct("count", "to")).alias("to")), "lead").select("key", F.col("to").alias("lead"))
     members = through_table(hot.join(leaders, "key").select(F.array("lead").alias("g"), "v", "n", "rare", "cov", *PRINT).distinct(), "members")
-    asked = pairs.select(F.col("a").alias("v")).distinct().union(pairs.select("b").distinct()).union(members.select("v").distinct()).distinct()
-    held = through_table(_held(docs, signed, asked, common, size, text_col), "sets")
-    # Few sets are in groups; they are apart from the others, so that no level reads those.
-    few = through_table(held.join(members.select("v").distinct(), "v", "left_semi"), "member_sets")
-    found = components(_peeled(members, few, bucket, num, den, tau, _alike(pairs, held, num, den)))
+    asked = pairs.select(F.col("a").alias("v")).union(pairs.select("b")).distinct()
+    links = _alike(pairs, _held(docs, signed, asked, common, size, text_col), num, den)
+    # Few sets are in groups; they are written, as every level reads them.
+    few = through_table(_held(docs, signed, members.select("v").distinct(), common, size, text_col), "member_sets")
+    found = components(_peeled(members, few, bucket, num, den, tau, links))
     distinct = signed.groupBy("v").agg(F.min(id_col).alias("least"))
     rooted = distinct.join(found, "v", "left").select("v", "least", F.coalesce("root", "v").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
