@@ -7,7 +7,7 @@ from tessera.operators import coverage
 
 
 def test_reasons_agree_with_the_funnel(spark):
-    cells = ["Breast Neoplasms", "Metastatic breast cancer", "Mammary thing", "Asthma and Fever", "acute syndrome", "zzqx", "", None, "12345", "C50.9- zzqx", "C50- Breast Neoplasms", "Asthma; zzqx", "Fever, zzqx", "Syndrome", " | ", "severe asthma (asthma)", "J99: zzqx;C501- y y y", "severe asthma & zzqx"]
+    cells = ["Breast Neoplasms", "Metastatic breast cancer", "Mammary thing", "Asthma and Fever", "acute syndrome", "zzqx", "", None, "12345", "C50.9- zzqx", "C50- Breast Neoplasms", "Asthma; zzqx", "Fever, zzqx", "Syndrome", " | ", "severe asthma (asthma)", "J99: zzqx;C501- y y y", "zzqx & severe asthma"]
     rows = spark.createDataFrame([(i, c) for i, c in enumerate(cells)], "id int, conditions string")
     own = spark.createDataFrame([("breast neoplasms", "D1"), ("asthma", "D2"), ("fever", "D3"), ("syndrome", "D4")], "probe string, key string")
     alias = spark.createDataFrame([("mammary thing", "D1"), ("asthma", "D9")], "probe string, key string")
