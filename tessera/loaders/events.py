@@ -14,7 +14,12 @@ from tessera.operators import resolve, transforms
 
 def product(b: Build, rows: DataFrame, source: str, agency: str) -> None:
     """The product funnel. rows: key, name, ingredients, company, status, form, strength, route, date."""
-    b.add("Product", rows, source, key="key", name="name", agency=F.lit(agency), status=enums.norm_product_status(F.col("status")), status_raw="status", form=text.norm_form(F.col("form")), strength="strength")
+    form = text.norm_form(F.col("form"))
+    named = rows.withColumn("form", form)
+    if "forms" in b.dictionaries:
+        # A form that the codelist names gets its spelling.
+        named = named.withColumn("form_key", text.form_key(F.col("form"))).join(b.dictionaries["forms"], "form_key", "left").withColumn("form", F.coalesce("standard", "form"))
+    b.add("Product", named, source, key="key", name="name", agency=F.lit(agency), status=enums.norm_product_status(F.col("status")), status_raw="status", form="form", strength="strength")
     b.add("APPROVED_BY", rows, source, src="key", dst=F.lit(f"AGENCY:{agency}"), match_method=F.lit("structured"))
     b.add("APPROVED_IN", rows, source, src="key", dst=region_key(F.lit(places.agency_region(agency))), match_method=F.lit("derived"))
     parts = rows.select("key", F.explode(text.split_ingredients(F.col("ingredients"))).alias("ingredient"))

@@ -6,7 +6,7 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 
-from tessera.loaders import diseases, events, places, substances, vocabularies
+from tessera.loaders import biologics, crosswalks, diseases, events, places, substances, vocabularies
 from tessera.loaders.build import Build, run
 
 #: The files that each loader cannot do without.
@@ -29,6 +29,8 @@ NEEDS = {
     diseases.indications: ["mesh", "molecules", "indications"],
     diseases.associations: ["targets", "hgnc", "ot_assoc"],
     substances.variants: ["targets", "hgnc", "clinvar"],
+    crosswalks.concept_ids: ["targets", "uniprot_map", "ncit_swissprot"],
+    crosswalks.dosage_forms: ["cdisc_sdtm"],
     vocabularies.supplements: ["mesh", "mesh_scr"],
     vocabularies.antineoplastic: ["gsrs", "antineoplastic"],
     # Exceptions overrule what other aliases say, so they come after them.
@@ -38,6 +40,9 @@ NEEDS = {
     vocabularies.one_hierarchy: ["mesh"],
 }
 
+#: Products by licence, and histories; they come after the other products.
+BIOLOGICS = {biologics.purplebook: ["pb"], biologics.biologic_patents: ["pb", "pb_patents"], biologics.canada_status: ["ca_drug", "ca_status"]}
+
 
 def loaders(lake: Mapping[str, DataFrame]) -> list[Callable[[Build], None]]:
     out: list[Callable[[Build], None]] = [places.vocabulary]
@@ -47,6 +52,7 @@ def loaders(lake: Mapping[str, DataFrame]) -> list[Callable[[Build], None]]:
         if all(x in lake for x in files):
             out.append(f)
     out += [f for file, f in events.PRODUCTS.items() if file in lake]
+    out += [f for f, files in BIOLOGICS.items() if all(x in lake for x in files)]
     out += [(lambda b, file=file: events.trials(b, file)) for file in events.REGISTRIES if file in lake]
     out += [(lambda b, file=file: events.regulatory(b, file)) for file in events.EVENTS if file in lake]
     return out + [f for file, f in events.SAFETY.items() if file in lake]
