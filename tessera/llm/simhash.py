@@ -328,8 +328,8 @@ def near_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, bucket:
     common = _common(every)
     met = _prefixes(docs, common, num, den, size, text_col)
     # Keys of one set go at once. A key that a task found common is spread, and goes when keys are counted.
-    by_key = Window.partitionBy("key", F.when(F.col("late"), F.col("v")))
-    met = met.withColumn("lo", F.min("v").over(by_key)).withColumn("hi", F.max("v").over(by_key)).filter("late or lo <> hi")
+    by_key = Window.partitionBy("key", "salt")
+    met = met.withColumn("salt", F.when(F.col("late"), F.col("v"))).select("*", F.min("v").over(by_key).alias("lo"), F.max("v").over(by_key).alias("hi")).filter("late or lo <> hi")
     met = through_table(met.select("key", "v", "n", "pos", "rare"), "met").distinct()
     counts = met.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1")
     prints = signed.select("v", *PRINT).distinct()
