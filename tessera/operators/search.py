@@ -79,8 +79,10 @@ def hybrid(items: DataFrame, query: list[float], sparse: dict[str, float], where
     return by_cosine(pool.join(F.broadcast(both), id_col), query, k, vector, id_col)
 
 
-def gate(hits: DataFrame, least: float = GATE) -> DataFrame:
-    """All hits if the best reaches the gate; else none."""
+def gate(hits: DataFrame, least: float = GATE, group: str | None = None) -> DataFrame:
+    """All hits if the best reaches the gate; else none. With a group, of each query's hits for themselves."""
+    if group:
+        return hits.withColumn("_best", F.max("cosine").over(Window.partitionBy(group))).filter(F.col("_best") >= least).drop("_best")
     best = hits.agg(F.max("cosine").alias("_best"))
     return hits.join(F.broadcast(best)).filter(F.col("_best") >= least).drop("_best")
 

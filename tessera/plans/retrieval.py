@@ -66,6 +66,29 @@ def gated_vectors(read):
     return search.gate(items.select("id", vectors.cosine(F.col("embedding"), q).alias("cosine"))).select("id", _round("cosine").alias("cosine")).filter("cosine >= 0.3")
 
 
+_MID = "list_transform(range(1, len(a.embedding) + 1), lambda i: CAST(a.embedding[i] AS DOUBLE) + CAST(b.embedding[i] AS DOUBLE))"
+
+
+@query(f"""WITH q AS (SELECT a.vec_id AS query_id, {_MID} AS v FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1 WHERE a.vec_id % 50 = 0 UNION ALL SELECT -1 - vec_id, list_transform(embedding, lambda x: -CAST(x AS DOUBLE)) FROM embeddings WHERE vec_id % 50 = 1),
+s AS (SELECT query_id, e.vec_id AS id, list_dot_product(q.v, CAST(e.embedding AS DOUBLE[])) / (sqrt(list_dot_product(q.v, q.v)) * sqrt(list_dot_product(CAST(e.embedding AS DOUBLE[]), CAST(e.embedding AS DOUBLE[])))) AS c FROM q, embeddings e),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY c DESC, id) AS k, max(c) OVER (PARTITION BY query_id) AS best FROM s) SELECT query_id, id, round(c, 6) AS cosine FROM r WHERE best >= 0.6 AND k <= 15""")
+def gate_of_many(read):
+    """Queries between two vectors reach the gate and keep their hits; turned vectors have no hit that does."""
+    items = _items(read)
+    v = items.select("id", F.transform("embedding", lambda x: x.cast("double")).alias("v"))
+    both = v.filter("id % 50 = 0").join(v.select((F.col("id") - 1).alias("id"), F.col("v").alias("w")), "id")
+    turned = v.filter("id % 50 = 1").select((-1 - F.col("id")).alias("query_id"), F.transform("v", lambda x: -x).alias("query"))
+    asked = both.select(F.col("id").alias("query_id"), F.zip_with("v", "w", lambda a, b: a + b).alias("query")).union(turned)
+    hits = search.by_cosine_many(items, asked, search.FINAL)
+    return search.gate(hits, group="query_id").select("query_id", "id", _round("cosine").alias("cosine"))
+
+
+@query(f"SELECT vec_id, list_transform(embedding, lambda x: CAST(round(CAST(x AS DOUBLE) / sqrt(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))) * 127) AS TINYINT)) AS bytes FROM embeddings")
+def quantised_units(read):
+    """Unit vectors as signed bytes."""
+    return read("embeddings").select("vec_id", vectors.quantise(vectors.normalise(F.col("embedding"))).alias("bytes"))
+
+
 @query()
 def greedy_vector_dedupe(read):
     """In order, what is like a kept item goes; a group is a label."""
