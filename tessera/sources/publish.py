@@ -2,13 +2,32 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators.incremental import complete_enough, verify
+from tessera.sources.spreadsheets import opened
+
+
+#: Bytes of a file that is hashed as one value.
+WHOLE = 256 << 20
+
+
+def _digests(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(path, size, sha256) of files (path, length), a piece at a time."""
+    for f in frames:
+        for path, size in f.itertuples(index=False):
+            digest = hashlib.sha256()
+            with opened(path) as file:
+                while piece := file.read(8 << 20):
+                    digest.update(piece)
+            yield pd.DataFrame({"path": [path], "size": [size], "sha256": [digest.hexdigest()]})
 
 
 class Publisher:
@@ -30,7 +49,8 @@ class Publisher:
             stream.close()
 
     def live(self) -> str | None:
-        text = self._read(f"{self.root}/_LATEST.json")
+        # A commit that was cut off between taking the old pointer away and naming the new one left the new one beside.
+        text = self._read(f"{self.root}/_LATEST.json") or self._read(f"{self.root}/_LATEST.tmp")
         return json.loads(text)["run_id"] if text else None
 
     def stage(self, run_id: str, tables: dict[str, DataFrame]) -> DataFrame:
@@ -42,7 +62,11 @@ class Publisher:
 
     def manifest(self, run_id: str) -> DataFrame:
         files = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(f"{self.root}/_runs/{run_id}")
-        return files.select(F.regexp_extract("path", rf"/_runs/{re.escape(run_id)}/(.*)$", 1).alias("path"), F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"))
+        name = F.regexp_extract("path", rf"/_runs/{re.escape(run_id)}/(.*)$", 1).alias("path")
+        small = files.filter(F.col("length") <= WHOLE).select(name, F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"))
+        # A file that no cell can hold is hashed as a stream.
+        large = files.filter(F.col("length") > WHOLE).select("path", "length").mapInPandas(_digests, "path string, size bigint, sha256 string")
+        return small.unionByName(large.withColumn("path", name))
 
     def commit(self, run_id: str, expected: DataFrame, mirror: bool = True, keep: int = 3) -> None:
         """Verifies the run, refuses one that lost too much, and turns the pointer last."""

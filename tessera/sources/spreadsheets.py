@@ -28,7 +28,8 @@ DATES = {*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)}
 ROWS = 20_000
 
 
-def _opened(path: str) -> io.BufferedIOBase:
+def opened(path: str) -> io.BufferedIOBase:
+    """A file of a store that Arrow knows, for reading anywhere in it."""
     import pyarrow.fs as pafs
 
     if path.startswith("file:"):
@@ -141,7 +142,7 @@ def _column(name: str) -> int:
 
 @functools.lru_cache(2)
 def _book(path: str, stamp: str) -> Book:
-    return Book(_opened(path))
+    return Book(opened(path))
 
 
 class Range(InputPartition):

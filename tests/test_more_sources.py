@@ -146,3 +146,19 @@ def test_ranges_of_a_long_sheet(spark, tmp_path, dimension):
     found = spreadsheets.read(spark, str(tmp_path / "b.xlsm"), rows=400)
     assert sorted((r.row, *r.cells) for r in found.collect()) == [(r, str(r), f"v{r}") for r in rows]
     assert found.rdd.getNumPartitions() == (9 if dimension else 2)
+
+
+def test_a_commit_that_was_cut_off(spark, tmp_path, monkeypatch):
+    """Between taking the old pointer away and naming the new one, the new run is live; large files are hashed as streams."""
+    from tessera.sources import publish
+
+    p = publish.Publisher(spark, f"{tmp_path}/lake")
+    for run, n in (("r1", 1000), ("r2", 1500)):
+        small = p.stage(run, {"t": spark.range(n)}).collect()
+        monkeypatch.setattr(publish, "WHOLE", 0)
+        assert sorted(map(tuple, p.manifest(run).collect())) == sorted(map(tuple, small))
+        monkeypatch.undo()
+        p.commit(run, p.manifest(run))
+    assert p.live() == "r2"
+    (tmp_path / "lake/_LATEST.json").rename(tmp_path / "lake/_LATEST.tmp")
+    assert p.live() == "r2" and p.table("t").count() == 1500
