@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 
 U64 = np.uint64
 #: Text bytes that are worked on at a time.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 #: The hashes' modulus, a prime, and their base. The base is fixed, as some hashes are
 #: compared between tasks; who takes equal hashes for equal strings compares bytes too.
 PRIME = (1 << 61) - 1

@@ -53,7 +53,7 @@ HOT_SHARE = 20
 HOT_LEAST = 256
 #: Bytes of text whose suffixes are sorted together; a larger block is sorted by itself.
 BLOCK_BYTES = 1 << 19
-_SLICE = 2 << 20
+_SLICE = 1 << 20
 
 
 @functools.lru_cache(8)
