@@ -54,6 +54,7 @@ class Pattern:
     rows: DataFrame
     labels: dict[str, str]
     at: str
+    narrow: bool = False  # a condition holds of the rows
 
     def col(self, name: str) -> Column:
         return F.col(name.replace(".", "__"))
@@ -66,6 +67,9 @@ class Pattern:
         self.graph.check(*((label, edge, here) if back else (here, edge, label)))
         e = self.graph.edges[edge].select("src", "dst")
         step = e.toDF("_to", "_from") if back else e.toDF("_from", "_to")
+        if self.narrow and depth == 1:
+            # Only edges of the rows that are left are made distinct.
+            step = step.join(self.rows.select(F.col(f"{self.at}__{self.graph.key}").alias("_from")).distinct(), "_from", "left_semi").select("_from", "_to")
         step = step.distinct()
         reach = step
         way = step
@@ -76,18 +80,18 @@ class Pattern:
         key = self.graph.key
         far = reach.join(_aliased(self.graph.nodes[label], alias), F.col("_to") == F.col(f"{alias}__{key}")).drop("_to")
         rows = self.rows.join(far, F.col(f"{self.at}__{key}") == F.col("_from"), "left" if optional else "inner").drop("_from")
-        return Pattern(self.graph, rows, {**self.labels, alias: label}, alias)
+        return Pattern(self.graph, rows, {**self.labels, alias: label}, alias, self.narrow)
 
     def start(self, alias: str) -> Pattern:
         """Goes on from a node matched before."""
-        return Pattern(self.graph, self.rows, self.labels, alias)
+        return Pattern(self.graph, self.rows, self.labels, alias, self.narrow)
 
     def where(self, condition: Column) -> Pattern:
-        return Pattern(self.graph, self.rows.filter(condition), self.labels, self.at)
+        return Pattern(self.graph, self.rows.filter(condition), self.labels, self.at, True)
 
     def exists(self, edge: str, back: bool = False) -> Pattern:
         key = self.graph.edges[edge].select(F.col("dst" if back else "src").alias(f"{self.at}__{self.graph.key}"))
-        return Pattern(self.graph, self.rows.join(key, f"{self.at}__{self.graph.key}", "left_semi"), self.labels, self.at)
+        return Pattern(self.graph, self.rows.join(key, f"{self.at}__{self.graph.key}", "left_semi"), self.labels, self.at, True)
 
     def returns(self, *columns: Column, limit: int | None = None, aggregate: bool = False) -> DataFrame:
         """Columns of the match; without a limit or an aggregate, the default limit holds."""
