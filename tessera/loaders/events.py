@@ -204,8 +204,11 @@ EVENTS = {
     "ema_shortages": ("shortage", "EVENT:SHORTAGE:EMA:", ["medicine_affected"], False, {"subjects": "international_non_proprietary_name_inn_or_common_name", "name": "medicine_affected", "status": "supply_shortage_status", "start_date": "start_of_shortage_date", "end_date": "expected_resolution_date", "url": "shortage_url"}),
     "ema_orphan": ("orphan_designation", "EVENT:ORPHAN:", ["eu_designation_number"], False, {"subjects": "active_substance", "name": "intended_use", "status": "status", "start_date": "date_of_designation_refusal", "url": "orphan_designation_url"}),
     "ema_dhpc": ("dhpc", "EVENT:DHPC:", ["name_of_medicine", "dhpc_type"], True, {"subjects": "active_substances", "name": "name_of_medicine", "reason": "dhpc_type", "status": "regulatory_outcome", "start_date": "dissemination_date", "url": "dhpc_url"}),
+    "sfda_short": ("shortage", "EVENT:SHORTAGE:SFDA:", ["REGISTRATION_NO"], False, {"subjects": "SCIENTIFICNAME_EN", "name": "TRADENAME_EN", "status": "SHORTAGE_TYPE_EN", "reason": "SHORTAGE_REASON_EN", "start_date": "SHORTAGE_START_DATE"}),
     "ema_pip": ("paediatric_investigation_plan", "EVENT:PIP:", ["decision_number"], False, {"subjects": "active_substance", "name": "condition_indication", "status": "compliance_outcome", "start_date": "decision_date", "url": "pip_url"}),
 }
+#: What parts the names of a file's subjects, where it isn't a semicolon.
+APART = {"sfda_short": ","}
 #: Keys that are made of names, not of numbers.
 NAMED = {"ema_shortages", "ema_dhpc"}
 
@@ -219,12 +222,19 @@ def regulatory(b: Build, file: str) -> None:
     cells = [text.fold(F.col(c)) if file in NAMED else F.col(c) for c in ids]
     r = r.withColumn("key", F.concat(F.lit(start), F.concat_ws(":", *cells)))
     b.add("RegulatoryEvent", r, file, key="key", type=F.lit(kind), **{k: v for k, v in columns.items() if k != "subjects"})
-    names = r.select("key", F.explode(text.parts(F.col(columns["subjects"]), ";")).alias("subject")).filter(F.length("subject") >= 3)
+    names = r.select("key", F.explode(text.parts(F.col(columns["subjects"]), APART.get(file, ";"))).alias("subject")).filter(F.length("subject") >= 3)
     found = b.resolve(names, "subject", provisional=True)
     b.add("Substance", found.filter("match_method = 'provisional'"), file, key="substance", name="subject", norm_name=text.fold(F.col("subject")), resolved_by=F.lit("provisional"))
     b.add("SUBJECT_OF", found, file, src="substance", dst="key", match_method="match_method")
 
 
+def alerts(b: Build) -> None:
+    """Safety alerts of the Saudi authority; one without a number goes by its title."""
+    r = b.rows("sfda_alert", "#", "Title", "Type of news", "Date", "Link of news").filter("Title <> ''")
+    number = F.when(F.col("`#`") != "", F.col("`#`")).otherwise(text.fold(F.col("Title")))
+    b.add("RegulatoryEvent", r, "sfda_alert", key=F.concat(F.lit("EVENT:SFDA_ALERT:"), number), type=F.lit("safety_alert"), name="Title", reason=F.col("`Type of news`"), start_date="Date", url=F.col("`Link of news`"))
+
+
 def faers(b: Build) -> None:
     """Pairs of suspect drug and reaction, each report once, three reports at least; the salt's parent has the same counts."""
     r = b.rows("faers", "safetyreportid", "drug_substance", "drug_characterization", "reaction", "serious", "seriousnessdeath")
@@ -264,4 +274,4 @@ def publications(b: Build) -> None:
 
 
 PRODUCTS = {"ca_drug": canada, "mhra": mhra, "ema": ema, "ob": orangebook, "ob_patents": patents, "openfda": openfda, "sfda": sfda, "pmda": pmda}
-SAFETY = {"recalls": recalls, "faers": faers, "vigiaccess": organ_classes, "europepmc": publications}
+SAFETY = {"recalls": recalls, "sfda_alert": alerts, "faers": faers, "vigiaccess": organ_classes, "europepmc": publications}

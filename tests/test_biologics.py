@@ -45,3 +45,17 @@ def test_ids_of_other_vocabularies(spark):
     crosswalks.concept_ids(b)
     assert rows(b, "HAS_IDENTIFIER", "src", "dst") == [("UNIPROT:P1", f"ID:{x}") for x in ("HGNC:HGNC:1", "NCIT:C1", "UMLS_CUI:CUI1", "UNIPROT:P1")]
     assert events.PRODUCTS
+
+
+def test_saudi_events(spark):
+    lake = {
+        "gsrs": [{"unii": "U1", "preferred_name": "Aspirin"}, {"unii": "U2", "preferred_name": "Caffeine"}],
+        "sfda_alert": [{"#": "3", "Title": "Recall of x", "Type of news": "Warning", "Date": "2020", "Link of news": "http://l"}, {"#": "4", "Title": ""}, {"Title": "No number"}],
+        "sfda_short": [{"REGISTRATION_NO": "9", "SCIENTIFICNAME_EN": "ASPIRIN, CAFFEINE", "TRADENAME_EN": "T", "SHORTAGE_TYPE_EN": "Total"}, {"SCIENTIFICNAME_EN": "nobody"}],
+    }
+    b = Build({k: frame(spark, v) for k, v in lake.items()})
+    substances.gsrs(b)
+    events.alerts(b)
+    events.regulatory(b, "sfda_short")
+    assert rows(b, "RegulatoryEvent", "key", "type", "name", "status") == [("EVENT:SFDA_ALERT:3", "safety_alert", "Recall of x", ""), ("EVENT:SFDA_ALERT:no number", "safety_alert", "No number", ""), ("EVENT:SHORTAGE:SFDA:9", "shortage", "T", "Total")]
+    assert rows(b, "SUBJECT_OF", "src", "dst") == [("UNII:U1", "EVENT:SHORTAGE:SFDA:9"), ("UNII:U2", "EVENT:SHORTAGE:SFDA:9")]
