@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,21 +23,48 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder that driver and executors share; it goes when the application ends.
 
     The cluster names the shared folder in ``spark.checkpoint.dir``. Where that is
-    unset, as in tests, a folder of this application's warehouse is set.
+    unset, as in tests on one machine, a folder of this application's warehouse is set; elsewhere it raises.
     """
     sc = spark.sparkContext
     base = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
         spark.conf.set("spark.checkpoint.dir", base)
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(base)
     path = f"{base.rstrip('/')}/{sc.applicationId}/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
     hadoop = sc._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
     return path
 
 
+_scopes: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def passing_tables(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Tables written inside go at its end, but for those that are made with the function it gives (``through_table``)."""
+    _scopes.append([])
+    kept: list[str] = []
+
+    def last(df: DataFrame, name: str) -> DataFrame:
+        out = through_table(df, name)
+        kept.append(_scopes[-1][-1])
+        return out
+
+    try:
+        yield last
+    finally:
+        for path in _scopes.pop():
+            if path not in kept:
+                hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+                hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def through_table(df: DataFrame, name: str) -> DataFrame:
     """The same rows, written to the shared folder and read again: lineage ends here."""
     path = scratch_dir(df.sparkSession, name)

@@ -330,10 +330,13 @@ def near_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, bucket:
     # Keys of one set go at once. A key that a task found common is spread, and goes when keys are counted.
     by_key = Window.partitionBy("key", "salt")
     met = met.withColumn("salt", F.when(F.col("late"), F.col("v"))).select("*", F.min("v").over(by_key).alias("lo"), F.max("v").over(by_key).alias("hi")).filter("late or lo <> hi")
-    met = through_table(met.select("key", "v", "n", "pos", "rare"), "met").distinct()
-    counts = met.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1")
+    # A key's rows are in one place by now: the sets that several tasks sent go once, and are counted there.
+    met = met.dropDuplicates(["key", "salt", "v"]).withColumn("c", F.when(~F.col("late"), F.count("*").over(by_key)))
+    met = through_table(met.select("key", "v", "n", "pos", "rare", "c"), "met")
+    late = met.filter("c is null").drop("c")
+    late = late.join(late.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1"), "key")
     prints = signed.select("v", *PRINT).distinct()
-    rows = through_table(met.join(counts, "key").join(prints, "v"), "rows")
+    rows = through_table(met.filter("c is not null").unionByName(late).join(prints, "v"), "rows")
     # Before the first shingle that two sets share and that isn't hot, they share at most EXTRA.
     places = (F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos")) + EXTRA) * F.lit(num + den) >= (F.col("x.n") + F.col("y.n")) * F.lit(num)
     pairs = through_table(_meet(rows.filter(F.col("c") <= bucket), ["key"], places & (F.col("x.v") < F.col("y.v")), num, den, tau).distinct(), "pairs")
@@ -372,9 +375,12 @@ def _peeled(members: DataFrame, held: DataFrame, bucket: int, num: int, den: int
     now = members.withColumn("ins", F.lit(0))
     once = (F.col("x.v") < F.col("y.v")) & (F.col("x.ins").bitwiseAND(F.col("y.ins")) == 0) & ~(F.col("x.cov") & F.col("y.cov"))
     for level in range(LEVELS):
+        # The leaders are few, and apart from the others.
+        ids = through_table(now.select(F.explode("g").alias("v")).distinct(), "leader_ids")
+        leads = through_table(held.join(ids, "v", "left_semi"), "leaders")
         got, rest = now.join(held.select("v", "set"), "v"), F.col("set")
         for i in range(level + 1):
-            lead = held.select(F.col("v").alias("lead"), F.col("n").alias("ln"), F.col("set").alias(f"s{i}"))
+            lead = leads.select(F.col("v").alias("lead"), F.col("n").alias("ln"), F.col("set").alias(f"s{i}"))
             got = got.drop("lead", "ln").withColumn("lead", F.get("g", F.lit(i))).join(lead, "lead")
             rest = F.array_except(rest, f"s{i}")
         linked = (F.col("v") == F.col("lead")) | (F.size(F.array_intersect("set", f"s{level}")) * F.lit(num + den) >= (F.col("n") + F.col("ln")) * F.lit(num))
