@@ -317,9 +317,10 @@ def near_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, bucket:
     set of under ``FEW`` shingles aren't pruned by it. What is left is compared by the
     whole sets: no estimate links.
 
-    A shingle of over ``bucket`` sets is hot and makes no pairs. Two sets with at most ``EXTRA`` hot ones in
-    their prefixes meet on another one. The others, copies of one text that have
-    little of their own, meet leaders (``_peeled``). Texts without a word are a group of their own.
+    A shingle of over ``bucket`` sets is hot. Two sets with at most ``EXTRA`` hot ones in
+    their prefixes meet on another one. A hot shingle with at most ``bucket`` of the others makes pairs of each
+    of these with all its sets; with more, which are copies of one text that have
+    little of their own, they meet leaders (``_peeled``). Texts without a word are a group of their own.
     """
     ratio = Fraction(str(similarity))
     num, den, tau = ratio.numerator, ratio.denominator, allowance(similarity)
@@ -339,9 +340,16 @@ def near_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, bucket:
     rows = through_table(met.filter("c is not null").unionByName(late).join(prints, "v"), "rows")
     # Before the first shingle that two sets share and that isn't hot, they share at most EXTRA.
     places = (F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos")) + EXTRA) * F.lit(num + den) >= (F.col("x.n") + F.col("y.n")) * F.lit(num)
-    pairs = through_table(_meet(rows.filter(F.col("c") <= bucket), ["key"], places & (F.col("x.v") < F.col("y.v")), num, den, tau).distinct(), "pairs")
+    pairs = _meet(rows.filter(F.col("c") <= bucket), ["key"], places & (F.col("x.v") < F.col("y.v")), num, den, tau)
     hot = rows.filter(F.col("c") > bucket)
     hot = hot.join(hot.groupBy("v").agg((F.count("*") <= EXTRA).alias("cov")), "v")
+    hot = through_table(hot.join(hot.groupBy("key").agg(F.count_if(~F.col("cov")).alias("open")).filter("open > 0"), "key"), "hot")
+    # Of a hot key, only sets without cov need all others; where they are few, they meet them, at most ``bucket`` for each set.
+    direct = hot.filter(F.col("open") <= bucket)
+    once = ~F.col("y.cov") & (F.col("x.cov") | (F.col("x.v") < F.col("y.v")))
+    pairs = pairs.union(_meet(direct, ["key"], places & once, num, den, tau, direct.filter("not cov")))
+    pairs = through_table(pairs.distinct(), "pairs")
+    hot = hot.filter(F.col("open") > bucket)
     leaders = hot.filter("not cov").groupBy("key").agg(F.min_by("v", F.struct("rare", "v")).alias("lead"))
     for _ in range(2):
         # Any set may lead a key: a leader gives way to the one that leads most of its own keys, so copies of one text have one.
@@ -368,12 +376,14 @@ def _peeled(members: DataFrame, held: DataFrame, bucket: int, num: int, den: int
     connected. Of any others, similar ones share more than they can share inside the leaders so
     far, so they meet on a shingle outside of those, in a prefix of what is left of
     their sets. Or else both have enough inside: those, of unlike sizes to their leader, meet in pairs. A
-    shingle of over ``bucket`` members is a group with a leader of its own. What groups are
+    shingle of over ``bucket`` members without ``cov`` is a group with a leader of its own. What groups are
     left after ``LEVELS`` leaders meet in pairs. Two with ``cov`` have met elsewhere.
     """
     own = ["v", "n", "rare", "cov", *PRINT]
     now = members.withColumn("ins", F.lit(0))
-    once = (F.col("x.v") < F.col("y.v")) & (F.col("x.ins").bitwiseAND(F.col("y.ins")) == 0) & ~(F.col("x.cov") & F.col("y.cov"))
+    apart = F.col("x.ins").bitwiseAND(F.col("y.ins")) == 0
+    once = (F.col("x.v") < F.col("y.v")) & apart & ~(F.col("x.cov") & F.col("y.cov"))
+    ones = ~F.col("y.cov") & (F.col("x.cov") | (F.col("x.v") < F.col("y.v"))) & apart
     for level in range(LEVELS):
         # The leaders are few, and apart from the others.
         ids = through_table(now.select(F.explode("g").alias("v")).distinct(), "leader_ids")
@@ -394,13 +404,13 @@ def _peeled(members: DataFrame, held: DataFrame, bucket: int, num: int, den: int
         enough = F.least("x.s", "y.s") * F.lit(num + den) >= (F.col("x.n") + F.col("y.n")) * F.lit(num)
         inside = _meet(got.filter(F.col("s") * den >= F.col("n") * num).drop("keys"), ["g"], once & enough, num, den, tau)
         keyed = _sifted(got).select("g", *own, "s", "ins", F.explode("keys").alias("key"))
-        useful = keyed.groupBy("g", "key").agg(F.bit_and("ins").alias("all"), F.bool_and("cov").alias("met"), F.count("*").alias("c"), F.min_by("v", F.struct("cov", "ins", "rare", "v")).alias("lead")).filter("c > 1 and all = 0 and not met").drop("all", "met")
+        useful = keyed.groupBy("g", "key").agg(F.bit_and("ins").alias("all"), F.count("*").alias("c"), F.count_if(~F.col("cov")).alias("open"), F.min_by("v", F.struct("cov", "ins", "rare", "v")).alias("lead")).filter("c > 1 and all = 0 and open > 0").drop("all", "c")
         keyed = through_table(keyed.join(useful, ["g", "key"]), "keyed")
         last = level == LEVELS - 1
-        few = keyed if last else keyed.filter(F.col("c") <= bucket)
-        pairs = through_table(_meet(few, ["g", "key"], once, num, den, tau).union(inside).distinct(), "pairs")
+        few = keyed if last else keyed.filter(F.col("open") <= bucket)
+        pairs = through_table(_meet(few, ["g", "key"], ones, num, den, tau, few.filter("not cov")).union(inside).distinct(), "pairs")
         links = links.union(_alike(pairs, held, num, den))
-        more = keyed.filter(F.col("c") > bucket)
+        more = keyed.filter(F.col("open") > bucket)
         if last or more.isEmpty():
             return links
         now = more.select(F.concat("g", F.array("lead")).alias("g"), *own, "ins").distinct()
@@ -438,12 +448,13 @@ def _sifted(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, rows.schema)
 
 
-def _meet(rows: DataFrame, keys: list[str], also: Column, num: int, den: int, tau: int) -> DataFrame:
+def _meet(rows: DataFrame, keys: list[str], also: Column, num: int, den: int, tau: int, others: DataFrame | None = None) -> DataFrame:
     """(a, b), a > b: pairs of rows that agree on the keys, and whose sizes and fingerprints allow the similarity.
 
     also: what else holds of x and y; in prefixes, the bound on positions is that of the first shingle that both have.
+    others: the rows that y is one of, if not of all.
     """
-    x, y = rows.alias("x"), rows.alias("y")
+    x, y = rows.alias("x"), (rows if others is None else others).alias("y")
     nx, ny = F.col("x.n"), F.col("y.n")
     sizes = F.least(nx, ny) * F.lit(den) >= F.greatest(nx, ny) * F.lit(num)
     close = (F.least(nx, ny) < FEW) | within(tau)

@@ -1,10 +1,13 @@
 """Near-duplicate groups against all pairs, compared exactly."""
 
 import random
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.llm import simhash
+from tessera.llm.common import through_table
 
 
 def _sets(rows, size=5):
@@ -89,3 +92,30 @@ def test_families_within_families(spark):
             fathers.append(words)
     rows += [(1000 + i, " ".join([f"b{k}" for k in range(30)] + [f"o{i % 40}y{k}" for k in range(8 + i % 7)])) for i in range(200)]
     assert _got(spark, rows, 5) == _groups(rows)
+
+
+def test_hot_shingles_of_few_open_sets_make_no_groups(spark, monkeypatch):
+    """A shingle that unlike texts share by chance calls for no whole sets, even if a few texts have nothing else to meet on."""
+    monkeypatch.setattr(simhash, "COMMON_TIMES", 10**9)
+    common = [f"c{k}" for k in range(24)]
+    own = lambda k, n: [f"o{k}w{i}" for i in range(n)]
+    rows = [(k, " ".join(own(k, 20) + common[4 * (k % 5) : 4 * (k % 5) + 8] + own(k + 1000, 24))) for k in range(150)]
+    rows += [(200 + k, " ".join([*common, f"z{k}"])) for k in range(3)]
+    rows += [(300 + k, f"{rows[k][1]} e{k % 7}") for k in range(0, 20, 2)]
+    members = []
+    peeled = simhash._peeled
+    monkeypatch.setattr(simhash, "_peeled", lambda rows, *a: members.append(rows.count()) or peeled(rows, *a))
+    assert _got(spark, rows, 8) == _groups(rows)
+    assert members == [0]
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    """What stood behind a table that is written goes at once, not when the driver collects its garbage."""
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    before = files.getAllFiles().size()
+    through_table(spark.range(100_000).repartition(7, "id").groupBy((F.col("id") % 1009).alias("k")).count(), "counts")
+    for _ in range(100):
+        if files.getAllFiles().size() <= before:
+            break
+        time.sleep(0.1)
+    assert files.getAllFiles().size() <= before
