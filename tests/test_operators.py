@@ -140,6 +140,11 @@ def test_graph_guards(spark):
     assert graph.skewed_columns(spark.range(100).select(F.col("id"), (F.col("id") % 3).alias("m"))) == ["m"]
 
 
+def test_true_total_has_no_ceiling_of_its_own(spark):
+    assert graph.true_total(spark.range(200_003)).first()[0] == 200_003
+    assert graph.true_total(spark.range(0)).first()[0] == 0
+
+
 def test_transforms(spark):
     nested = spark.read.json(spark.sparkContext.parallelize([json.dumps({"a": {"b": 1}, "c": [{"x": 1}, {"x": 2}], "d": ["p", "q"]})]))
     assert transforms.flatten(nested).first().asDict() == {"a_b": "1", "c": '{"x":1} | {"x":2}', "d": "p | q"}
