@@ -147,34 +147,51 @@ def accept(candidates: DataFrame) -> DataFrame:
     return both.filter("part is null").select("child", "parent").unionByName(walked)
 
 
+def _upper(links: DataFrame, hops: int | None) -> tuple[DataFrame, DataFrame]:
+    """((v, code) of all parents, (key, ups): codes of the parents at each key or above it, up to so many hops)."""
+    links = written(links.select("child", "parent").filter("child is not null").distinct(), "links")
+    inner = written(numbered(links.select(F.col("parent").alias("v")).distinct(), "v", name="code"), "inner")
+    links = written(links.join(inner, F.col("parent").eqNullSafe(F.col("v"))).select("child", F.col("code").alias("up")), "coded")
+    # Only what has something below it goes up level by level; all other keys take what their parents found.
+    step = written(links.join(inner.toDF("child", "mid"), "child").select("mid", F.col("up").alias("next")), "step")
+    new = every = inner.select(F.col("code").alias("low"), F.col("code").alias("up"))
+    level = 1
+    while hops is None or level < hops:
+        new = new.join(step, F.col("up") == F.col("mid")).select("low", F.col("next").alias("up")).distinct()
+        new = written(new.join(every, ["low", "up"], "left_anti"), "above")
+        if new.isEmpty():
+            break
+        if level > MOST_LEVELS:
+            raise ValueError("more levels than a hierarchy can have: the links hold a cycle")
+        every, level = every.unionByName(new), level + 1
+    above = every.groupBy("low").agg(F.collect_list("up").alias("ups"))
+    lower = links.join(above, F.col("up") == F.col("low")).select(F.col("child").alias("key"), "ups")
+    own = inner.filter("v is not null").select(F.col("v").alias("key"), F.array("code").alias("ups"))
+    return inner, lower.unionByName(own).groupBy("key").agg(F.array_distinct(F.flatten(F.collect_list("ups"))).alias("ups"))
+
+
 def distinct_up(facts: DataFrame, links: DataFrame, hops: int | None = None, fact: str = "fact", key: str = "key") -> DataFrame:
     """(key, direct, below): distinct facts at each key, and at it or what lies under it up to so many hops.
 
     facts: (fact, key); links: (child, parent), free of cycles. A fact under two children counts
-    once. Facts are numbered, those of a key next to each other, and a set of them is rows of
-    (key, slot, bitmap); a level is merged into the next by a bitwise or of the children's
-    bitmaps, with partial aggregation, so a root of all facts is many slots and no closure is made.
+    once. A key without children counts its own facts, where those of a key meet. For the others,
+    each fact takes along the codes of the keys at it or above it, and facts meet once more, by
+    themselves: what each has above it is made distinct there, and only counts go on. So facts are
+    shuffled twice, whatever the number of levels, and a root of all facts is one count a task.
     """
-    pairs = facts.select(F.col(fact).alias("fact"), F.col(key).alias("key")).filter("fact is not null and key is not null").distinct()
-    pairs = written(pairs, "facts")
-    near = numbered(pairs.groupBy("fact").agg(F.min("key").alias("key")), "key", "fact").select("fact", "n")
-    bits = pairs.join(near, "fact").groupBy("key", F.bitmap_bucket_number(F.col("n") + 1).alias("slot")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("n") + 1)).alias("bits"))
-    own = written(bits, "bits")
-    up = written(links.select("child", "parent").distinct(), "up")
-    every, size, level = own, None, 0
-    while hops is None or level < hops:
-        # What the last level knew of each child goes to its parents; own facts stay.
-        merged = every.join(up.withColumnRenamed("child", "key"), "key").select(F.col("parent").alias("key"), "slot", "bits").unionByName(own)
-        every = written(merged.groupBy("key", "slot").agg(F.bitmap_or_agg("bits").alias("bits")), "bits")
-        level += 1
-        if hops is None:
-            before, size = size, every.agg(F.sum(F.bitmap_count("bits"))).first()[0]
-            if size == before:
-                break
-            if level > MOST_LEVELS:
-                raise ValueError("more levels than a hierarchy can have: the links hold a cycle")
-    count = lambda rows, to: rows.groupBy("key").agg(F.sum(F.bitmap_count("bits")).alias(to))
-    return count(every, "below").join(count(own, "direct"), "key", "left").select("key", F.coalesce("direct", F.lit(0)).alias("direct"), "below")
+    pairs = facts.select(F.col(key).alias("key"), F.col(fact).alias("fact")).filter("fact is not null and key is not null").repartition("key").distinct()
+    at = F.lit(None).cast("array<bigint>")
+    if hops is None or hops:
+        inner, upper = _upper(links, hops)
+        pairs, at = pairs.join(upper, "key", "left"), F.col("ups")
+    # Rows of a key are next to each other in the table, so they are counted where they lie.
+    pairs = written(pairs.select("key", "fact", at.alias("ups")), "facts")
+    counts = pairs.select("key", F.lit(1).alias("one"), F.lit(None).cast("long").alias("below"))
+    if hops is None or hops:
+        above = pairs.filter("ups is not null").select("fact", "ups").repartition("fact").select("fact", F.explode("ups").alias("code")).distinct()
+        met = above.groupBy("code").agg(F.count("*").alias("below")).join(inner, "code").select(F.col("v").alias("key"), F.lit(0).alias("one"), "below")
+        counts = counts.unionByName(met)
+    return counts.groupBy("key").agg(F.sum("one").alias("direct"), F.coalesce(F.max("below"), F.sum("one")).alias("below"))
 
 
 def roll_up(facts: DataFrame, key: str, ancestors: DataFrame, measures: list) -> DataFrame:

@@ -89,3 +89,22 @@ def test_distinct_counts_up_a_tree(spark):
     # More facts than a bitmap has bits.
     many = spark.range(100_000).select(F.col("id").alias("fact"), F.when(F.col("id") % 2 == 0, "n1").otherwise("n2").alias("key"))
     assert {("n0", 0, 100_000)} <= {tuple(r) for r in hierarchy.distinct_up(many, e, None).collect()}
+
+
+def test_distinct_counts_hold_no_more_than_facts(spark, monkeypatch):
+    """Keys with few facts each, which other keys have too: what is written grows with facts and links, not with keys times all facts."""
+    tables, written = [], hierarchy.written
+    monkeypatch.setattr(hierarchy, "written", lambda df, name: tables.append(written(df, name)) or tables[-1])
+    rnd = random.Random(5)
+    facts = [(rnd.randrange(70_000), f"n{k}") for k in range(2_000) for _ in range(40)]
+    links = [(f"n{k}", f"g{k % 7}") for k in range(2_000)] + [(f"n{k}", f"h{k % 11}") for k in range(2_000)] + [(f"g{k}", "top") for k in range(7)] + [(f"h{k}", None) for k in range(3)]
+    got = {r.key: (r.direct, r.below) for r in hierarchy.distinct_up(spark.createDataFrame(facts, "fact int, key string"), spark.createDataFrame(links, "child string, parent string")).collect()}
+    sets = collections.defaultdict(set)
+    for f, k in facts:
+        i = int(k[1:])
+        for up in {k, f"g{i % 7}", f"h{i % 11}", "top"} | ({None} if i % 11 < 3 else set()):
+            sets[up].add(f)
+    assert got == {k: (len(v) if k and k[0] == "n" else 0, len(v)) for k, v in sets.items()}
+    cells = lambda df: [F.octet_length(f.name) if f.dataType.simpleString() in ("string", "binary") else 8 * F.size(f.name) if f.dataType.simpleString().startswith("array") else F.lit(8) for f in df.schema]
+    held = sum(df.select(sum((F.coalesce(c, F.lit(0)) for c in cells(df)), F.lit(0)).cast("long").alias("n")).agg(F.sum("n")).first()[0] or 0 for df in tables)
+    assert held < 100 * (len(facts) + len(links))
