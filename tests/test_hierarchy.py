@@ -5,7 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from tessera.operators import hierarchy
+from tessera.operators import candidates, fulltext, hierarchy
 
 
 def brute_accept(candidates):
@@ -108,3 +108,16 @@ def test_distinct_counts_hold_no_more_than_facts(spark, monkeypatch):
     cells = lambda df: [F.octet_length(f.name) if f.dataType.simpleString() in ("string", "binary") else 8 * F.size(f.name) if f.dataType.simpleString().startswith("array") else F.lit(8) for f in df.schema]
     held = sum(df.select(sum((F.coalesce(c, F.lit(0)) for c in cells(df)), F.lit(0)).cast("long").alias("n")).agg(F.sum("n")).first()[0] or 0 for df in tables)
     assert held < 100 * (len(facts) + len(links))
+
+
+def test_candidates_of_many_children_hold_no_bitmaps(spark, monkeypatch, tmp_path):
+    """A category of thousands of nodes with a few studies each: no table has a row of bits for each node."""
+    tables, written = [], hierarchy.written
+    monkeypatch.setattr(hierarchy, "written", lambda df, name: tables.append(written(df, name)) or tables[-1])
+    nodes = spark.createDataFrame([(k, f"n{k}", "ache" if k else "red ache", "") for k in range(3_000)], "id bigint, key string, name string, synonyms string")
+    links = spark.range(1, 3_000).select(F.format_string("n%d", "id").alias("child"), F.lit("n0").alias("parent"))
+    studies = spark.range(9_000).select((F.col("id") * 7919 % 200_000).alias("fact"), F.format_string("n%d", F.col("id") % 3_000).alias("key"))
+    index = fulltext.Index(spark, f"{tmp_path}/index").add(nodes, "id", "name")
+    got = candidates.candidates(index, nodes, links, studies, "red", most=1).collect()
+    assert [(r.key, r.direct, r.below, r.children) for r in got] == [("n0", 3, 9_000, 2_999)]
+    assert tables and not any(f.dataType.simpleString() == "binary" for t in tables for f in t.schema)
