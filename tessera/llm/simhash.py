@@ -45,6 +45,8 @@ COMMON_MOST = 1 << 17
 EXTRA = 2
 #: Leaders that a hot shingle's sets are compared with, one within another, before what is left meets in pairs.
 LEVELS = 6
+#: Pairs that are compared in one go at least, sets' pairs on average beyond which forests go first, and forests at most.
+AT_ONCE, FEW_PAIRS, FORESTS = 1 << 15, 2, 4
 #: Words of the fingerprints of shingle sets; these prune pairs of sets of ``FEW`` shingles and more.
 WORDS, FEW = 4, 24
 PRINT = [f"f{k}" for k in range(WORDS)]
@@ -358,7 +360,7 @@ def near_groups(docs: DataFrame, size: int = 5, similarity: float = 0.8, bucket:
         leaders = leaders.join(votes.groupBy("lead").agg(F.max_by("to", F.struct("count", "to")).alias("to")), "lead").select("key", F.col("to").alias("lead"))
     members = through_table(hot.join(leaders, "key").select(F.array("lead").alias("g"), "v", "n", "rare", "cov", *PRINT).distinct(), "members")
     asked = pairs.select(F.col("a").alias("v")).union(pairs.select("b")).distinct()
-    links = _alike(pairs, _held(docs, signed, asked, common, size, text_col), num, den)
+    links = _alike(pairs, through_table(_held(docs, signed, asked, common, size, text_col), "asked_sets"), num, den)
     # Few sets are in groups; they are written, as every level reads them.
     few = through_table(_held(docs, signed, members.select("v").distinct(), common, size, text_col), "member_sets")
     found = components(_peeled(members, few, bucket, num, den, tau, links))
@@ -484,8 +486,43 @@ def _held(docs: DataFrame, signed: DataFrame, asked: DataFrame, common: np.ndarr
 
 
 def _alike(pairs: DataFrame, held: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs whose sets have the similarity, compared whole."""
+    """(a, b), a > b: links that connect what the pairs of the similarity connect; pairs are compared by whole sets.
+
+    Where sets have many pairs, copies of one text mostly, each set is first compared with the least one that it
+    met, a few times. Pairs that links connect by then need no comparison. So what is sent grows
+    with the sets, not with the square of the copies.
+    """
+    sets, n, links = held.count(), pairs.count(), None
+    for _ in range(FORESTS):
+        if n <= max(FEW_PAIRS * sets, AT_ONCE):
+            break
+        forest = through_table(pairs.groupBy("a").agg(F.min("b").alias("b")), "forest")
+        found = _compared(forest, forest.count(), held, sets, num, den)
+        links = found if links is None else links.union(found)
+        root = through_table(components(links), "roots")
+        rest = pairs.join(forest, ["a", "b"], "left_anti")
+        for end in "ab":
+            rest = rest.join(root.select(F.col("v").alias(end), F.col("root").alias(f"r{end}")), end, "left")
+        pairs = through_table(rest.filter(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b"), "pairs")
+        n = pairs.count()
+    found = _compared(pairs, n, held, sets, num, den)
+    return found if links is None else links.union(found)
+
+
+def _compared(pairs: DataFrame, n: int, held: DataFrame, sets: int, num: int, den: int) -> DataFrame:
+    """The n pairs whose sets have the similarity, a part of the sets with a part of the sets at a time."""
+    parts = math.ceil(math.sqrt(max(1, n) / max(sets // 8, AT_ONCE)))
+    part = lambda c: F.pmod(F.xxhash64(c), F.lit(parts))
     x = held.select(F.col("v").alias("a"), F.col("n").alias("xn"), F.col("set").alias("xs"))
     y = held.select(F.col("v").alias("b"), F.col("n").alias("yn"), F.col("set").alias("ys"))
     both = F.size(F.array_intersect("xs", "ys"))
-    return through_table(pairs.join(x, "a").join(y, "b").filter(both * F.lit(num + den) >= (F.col("xn") + F.col("yn")) * F.lit(num)).select("a", "b"), "links")
+    out = None
+    for i in range(parts):
+        for j in range(parts):
+            some, u, w = pairs, x, y
+            if parts > 1:
+                some, u, w = pairs.filter((part("a") == i) & (part("b") == j)), x.filter(part("a") == i), y.filter(part("b") == j)
+            met = some.join(u, "a").join(w, "b").filter(both * F.lit(num + den) >= (F.col("xn") + F.col("yn")) * F.lit(num)).select("a", "b")
+            met = through_table(met, "links")
+            out = met if out is None else out.union(met)
+    return out

@@ -119,3 +119,21 @@ def test_written_tables_leave_no_shuffle_files(spark):
             break
         time.sleep(0.1)
     assert files.getAllFiles().size() <= before
+
+
+def test_copies_of_a_text_are_not_sent_once_for_each_pair(spark, monkeypatch):
+    """Forty near copies of each of thirty texts: sets are compared as often as there are sets, not pairs, and every group is found."""
+    monkeypatch.setattr(simhash, "AT_ONCE", 400)
+    rnd = random.Random(12)
+    rows = []
+    for k in range(30):
+        words = [f"w{k}x{i}" for i in range(400)]
+        for _ in range(40):
+            copy = list(words)
+            for p in rnd.sample(range(400), 3):
+                copy[p] = f"e{rnd.randrange(10**6)}"
+            rows.append((len(rows), " ".join(copy)))
+    compared, one = [], simhash._compared
+    monkeypatch.setattr(simhash, "_compared", lambda pairs, n, *a: compared.append((n, pairs.count())) or one(pairs, n, *a))
+    assert _got(spark, rows, 48) == _groups(rows)
+    assert all(n == m for n, m in compared) and sum(n for n, _ in compared) < 3 * len(rows)
